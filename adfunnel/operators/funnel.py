@@ -91,7 +91,8 @@ def funnel(events: DataFrame, ssp_sites: DataFrame, tiebreak: Sequence[str] = ()
 
 
 def _seconds_between(a: Column, b: Column) -> Column:
-    return F.timestamp_diff("SECOND", a, b).cast("int")
+    """b - a in seconds; on timestamp_ntz this is wall-clock and zone-free."""
+    return (F.unix_timestamp(b) - F.unix_timestamp(a)).cast("int")
 
 
 def shape(g: DataFrame) -> DataFrame:

@@ -124,13 +124,13 @@ def second_of_day(ts: Column) -> Column:
     return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
-def slot_codes(ts: Column, is_ssp: Column, role: Column) -> Column:
+def slot_codes(tod: Column, is_ssp: Column, role: Column) -> Column:
     """Array of the one or two slot codes of an event (distinct; [NULL] if none).
 
-    At most two windows hold any second (checked at import), so the first and
-    the last hit in window order name them all.
+    ``tod`` is the second of the day.  At most two windows hold any second
+    (checked at import), so the first and the last hit in window order name
+    them all.
     """
-    tod = second_of_day(ts)
     first = None
     last = None
     for (ssp, r) in _END_COLUMN:
@@ -149,10 +149,11 @@ def assign_slots(df: DataFrame, ts_col: str = "sec", ssp_col: str = "is_ssp",
     Rows need a timestamp_ntz ``ts_col``, a boolean ``ssp_col`` and an integer
     ``role_col`` (ANCHOR / EXPOSURE / CLICK); rows outside every window go.
     """
-    codes = slot_codes(F.col(ts_col), F.col(ssp_col), F.col(role_col))
-    exploded = df.withColumn("_code", F.explode(codes))
+    with_tod = df.withColumn("_tod", second_of_day(F.col(ts_col)))
+    codes = slot_codes(F.col("_tod"), F.col(ssp_col), F.col(role_col))
+    exploded = with_tod.withColumn("_code", F.explode(codes))
     day = F.to_date(F.col(ts_col))
     return (exploded.where(F.col("_code").isNotNull())
-            .withColumn("slot_d", F.date_sub(day, (F.col("_code") / _CODE_BASE).cast("int")))
-            .withColumn("slot", (F.col("_code") % _CODE_BASE).cast("int"))
-            .drop("_code"))
+            .withColumn("slot_d", F.date_sub(day, F.shiftright(F.col("_code"), 3)))
+            .withColumn("slot", F.col("_code").bitwiseAND(_CODE_BASE - 1))
+            .drop("_code", "_tod"))

@@ -44,3 +44,327 @@ def funnel_nonssp(spark, sf_dir):
 def funnel_ssp(spark, sf_dir):
     h, ssp = events_and_ssp(spark, sf_dir)
     return fn.funnel(h, ssp, tiebreak=["event_id"], branch=True)
+
+
+# ---------------------------------------------------------------- funnel pieces
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from . import schema  # noqa: E402
+from .functions import clean, derive, urls  # noqa: E402
+from .operators import membership, profile, slots  # noqa: E402
+from .plans import ingest, lifecycle  # noqa: E402
+from .sources import ssp as ssp_src  # noqa: E402
+from .sources import tables, tsv  # noqa: E402
+
+import datetime as dt  # noqa: E402
+
+BRANCH_NAME = F.when(F.col("is_ssp"), F.lit("ssp")).otherwise(F.lit("nonssp"))
+
+
+@register("funnel_flags")
+def funnel_flags(spark, sf_dir):
+    """Read-time columns of the funnel table: dom, dotted IPs, presence flags."""
+    rows = derive.with_funnel_aliases(funnel_all(spark, sf_dir))
+    return rows.select("expid", "d", "sec", "tn", "dom", "ip_bid", "ip_exp", "ip_cl",
+                       "has_bid", "has_exp", "has_cl")
+
+
+@register("slot_assignment")
+def slot_assignment(spark, sf_dir):
+    """Every (event, slot) pair the funnel groups: one or two slots per event."""
+    h, ssp = events_and_ssp(spark, sf_dir)
+    rows = slots.assign_slots(fn.branch_rows(h, ssp))
+    return rows.select("event_id", BRANCH_NAME.alias("branch"), F.col("slot_d").alias("d"), "slot")
+
+
+@register("union_branches")
+def union_branches(spark, sf_dir):
+    """Inputs of both branches in one scan; click rows carry no ref / bref."""
+    h, ssp = events_and_ssp(spark, sf_dir)
+    rows = fn.branch_rows(h, ssp)
+    blank = F.col("tn") == schema.TN_CLICK
+    return rows.select("event_id", BRANCH_NAME.alias("branch"), "tn",
+                       F.when(blank, F.lit("")).otherwise(F.col("ref")).alias("ref"),
+                       F.when(blank, F.lit("")).otherwise(F.col("bref")).alias("bref"))
+
+
+@register("valid_events")
+def valid_events(spark, sf_dir):
+    h = fx.history_ref_view(spark, sf_dir)
+    return fn.valid_events(h).select("event_id", "expid", "tn", "sec", "sid")
+
+
+@register("first_by_type")
+def first_by_type(spark, sf_dir):
+    """Per exposure: time and user of its first bid, impression and click (defaults 0 / epoch)."""
+    h = fx.history_ref_view(spark, sf_dir)
+    rows = h.where((F.col("sn") == schema.SN_OK) & (F.col("expid") != 0)
+                   & F.col("tn").isin(schema.TN_BID, schema.TN_IMPRESSION, schema.TN_CLICK))
+    names = {schema.TN_BID: "bid", schema.TN_IMPRESSION: "exp", schema.TN_CLICK: "cl"}
+    g = rows.groupBy("expid").agg(*[
+        F.min(F.when(F.col("tn") == tn, F.struct("sec", "event_id", "uid"))).alias(n)
+        for tn, n in names.items()])
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    cols = ["expid"]
+    for n in names.values():
+        cols += [F.coalesce(F.col(f"{n}.sec"), epoch).alias(f"first_sec_{n}"),
+                 F.coalesce(F.col(f"{n}.uid"), F.lit(0).cast("bigint")).alias(f"first_uid_{n}")]
+    return g.select(*cols)
+
+
+# ---------------------------------------------------------------- cleaning and derived columns
+
+
+def raw_with_nulls(spark, sf_dir):
+    """The event view with values knocked out, as a raw feed would miss them."""
+    h = fx.history_ref_view(spark, sf_dir)
+    err = F.col("sn") == 1
+    low = F.col("geo") < 20
+    knocked = {"sid": err, "sz": err, "ref": err, "geo": low, "ipint": low, "bt": low,
+               "custom": low, "expid": err & low, "exppr": low, "stn": err}
+    return h.select("event_id", *[
+        F.when(knocked[c], F.lit(None).cast(schema.EVENT_TYPES[c])).otherwise(F.col(c)).alias(c)
+        if c in knocked else F.col(c) for c in schema.EVENT_COLUMNS])
+
+
+@register("null_defaults")
+def null_defaults(spark, sf_dir):
+    return clean.fill_defaults(raw_with_nulls(spark, sf_dir))
+
+
+@register("strip_breaking_chars")
+def strip_breaking_chars(spark, sf_dir):
+    """Whole documents stripped of tab-breaking characters: length, digest, removed count."""
+    docs = fx.read_table(spark, sf_dir, "documents")
+    stripped = clean.strip_breaking(F.col("text"))
+    return docs.select(
+        "doc_id",
+        F.length(stripped).cast("bigint").alias("clean_len"),
+        F.md5(stripped).alias("clean_md5"),
+        (F.length("text") - F.length(stripped)).cast("bigint").alias("n_removed"))
+
+
+def repair_inputs(spark, sf_dir):
+    """Refs of the two scheme-less sites, derived from page URLs.
+
+    By page id: sid 197671 / 187537 / other; the ref as is, without scheme,
+    with a ``.google`` suffix (scheme kept), or empty.
+    """
+    pages = fx.read_table(spark, sf_dir, "pages")
+    pid = F.col("page_id")
+    sid = (F.when(pid % 3 == 0, F.lit(clean.SCHEMELESS_SITE))
+           .when(pid % 3 == 1, F.lit(clean.GOOGLE_SITE)).otherwise(pid)).cast("bigint")
+    bare = F.regexp_replace("url", "^[a-zA-Z]+://", "")
+    ref = (F.when(pid % 4 == 0, F.col("url")).when(pid % 4 == 1, bare)
+           .when(pid % 4 == 2, F.concat(F.col("url"), F.lit(clean.GOOGLE_SUFFIX)))
+           .otherwise(F.lit("")))
+    return pages.select("page_id", sid.alias("sid"), ref.alias("ref_in"))
+
+
+@register("scheme_repair")
+def scheme_repair(spark, sf_dir):
+    rows = repair_inputs(spark, sf_dir)
+    return rows.withColumn("ref_out", clean.repair_scheme(F.col("ref_in"), F.col("sid")))
+
+
+@register("url_domain")
+def url_domain(spark, sf_dir):
+    pages = fx.read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", urls.domain_without_www(F.col("url")).alias("dom"))
+
+
+@register("url_fingerprint")
+def url_fingerprint(spark, sf_dir):
+    pages = fx.read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", urls.url_fingerprint(F.col("url")).alias("refhash"))
+
+
+@register("ipv4_text")
+def ipv4_text(spark, sf_dir):
+    h = fx.history_ref_view(spark, sf_dir)
+    return h.select("event_id", "ipint", derive.ipv4_text(F.col("ipint")).alias("ip"))
+
+
+@register("event_enriched")
+def event_enriched(spark, sf_dir):
+    """The event table as stored (22 columns + dom, refhash, d, h) with the ip alias."""
+    h = fx.history_ref_view(spark, sf_dir)
+    return derive.with_event_aliases(tables.event_table_frame(h, keep=["event_id"]))
+
+
+@register("user_group_filter")
+def user_group_filter(spark, sf_dir):
+    lo, hi = schema.SHARD_GROUPS[1]
+    h = fx.history_ref_view(spark, sf_dir)
+    return (h.where(derive.in_user_groups(F.col("uid"), lo, hi))
+            .select("event_id", "uid", derive.user_group(F.col("uid")).alias("ug")))
+
+
+SLICE_HOUR = dt.datetime(2024, 1, 5, 13)
+
+
+@register("ingest_hour_slice")
+def ingest_hour_slice(spark, sf_dir):
+    """The hourly ingest of one hour for the first shard's user groups."""
+    lo, hi = schema.SHARD_GROUPS[1]
+    h = fx.history_ref_view(spark, sf_dir)
+    return ingest.ingest_hour(h, SLICE_HOUR, lo, hi, keep=["event_id"])
+
+
+@register("window_end")
+def window_end(spark, sf_dir):
+    """Distinct hour starts of the events and their 4 h 5 min window ends."""
+    h = fx.history_ref_view(spark, sf_dir)
+    start = F.make_timestamp_ntz(F.year("sec"), F.month("sec"), F.dayofmonth("sec"),
+                                 F.hour("sec"), F.lit(0), F.lit(0))
+    return (h.select(start.alias("s")).distinct()
+            .select(derive.format_window(F.col("s")).alias("window_start"),
+                    derive.format_window(derive.window_end(F.col("s"), 4, 5)).alias("window_end")))
+
+
+@register("sample_by_user")
+def sample_by_user(spark, sf_dir):
+    h = fx.history_ref_view(spark, sf_dir)
+    return h.where(derive.user_sample(F.col("uid"), 10, 3)).select("event_id", "uid")
+
+
+@register("hour_key_from_path")
+def hour_key_from_path(spark, sf_dir):
+    """Hour file paths of the events and the hour read back from them."""
+    h = fx.history_ref_view(spark, sf_dir)
+    path = F.concat(F.lit("../../reg_history_ref/"), F.date_format("sec", "yyyy-MM-dd"),
+                    F.lit("/"), F.date_format("sec", "HH"), F.lit("_s1.txt"))
+    return (h.select(path.alias("path")).distinct()
+            .select("path", tsv.hour_key(F.col("path")).alias("src_hour")))
+
+
+# ---------------------------------------------------------------- profiles and membership
+
+
+@register("volume_by_site_nonssp")
+def volume_by_site_nonssp(spark, sf_dir):
+    h, ssp = events_and_ssp(spark, sf_dir)
+    return profile.volume_by_site(h, ssp)
+
+
+@register("volume_by_site_zone_ssp")
+def volume_by_site_zone_ssp(spark, sf_dir):
+    h, ssp = events_and_ssp(spark, sf_dir)
+    return profile.volume_by_site_zone(h, ssp)
+
+
+SUBSET_SITES = (3, 7, 12)
+SUBSET_PAIRS = ((3, (1, 2)), (7, None), (12, (0, 5)))
+
+
+@register("site_subset")
+def site_subset(spark, sf_dir):
+    h = fx.history_ref_view(spark, sf_dir)
+    return (membership.sites_in(h, SUBSET_SITES)
+            .groupBy("sid").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("site_zone_subset")
+def site_zone_subset(spark, sf_dir):
+    h = fx.history_ref_view(spark, sf_dir)
+    return (membership.site_zones_in(h, spark, SUBSET_PAIRS)
+            .groupBy("sid", "sz").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("day_completeness")
+def day_completeness(spark, sf_dir):
+    return lifecycle.completeness(fx.history_ref_view(spark, sf_dir))
+
+
+@register("distinct_days")
+def distinct_days(spark, sf_dir):
+    return profile.distinct_days(fx.history_ref_view(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- lifecycle
+
+
+def ssp_bids(spark, sf_dir):
+    """Valid bids of SSP sites: a sparse stream, so some hours hold none."""
+    h, ssp = events_and_ssp(spark, sf_dir)
+    bids = fn.valid_events(h).where(F.col("tn") == schema.TN_BID)
+    return membership.only_ssp(bids, ssp)
+
+
+@register("hour_present")
+def hour_present(spark, sf_dir):
+    days = profile.distinct_days(fx.history_ref_view(spark, sf_dir))
+    return lifecycle.hours_present(ssp_bids(spark, sf_dir), days)
+
+
+@register("missing_hours")
+def missing_hours(spark, sf_dir):
+    days = profile.distinct_days(fx.history_ref_view(spark, sf_dir))
+    return lifecycle.missing_hours(ssp_bids(spark, sf_dir), days)
+
+
+EXCISE_FIRST, EXCISE_LAST = dt.date(2024, 1, 10), dt.date(2024, 1, 12)
+BACKFILL_TODAY = dt.date(2024, 1, 20)
+
+
+@register("missing_days")
+def missing_days(spark, sf_dir):
+    """Backfill list of 2024-01-20 against the events with 10-12 January cut out."""
+    table = lifecycle.outside_days(fx.history_ref_view(spark, sf_dir), EXCISE_FIRST, EXCISE_LAST)
+    return lifecycle.missing_days(table, lifecycle.day_list(spark, BACKFILL_TODAY))
+
+
+@register("need_fill")
+def need_fill(spark, sf_dir):
+    return lifecycle.fill_state(fx.history_ref_view(spark, sf_dir))
+
+
+@register("retention_expired_days")
+def retention_expired_days(spark, sf_dir):
+    return lifecycle.expired_days(fx.history_ref_view(spark, sf_dir))
+
+
+@register("retention_keep")
+def retention_keep(spark, sf_dir):
+    h = profile.with_day(fx.history_ref_view(spark, sf_dir))
+    kept = lifecycle.kept_days(h)
+    return (h.join(kept, "d", "left_semi")
+            .groupBy("d").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("excise_days")
+def excise_days(spark, sf_dir):
+    rest = lifecycle.outside_days(fx.history_ref_view(spark, sf_dir), EXCISE_FIRST, EXCISE_LAST)
+    return rest.groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("shard_union")
+def shard_union(spark, sf_dir):
+    """The events split into the two shards' user groups and read back as one table."""
+    h = fx.history_ref_view(spark, sf_dir)
+    shards = [h.where(derive.in_user_groups(F.col("uid"), lo, hi)).withColumn("shard", F.lit(s))
+              for s, (lo, hi) in schema.SHARD_GROUPS.items()]
+    whole = tables.union_shards(shards)
+    return (whole.groupBy(derive.user_group(F.col("uid")).alias("ug"), "shard")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("sum_event_id")))
+
+
+SSP_LOAD_DATE = dt.date(2024, 1, 31)
+
+
+def ssp_text_lines(spark, sf_dir):
+    """The SSP list rendered as ``sid<tabs>name`` text: runs of 1-3 tabs, plus
+    lines of other nations with a non-numeric id (rejected)."""
+    nation = fx.read_table(spark, sf_dir, "nation")
+    tabs = F.expr("repeat('\\t', 1 + n_nationkey % 3)")
+    good = F.concat(F.col("n_nationkey").cast("string"), tabs, F.col("n_name"))
+    bad = F.concat(F.lit("x"), F.col("n_nationkey").cast("string"), tabs, F.col("n_name"))
+    return nation.select(F.when(F.col("n_regionkey").isin(*fx.SSP_REGIONS), good)
+                         .otherwise(bad).alias("value"))
+
+
+@register("ssp_sites_load")
+def ssp_sites_load(spark, sf_dir):
+    sites, _ = ssp_src.parse_lines(ssp_text_lines(spark, sf_dir), SSP_LOAD_DATE)
+    return sites

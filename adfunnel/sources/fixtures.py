@@ -49,7 +49,7 @@ def history_ref_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as the event table: ``event_id`` plus the 22 stored columns."""
     ev = read_table(spark, sf_dir, "events")
     urls = F.broadcast(_page_urls(spark, sf_dir))
-    exposure = (F.floor(F.col("event_id") / 4) + 1).cast("bigint")
+    exposure = F.expr("event_id div 4") + 1
     tn = F.col("event_type")
     tn_code = F.lit(0)
     for name, code in EVENT_TYPE_TN.items():
