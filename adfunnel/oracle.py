@@ -86,7 +86,10 @@ v AS (
   SELECT h.*, (h.sid IN (SELECT sid FROM ssp)) AS is_ssp FROM h
   WHERE h.sn = 0 AND h.expid <> 0 AND h.tn IN (0, 1, 3)
 ),
-days AS (SELECT DISTINCT CAST(sec AS DATE) AS d FROM v),
+days AS (
+  SELECT DISTINCT CAST(sec AS DATE) AS d FROM v
+  UNION SELECT DISTINCT CAST(sec AS DATE) - 1 FROM v
+),
 sw(is_ssp, tn, slot, lo, hi) AS ({_window_rows()}),
 win AS (
   SELECT days.d, sw.is_ssp, sw.tn, sw.slot,
@@ -149,3 +152,269 @@ SQL: dict[str, str] = {}
 SQL["funnel_all"] = _funnel_sql()
 SQL["funnel_nonssp"] = _funnel_sql("WHERE tn = 0")
 SQL["funnel_ssp"] = _funnel_sql("WHERE tn = 3")
+
+
+# --------------------------------------------------------------------------
+# Scalar pieces in DuckDB form
+# --------------------------------------------------------------------------
+
+def _dom(x: str) -> str:
+    return (f"regexp_replace(lower(regexp_extract({x}, '{_HOST}', 1)), '^www\\.', '')")
+
+
+_HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]+)"
+
+
+def _ip(x: str) -> str:
+    return f"concat_ws('.', ({x} >> 24) & 255, ({x} >> 16) & 255, ({x} >> 8) & 255, {x} & 255)"
+
+
+def _ip_or_empty(x: str) -> str:
+    return f"CASE WHEN {x} = 0 THEN '' ELSE {_ip(x)} END"
+
+
+def _strip(x: str) -> str:
+    out = x
+    for code in (10, 9, 39, 34, 92):  # newline, tab, ', ", backslash
+        out = f"replace({out}, chr({code}), '')"
+    return out
+
+
+def _fingerprint(x: str) -> str:
+    return f"md5(regexp_replace({x}, '[/?#]$', ''))"
+
+
+def _repair(ref: str, sid: str) -> str:
+    return (f"CASE WHEN {sid} = 197671 AND NOT contains({ref}, '://') THEN 'http://' || {ref} "
+            f"WHEN {sid} = 187537 AND ends_with({ref}, '.google') THEN 'http://' || {ref} "
+            f"ELSE {ref} END")
+
+
+EVENT_COLS = ("uid, sec, expid, tn, sn, stn, ref, sid, sz, bref, geo, ipint, pz, bt, ad, net, "
+              "exppr, winexppr, secondpr, floor, ddid, custom")
+
+# --------------------------------------------------------------------------
+# Funnel pieces
+# --------------------------------------------------------------------------
+
+SQL["funnel_flags"] = with_h(f"""
+SELECT expid, d, sec, tn, {_dom('ref')} AS dom,
+  {_ip_or_empty('ipint_bid')} AS ip_bid, {_ip_or_empty('ipint_exp')} AS ip_exp,
+  {_ip_or_empty('ipint_cl')} AS ip_cl,
+  CAST(CASE WHEN ipint_bid <> 0 THEN 1 ELSE 0 END AS TINYINT) AS has_bid,
+  CAST(CASE WHEN ipint_exp <> 0 THEN 1 ELSE 0 END AS TINYINT) AS has_exp,
+  CAST(CASE WHEN ipint_cl <> 0 THEN 1 ELSE 0 END AS TINYINT) AS has_cl
+FROM f""", FUNNEL_CTES)
+
+SQL["slot_assignment"] = with_h("""
+SELECT event_id, CASE WHEN is_ssp THEN 'ssp' ELSE 'nonssp' END AS branch, d, CAST(slot AS INTEGER) AS slot
+FROM m""", FUNNEL_CTES)
+
+SQL["union_branches"] = with_h("""
+SELECT event_id, CASE WHEN is_ssp THEN 'ssp' ELSE 'nonssp' END AS branch, tn,
+  CASE WHEN tn = 1 THEN '' ELSE ref END AS ref,
+  CASE WHEN tn = 1 THEN '' ELSE bref END AS bref
+FROM v WHERE tn IN (0, 1) OR (is_ssp AND tn = 3)""", FUNNEL_CTES)
+
+SQL["valid_events"] = with_h("""
+SELECT event_id, expid, tn, sec, sid FROM h
+WHERE sn = 0 AND expid <> 0 AND tn IN (0, 1, 3)""")
+
+SQL["first_by_type"] = with_h("""
+SELECT expid,
+  coalesce(arg_min(sec, (sec, event_id)) FILTER (WHERE tn = 3), TIMESTAMP '1970-01-01 00:00:00') AS first_sec_bid,
+  coalesce(arg_min(uid, (sec, event_id)) FILTER (WHERE tn = 3), 0) AS first_uid_bid,
+  coalesce(arg_min(sec, (sec, event_id)) FILTER (WHERE tn = 0), TIMESTAMP '1970-01-01 00:00:00') AS first_sec_exp,
+  coalesce(arg_min(uid, (sec, event_id)) FILTER (WHERE tn = 0), 0) AS first_uid_exp,
+  coalesce(arg_min(sec, (sec, event_id)) FILTER (WHERE tn = 1), TIMESTAMP '1970-01-01 00:00:00') AS first_sec_cl,
+  coalesce(arg_min(uid, (sec, event_id)) FILTER (WHERE tn = 1), 0) AS first_uid_cl
+FROM h WHERE sn = 0 AND expid <> 0 AND tn IN (0, 1, 3)
+GROUP BY expid""")
+
+# --------------------------------------------------------------------------
+# Cleaning and derived columns
+# --------------------------------------------------------------------------
+
+SQL["null_defaults"] = with_h("""
+SELECT event_id, uid, sec,
+  CAST(coalesce(CASE WHEN sn = 1 AND geo < 20 THEN NULL ELSE expid END, 0) AS BIGINT) AS expid,
+  tn, sn,
+  CAST(coalesce(CASE WHEN sn = 1 THEN NULL ELSE stn END, 0) AS TINYINT) AS stn,
+  coalesce(CASE WHEN sn = 1 THEN NULL ELSE ref END, '') AS ref,
+  CAST(coalesce(CASE WHEN sn = 1 THEN NULL ELSE sid END, 0) AS BIGINT) AS sid,
+  CAST(coalesce(CASE WHEN sn = 1 THEN NULL ELSE sz END, 0) AS BIGINT) AS sz,
+  bref,
+  CAST(coalesce(CASE WHEN geo < 20 THEN NULL ELSE geo END, 0) AS INTEGER) AS geo,
+  CAST(coalesce(CASE WHEN geo < 20 THEN NULL ELSE ipint END, 0) AS BIGINT) AS ipint,
+  pz,
+  CAST(coalesce(CASE WHEN geo < 20 THEN NULL ELSE bt END, 0) AS INTEGER) AS bt,
+  ad, net,
+  CAST(coalesce(CASE WHEN geo < 20 THEN NULL ELSE exppr END, 0) AS DOUBLE) AS exppr,
+  winexppr, secondpr, floor, ddid,
+  coalesce(CASE WHEN geo < 20 THEN NULL ELSE custom END, '') AS custom
+FROM h""")
+
+SQL["strip_breaking_chars"] = f"""
+SELECT doc_id,
+  CAST(length({_strip('text')}) AS BIGINT) AS clean_len,
+  md5({_strip('text')}) AS clean_md5,
+  CAST(length(text) - length({_strip('text')}) AS BIGINT) AS n_removed
+FROM documents"""
+
+SQL["scheme_repair"] = f"""
+WITH r AS (
+  SELECT page_id,
+    CAST(CASE WHEN page_id % 3 = 0 THEN 197671 WHEN page_id % 3 = 1 THEN 187537 ELSE page_id END AS BIGINT) AS sid,
+    CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN regexp_replace(url, '^[a-zA-Z]+://', '')
+      WHEN 2 THEN url || '.google' ELSE '' END AS ref_in
+  FROM pages
+)
+SELECT page_id, sid, ref_in, {_repair('ref_in', 'sid')} AS ref_out FROM r"""
+
+SQL["url_domain"] = f"SELECT page_id, url, {_dom('url')} AS dom FROM pages"
+
+SQL["url_fingerprint"] = f"SELECT page_id, {_fingerprint('url')} AS refhash FROM pages"
+
+SQL["ipv4_text"] = with_h(f"SELECT event_id, ipint, {_ip('ipint')} AS ip FROM h")
+
+_DERIVED = (f"{_dom('ref')} AS dom, {_fingerprint('ref')} AS refhash, CAST(sec AS DATE) AS d, "
+            f"CAST(hour(sec) AS INTEGER) AS h")
+
+SQL["event_enriched"] = with_h(f"""
+SELECT event_id, {EVENT_COLS}, {_DERIVED}, {_ip('ipint')} AS ip FROM h""")
+
+SQL["user_group_filter"] = with_h("""
+SELECT event_id, uid, CAST(((uid % 256) + 256) % 256 + 1 AS BIGINT) AS ug FROM h
+WHERE ((uid % 256) + 256) % 256 + 1 BETWEEN 1 AND 128""")
+
+SQL["ingest_hour_slice"] = with_h(f"""
+SELECT event_id, {EVENT_COLS.replace('ref, ', 'ref, ', 1)}, {_DERIVED} FROM (
+  SELECT event_id, uid, sec, expid, tn, sn, stn,
+    {_repair(_strip('ref'), 'sid')} AS ref, sid, sz, {_strip('bref')} AS bref, geo, ipint, pz, bt,
+    ad, net, exppr, winexppr, secondpr, floor, ddid, {_strip('custom')} AS custom
+  FROM h
+  WHERE sec >= TIMESTAMP '2024-01-05 13:00:00' AND sec < TIMESTAMP '2024-01-05 14:00:00'
+    AND ((uid % 256) + 256) % 256 + 1 BETWEEN 1 AND 128
+) c""")
+
+SQL["window_end"] = with_h("""
+SELECT DISTINCT strftime(date_trunc('hour', sec), '%Y-%m-%dT%H:%M:%S') AS window_start,
+  strftime(date_trunc('hour', sec) + INTERVAL 4 HOUR + INTERVAL 5 MINUTE - INTERVAL 1 SECOND,
+           '%Y-%m-%dT%H:%M:%S') AS window_end
+FROM h""")
+
+SQL["sample_by_user"] = with_h("SELECT event_id, uid FROM h WHERE ((uid % 10) + 10) % 10 = 3")
+
+_HOUR_KEY = r"(\d\d\d\d)\D+(\d\d)\D+(\d\d)\D+(\d\d)"
+
+SQL["hour_key_from_path"] = with_h(f"""
+SELECT path, make_timestamp(
+    CAST(regexp_extract(path, '{_HOUR_KEY}', 1) AS BIGINT), CAST(regexp_extract(path, '{_HOUR_KEY}', 2) AS BIGINT),
+    CAST(regexp_extract(path, '{_HOUR_KEY}', 3) AS BIGINT), CAST(regexp_extract(path, '{_HOUR_KEY}', 4) AS BIGINT),
+    0, 0) AS src_hour
+FROM (SELECT DISTINCT '../../reg_history_ref/' || strftime(sec, '%Y-%m-%d') || '/' || strftime(sec, '%H')
+        || '_s1.txt' AS path FROM h) p""")
+
+# --------------------------------------------------------------------------
+# Profiles and membership
+# --------------------------------------------------------------------------
+
+SQL["volume_by_site_nonssp"] = with_h("""
+SELECT CAST(sec AS DATE) AS d, sid, count(*) AS n FROM h
+WHERE sn = 0 AND expid <> 0 AND sid NOT IN (SELECT sid FROM ssp)
+GROUP BY 1, 2 ORDER BY 1, 2""")
+
+SQL["volume_by_site_zone_ssp"] = with_h("""
+SELECT CAST(sec AS DATE) AS d, sid, sz, count(*) AS n FROM h
+WHERE sn = 0 AND expid <> 0 AND sid IN (SELECT sid FROM ssp)
+GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""")
+
+SQL["site_subset"] = with_h("SELECT sid, count(*) AS n FROM h WHERE sid IN (3, 7, 12) GROUP BY sid")
+
+SQL["site_zone_subset"] = with_h("""
+SELECT sid, sz, count(*) AS n FROM h
+WHERE (sid = 3 AND sz IN (1, 2)) OR sid = 7 OR (sid = 12 AND sz IN (0, 5))
+GROUP BY sid, sz""")
+
+SQL["day_completeness"] = with_h("""
+SELECT CAST(sec AS DATE) AS d, count(DISTINCT hour(sec)) AS n_hours,
+  count(DISTINCT hour(sec)) = 24 AS complete
+FROM h GROUP BY 1""")
+
+SQL["distinct_days"] = with_h("SELECT DISTINCT CAST(sec AS DATE) AS d FROM h")
+
+# --------------------------------------------------------------------------
+# Lifecycle
+# --------------------------------------------------------------------------
+
+_BIDS = """
+bids AS (
+  SELECT * FROM h WHERE sn = 0 AND expid <> 0 AND tn = 3 AND sid IN (SELECT sid FROM ssp)
+),
+hours AS (
+  SELECT dd.d, CAST(g.h AS INTEGER) AS h
+  FROM (SELECT DISTINCT CAST(sec AS DATE) AS d FROM h) dd, range(0, 24) g(h)
+)"""
+
+SQL["hour_present"] = with_h("""
+SELECT hours.d, hours.h,
+  EXISTS (SELECT 1 FROM bids b WHERE CAST(b.sec AS DATE) = hours.d AND hour(b.sec) = hours.h) AS present
+FROM hours""", _BIDS)
+
+SQL["missing_hours"] = with_h("""
+SELECT hours.d, hours.h FROM hours
+WHERE NOT EXISTS (SELECT 1 FROM bids b WHERE CAST(b.sec AS DATE) = hours.d AND hour(b.sec) = hours.h)""", _BIDS)
+
+SQL["missing_days"] = with_h("""
+SELECT CAST(g.d AS DATE) AS d
+FROM generate_series(DATE '2024-01-07', DATE '2024-01-19', INTERVAL 1 DAY) g(d)
+WHERE CAST(g.d AS DATE) NOT IN (
+  SELECT DISTINCT CAST(sec AS DATE) FROM h
+  WHERE CAST(sec AS DATE) NOT BETWEEN DATE '2024-01-10' AND DATE '2024-01-12')""")
+
+SQL["need_fill"] = with_h("""
+SELECT count(DISTINCT CAST(sec AS DATE)) AS n_days,
+  count(DISTINCT CAST(sec AS DATE)) < 21 AS need_fill
+FROM h""")
+
+_RANKED = """
+ranked AS (
+  SELECT d, row_number() OVER (ORDER BY d DESC) AS age
+  FROM (SELECT DISTINCT CAST(sec AS DATE) AS d FROM h) x
+)"""
+
+SQL["retention_expired_days"] = with_h("SELECT d FROM ranked WHERE age > 14", _RANKED)
+
+SQL["retention_keep"] = with_h("""
+SELECT CAST(sec AS DATE) AS d, count(*) AS n FROM h
+WHERE CAST(sec AS DATE) IN (SELECT d FROM ranked WHERE age <= 14)
+GROUP BY 1""", _RANKED)
+
+SQL["excise_days"] = with_h("""
+SELECT CAST(sec AS DATE) AS d, count(*) AS n FROM h
+WHERE CAST(sec AS DATE) NOT BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
+GROUP BY 1""")
+
+SQL["shard_union"] = with_h("""
+SELECT ug, CAST(CASE WHEN ug BETWEEN 1 AND 128 THEN 1 ELSE 2 END AS INTEGER) AS shard,
+  count(*) AS n, CAST(sum(event_id) AS BIGINT) AS sum_event_id
+FROM (SELECT CAST(((uid % 256) + 256) % 256 + 1 AS BIGINT) AS ug, event_id FROM h) x
+GROUP BY ug""")
+
+SQL["ssp_sites_load"] = """
+WITH lines AS (
+  SELECT CASE WHEN n_regionkey IN (0, 1) THEN '' ELSE 'x' END || CAST(n_nationkey AS VARCHAR)
+    || repeat(chr(9), 1 + n_nationkey % 3) || n_name AS line
+  FROM nation
+),
+parts AS (
+  SELECT string_split(regexp_replace(line, '\\t+', chr(9), 'g'), chr(9)) AS p FROM lines
+)
+SELECT TRY_CAST(trim(p[1]) AS BIGINT) AS sid, p[2] AS name, DATE '2024-01-31' AS d
+FROM parts WHERE len(p) = 2 AND TRY_CAST(trim(p[1]) AS BIGINT) IS NOT NULL"""
+
+SQL["publish_reconcile"] = with_h("""
+SELECT CAST(sec AS DATE) AS d, CAST(hour(sec) AS INTEGER) AS h,
+  CAST(0 AS BIGINT) AS before, count(*) AS staged, count(*) AS after, true AS ok
+FROM h WHERE CAST(sec AS DATE) = DATE '2024-01-10'
+GROUP BY 1, 2""")

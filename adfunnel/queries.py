@@ -368,3 +368,28 @@ def ssp_text_lines(spark, sf_dir):
 def ssp_sites_load(spark, sf_dir):
     sites, _ = ssp_src.parse_lines(ssp_text_lines(spark, sf_dir), SSP_LOAD_DATE)
     return sites
+
+
+PUBLISH_DAY = dt.date(2024, 1, 10)
+
+
+@register("publish_reconcile")
+def publish_reconcile(spark, sf_dir):
+    """Publish one staged day into an event table lacking it; per (d, h) counts.
+
+    Writes two tables in the shared scratch folder: the event table without
+    the day, and the day's staging table; then publishes and reconciles.
+    """
+    from .session import new_scratch_path
+
+    table = tables.event_table_frame(fx.history_ref_view(spark, sf_dir), keep=["event_id"])
+    main_path = new_scratch_path(spark, "main")
+    tables.write_partitioned(lifecycle.outside_days(table, PUBLISH_DAY), main_path, ["d", "h"],
+                             tables.EVENT_SORT)
+    stage_path = new_scratch_path(spark, "stage")
+    tables.write_partitioned(table.where(F.col("d") == derive.date_literal(PUBLISH_DAY)), stage_path,
+                             ["d", "h"], tables.EVENT_SORT)
+    report = lifecycle.publish(spark, spark.read.parquet(stage_path), main_path)
+    return spark.createDataFrame(
+        [(r["d"], r["h"], r["before"], r["staged"], r["after"], r["ok"]) for r in report],
+        "d date, h int, before bigint, staged bigint, after bigint, ok boolean")

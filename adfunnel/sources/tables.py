@@ -40,16 +40,22 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
-                      sort_cols: Sequence[str], cluster_partitions: int | None = None) -> None:
+                      sort_cols: Sequence[str], cluster_partitions: int | None = None,
+                      cluster: bool = True) -> None:
     """Dynamic partition overwrite of ``path``.
 
-    ``cluster_partitions``: range-partition on (partition cols + sort cols)
-    first, so each output file covers a narrow key range (one shuffle, sampled
-    bounds; a hot site is split by its zones and users).  Without it the write
-    is narrow: every task sorts its own rows and writes its own files.
+    With ``cluster`` (default) the rows are first range-partitioned on
+    (partition cols + sort cols): one shuffle with sampled bounds, so a large
+    hour is split over many tasks (a hot site by its zones and users), a small
+    one stays in one task, and every file covers a narrow key range for
+    min/max skipping.  ``cluster_partitions`` sets the number of ranges
+    (default ``spark.sql.shuffle.partitions``; AQE may coalesce).  Without
+    ``cluster`` the write is narrow: each task sorts and writes its own rows.
     """
-    if cluster_partitions:
-        df = df.repartitionByRange(cluster_partitions, *partition_cols, *sort_cols)
+    if cluster:
+        keys = [*partition_cols, *sort_cols]
+        df = (df.repartitionByRange(cluster_partitions, *keys) if cluster_partitions
+              else df.repartitionByRange(*keys))
     (df.sortWithinPartitions(*partition_cols, *sort_cols)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
