@@ -46,24 +46,27 @@ def write_tsv(df: DataFrame, path: str, mode: str = "error") -> None:
      .csv(path))
 
 
-RAW_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType(), True) for c in schema.EVENT_COLUMNS]
-    + [T.StructField(CORRUPT, T.StringType(), True)])
+def split_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """One text line per row -> the 22 fields as text, plus ``_corrupt_record``
+    holding the line when it does not have exactly 22 fields."""
+    parts = F.split(F.col(value_col), "\t", -1)
+    n = len(schema.EVENT_COLUMNS)
+    return lines.select(
+        *[F.get(parts, i).alias(c) for i, c in enumerate(schema.EVENT_COLUMNS)],
+        F.when(F.size(parts) != n, F.col(value_col)).alias(CORRUPT))
 
 
 def read_tsv_raw(spark: SparkSession, path: str) -> DataFrame:
-    """All 22 fields as text; lines with the wrong field count keep ``_corrupt_record``."""
-    return (spark.read.schema(RAW_SCHEMA)
-            .option("sep", "\t").option("header", "false").option("quote", "")
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .csv(path))
+    """All 22 fields as text.  Lines end at ``\n`` only (a carriage return is data)."""
+    return split_lines(spark.read.option("lineSep", "\n").text(path))
 
 
 def parse_raw(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Typed events and rejects from ``read_tsv_raw`` output.
 
-    Empty text fields read as NULL and get their default later (cleaning);
-    a non-empty field that does not parse rejects the row.
+    Empty numeric fields become NULL and get their default later (cleaning);
+    a non-empty field that does not parse, or a wrong field count, rejects
+    the row.
     """
     typed = []
     bad = F.col(CORRUPT).isNotNull()

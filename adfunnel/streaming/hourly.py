@@ -26,12 +26,10 @@ from ..session import new_scratch_path
 
 
 def hour_files(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(tsv.RAW_SCHEMA)
-              .option("sep", "\t").option("header", "false").option("quote", "")
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", tsv.CORRUPT))
+    reader = spark.readStream.option("lineSep", "\n")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(landing_dir)
+    return tsv.split_lines(reader.text(landing_dir))
 
 
 def event_rows(raw: DataFrame, ug_from: int, ug_to: int) -> DataFrame:

@@ -14,6 +14,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from adfunnel.session import build_session
 
-    s = build_session("local[*]", shuffle_partitions=8)
+    s = build_session("local[*]", shuffle_partitions=8,
+                      extra={"spark.sql.maxMetadataStringLength": "100000"})
     yield s
     s.stop()

@@ -27,3 +27,8 @@ def frame(spark, rows):
 
 def ssp_frame(spark, sids):
     return spark.createDataFrame([(int(s), f"ssp{s}") for s in sids], "sid bigint, name string")
+
+
+def plan_text(df) -> str:
+    """The executed physical plan, untruncated (AQE: the initial plan)."""
+    return df._jdf.queryExecution().executedPlan().toString()
