@@ -59,7 +59,8 @@ from .sources import tables, tsv  # noqa: E402
 
 import datetime as dt  # noqa: E402
 
-BRANCH_NAME = F.when(F.col("is_ssp"), F.lit("ssp")).otherwise(F.lit("nonssp"))
+def branch_name():
+    return F.when(F.col("is_ssp"), F.lit("ssp")).otherwise(F.lit("nonssp"))
 
 
 @register("funnel_flags")
@@ -75,7 +76,7 @@ def slot_assignment(spark, sf_dir):
     """Every (event, slot) pair the funnel groups: one or two slots per event."""
     h, ssp = events_and_ssp(spark, sf_dir)
     rows = slots.assign_slots(fn.branch_rows(h, ssp))
-    return rows.select("event_id", BRANCH_NAME.alias("branch"), F.col("slot_d").alias("d"), "slot")
+    return rows.select("event_id", branch_name().alias("branch"), F.col("slot_d").alias("d"), "slot")
 
 
 @register("union_branches")
@@ -84,7 +85,7 @@ def union_branches(spark, sf_dir):
     h, ssp = events_and_ssp(spark, sf_dir)
     rows = fn.branch_rows(h, ssp)
     blank = F.col("tn") == schema.TN_CLICK
-    return rows.select("event_id", BRANCH_NAME.alias("branch"), "tn",
+    return rows.select("event_id", branch_name().alias("branch"), "tn",
                        F.when(blank, F.lit("")).otherwise(F.col("ref")).alias("ref"),
                        F.when(blank, F.lit("")).otherwise(F.col("bref")).alias("bref"))
 
