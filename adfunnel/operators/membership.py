@@ -1,8 +1,12 @@
 """Membership tests: site lists, (site, zone) pairs, and the SSP split.
 
-Small sides are broadcast only behind a row-count check (``bounded_broadcast``);
-above the bound the join is left to the planner (sort-merge or, with AQE, a
-runtime broadcast when the measured size allows it).
+Broadcast policy: a side is broadcast only behind a row-count check.  For a
+dimension frame the check is one small job (``limit(n + 1).count()``),
+remembered per DataFrame object so a session pays it once.  Above the bound
+no hint is given and the planner chooses (a shuffle join, or a broadcast if
+its size estimate or AQE's runtime size says it fits).  Without the check a
+frame with no size statistics (e.g. built from Python rows) would plan as a
+sort-merge join that shuffles the whole event side first.
 """
 
 from __future__ import annotations
@@ -16,34 +20,44 @@ from pyspark.sql import functions as F
 # costs a few tens of bytes in the broadcast hash relation.
 BROADCAST_MAX_ROWS = 2_000_000
 
+_CHECKED: dict[int, tuple[DataFrame, bool]] = {}
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check reads at most ``max_rows + 1`` rows of the (small, dimension)
-    input; it is meant for key lists, not for event tables.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (checked once per frame)."""
+    hit = _CHECKED.get(id(df))
+    if hit is not None and hit[0] is df:
+        return hit[1]
+    small = df.limit(max_rows + 1).count() <= max_rows
+    _CHECKED[id(df)] = (df, small)  # keeps df alive, so its id is not reused
+    return small
+
+
+def bounded_broadcast(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its known row count is at most ``max_rows``."""
+    return F.broadcast(df) if n_rows <= max_rows else df
 
 
 def ssp_keys(ssp_sites: DataFrame) -> DataFrame:
-    """Distinct SSP site ids, flagged; the dimension may hold a site twice."""
-    return ssp_sites.select(F.col("sid").cast("bigint").alias("sid")).distinct() \
+    """Distinct SSP site ids, flagged; broadcast when the dimension is small.
+
+    The row count of the dimension bounds its distinct ids, so the check runs
+    on the input frame (remembered) rather than on this derived one.
+    """
+    keys = ssp_sites.select(F.col("sid").cast("bigint").alias("sid")).distinct() \
         .withColumn("is_ssp", F.lit(True))
+    return F.broadcast(keys) if fits_broadcast(ssp_sites) else keys
 
 
-def mark_ssp(events: DataFrame, ssp_sites: DataFrame,
-             max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def mark_ssp(events: DataFrame, ssp_sites: DataFrame) -> DataFrame:
     """Add boolean ``is_ssp``: one left join instead of a semi and an anti join."""
-    keys = bounded_broadcast(ssp_keys(ssp_sites), max_broadcast_rows)
-    return (events.join(keys, "sid", "left")
+    return (events.join(ssp_keys(ssp_sites), "sid", "left")
             .withColumn("is_ssp", F.coalesce(F.col("is_ssp"), F.lit(False))))
 
 
 def only_ssp(events: DataFrame, ssp_sites: DataFrame) -> DataFrame:
     """``sid IN (SELECT sid FROM ssp_sites)`` as a left semi join."""
-    return events.join(bounded_broadcast(ssp_keys(ssp_sites).select("sid")), "sid", "left_semi")
+    return events.join(ssp_keys(ssp_sites).select("sid"), "sid", "left_semi")
 
 
 def without_ssp(events: DataFrame, ssp_sites: DataFrame) -> DataFrame:
@@ -52,7 +66,7 @@ def without_ssp(events: DataFrame, ssp_sites: DataFrame) -> DataFrame:
     NOT IN would return nothing if the list held a NULL; ids are never NULL
     here, and the anti join keeps the intended meaning either way.
     """
-    return events.join(bounded_broadcast(ssp_keys(ssp_sites).select("sid")), "sid", "left_anti")
+    return events.join(ssp_keys(ssp_sites).select("sid"), "sid", "left_anti")
 
 
 def sites_in(events: DataFrame, sids: Iterable[int]) -> DataFrame:
@@ -76,12 +90,11 @@ def site_zones_in(events: DataFrame, spark: SparkSession,
                 term = term & F.col("sz").isin([int(z) for z in zones])
             cond = term if cond is None else cond | term
         return events.where(cond if cond is not None else F.lit(False))
-    keys = spark.createDataFrame(
-        [(int(s), None) for s, z in pairs if z is None]
-        + [(int(s), int(z)) for s, zs in pairs if zs is not None for z in zs],
-        "sid bigint, sz bigint")
+    key_rows = ([(int(s), None) for s, z in pairs if z is None]
+                + [(int(s), int(z)) for s, zs in pairs if zs is not None for z in zs])
+    keys = spark.createDataFrame(key_rows, "sid bigint, sz bigint")
     # equi-join on sid, zone test as a join condition; a semi join never duplicates
-    k = bounded_broadcast(keys).alias("k")
+    k = bounded_broadcast(keys, len(key_rows)).alias("k")
     return events.alias("e").join(
         k, (F.col("e.sid") == F.col("k.sid")) & (F.col("k.sz").isNull() | (F.col("e.sz") == F.col("k.sz"))),
         "left_semi")

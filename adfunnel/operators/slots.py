@@ -110,36 +110,31 @@ _check_tables()
 _CODE_BASE = 8  # slot code = days back * 8 + slot
 
 
-def _pick(ws: list[tuple[int, int, int, int]], tod: Column) -> Column:
-    """CASE over windows in the given order -> int code of the first hit (NULL if none)."""
-    expr = None
-    for back, slot, lo, hi in ws:
-        code = F.lit(back * _CODE_BASE + slot)
-        cond = tod.between(lo, hi)
-        expr = F.when(cond, code) if expr is None else expr.when(cond, code)
-    return expr
+def _pick(ws: list[tuple[int, int, int, int]], tod: str) -> str:
+    """SQL CASE over windows in the given order -> int code of the first hit (NULL if none)."""
+    arms = " ".join(f"WHEN {tod} BETWEEN {lo} AND {hi} THEN {back * _CODE_BASE + slot}"
+                    for back, slot, lo, hi in ws)
+    return f"CASE {arms} END"
 
 
 def second_of_day(ts: Column) -> Column:
     return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
-def slot_codes(tod: Column, is_ssp: Column, role: Column) -> Column:
-    """Array of the one or two slot codes of an event (distinct; [NULL] if none).
+def slot_codes_sql(tod: str, is_ssp: str, role: str) -> str:
+    """SQL for the array of the one or two slot codes of an event ([NULL] if none).
 
     ``tod`` is the second of the day.  At most two windows hold any second
     (checked at import), so the first and the last hit in window order name
-    them all.
+    them all.  Built as one SQL expression (parsed once by the JVM).
     """
-    first = None
-    last = None
+    first, last = [], []
     for (ssp, r) in _END_COLUMN:
         ws = windows(ssp, r)
-        cond = (is_ssp == F.lit(ssp)) & (role == F.lit(r))
-        f, l_ = _pick(ws, tod), _pick(list(reversed(ws)), tod)
-        first = F.when(cond, f) if first is None else first.when(cond, f)
-        last = F.when(cond, l_) if last is None else last.when(cond, l_)
-    return F.array_distinct(F.array(first, last))
+        cond = f"{is_ssp} = {str(ssp).lower()} AND {role} = {r}"
+        first.append(f"WHEN {cond} THEN {_pick(ws, tod)}")
+        last.append(f"WHEN {cond} THEN {_pick(list(reversed(ws)), tod)}")
+    return f"array_distinct(array(CASE {' '.join(first)} END, CASE {' '.join(last)} END))"
 
 
 def assign_slots(df: DataFrame, ts_col: str = "sec", ssp_col: str = "is_ssp",
@@ -150,7 +145,7 @@ def assign_slots(df: DataFrame, ts_col: str = "sec", ssp_col: str = "is_ssp",
     ``role_col`` (ANCHOR / EXPOSURE / CLICK); rows outside every window go.
     """
     with_tod = df.withColumn("_tod", second_of_day(F.col(ts_col)))
-    codes = slot_codes(F.col("_tod"), F.col(ssp_col), F.col(role_col))
+    codes = F.expr(slot_codes_sql("_tod", f"`{ssp_col}`", f"`{role_col}`"))
     exploded = with_tod.withColumn("_code", F.explode(codes))
     day = F.to_date(F.col(ts_col))
     return (exploded.where(F.col("_code").isNotNull())

@@ -37,11 +37,30 @@ def funnel_for_day(events: DataFrame, ssp_sites: DataFrame, day: dt.date,
     return fn.funnel(day_scope(events, day), ssp_sites, tiebreak, days=[day])
 
 
+LOOKAHEAD_HOURS = 2  # followers of the last slots arrive until 01:59:59 of D+1
+
+
+def lookahead_ready(events: DataFrame, day: dt.date) -> bool:
+    """Hours 0 and 1 of D+1 are loaded (late clicks of D are in)."""
+    nxt = day + dt.timedelta(days=1)
+    return all(lifecycle.hour_present(events, dt.datetime.combine(nxt, dt.time(h)))
+               for h in range(LOOKAHEAD_HOURS))
+
+
 def build_day(spark: SparkSession, events_path: str, ssp_sites: DataFrame, day: dt.date,
-              out_path: str, require_complete: bool = True, tiebreak: Sequence[str] = ()) -> None:
+              out_path: str, require_complete: bool = True, require_lookahead: bool = False,
+              tiebreak: Sequence[str] = ()) -> None:
+    """Build and write funnel partition ``day``.
+
+    Gate: the day holds 24 hours (as the original build); with
+    ``require_lookahead`` also the first two hours of the next day, so no late
+    click is missed.  Without it, rebuild the day once they have arrived.
+    """
     events = spark.read.parquet(events_path)
     if require_complete and not lifecycle.day_is_complete(events, day):
         raise IncompleteDay(f"day {day} does not hold 24 hours")
+    if require_lookahead and not lookahead_ready(events, day):
+        raise IncompleteDay(f"hours 0-1 of the day after {day} are not loaded")
     tables.write_funnel(funnel_for_day(events, ssp_sites, day, tiebreak), out_path)
 
 

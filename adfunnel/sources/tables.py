@@ -49,13 +49,17 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     hour is split over many tasks (a hot site by its zones and users), a small
     one stays in one task, and every file covers a narrow key range for
     min/max skipping.  ``cluster_partitions`` sets the number of ranges
-    (default ``spark.sql.shuffle.partitions``; AQE may coalesce).  Without
-    ``cluster`` the write is narrow: each task sorts and writes its own rows.
+    (default ``spark.sql.shuffle.partitions``).  The number is explicit on
+    purpose: AQE would coalesce a small shuffle into one task, and one task
+    writing hundreds of partition folders runs them one after the other.
+    Size it from the data at scale (e.g. bytes of the hour / 256 MB).
+    Without ``cluster`` the write is narrow: each task sorts and writes its
+    own rows.
     """
     if cluster:
         keys = [*partition_cols, *sort_cols]
-        df = (df.repartitionByRange(cluster_partitions, *keys) if cluster_partitions
-              else df.repartitionByRange(*keys))
+        n = cluster_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *keys)
     (df.sortWithinPartitions(*partition_cols, *sort_cols)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))

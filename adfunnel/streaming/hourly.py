@@ -26,7 +26,8 @@ from ..session import new_scratch_path
 
 
 def hour_files(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.option("lineSep", "\n")
+    # landing layout <root>/<day>/<hour>_<shard>.txt: look into sub-folders
+    reader = spark.readStream.option("lineSep", "\n").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return tsv.split_lines(reader.text(landing_dir))

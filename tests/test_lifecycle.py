@@ -134,6 +134,10 @@ def test_build_day_gate_and_idempotence(spark):
     assert sorted(map(tuple, expected.collect())) == first and len(first) > 0
     with pytest.raises(daily.IncompleteDay):
         daily.build_day(spark, events, ssp, dt.date(2024, 1, 7), out)
+    # the last loaded day has no next day yet: the lookahead gate holds it back
+    with pytest.raises(daily.IncompleteDay):
+        daily.build_day(spark, events, ssp, dt.date(2024, 1, 6), out, require_lookahead=True)
+    daily.build_day(spark, events, ssp, day, out, require_lookahead=True)
 
 
 def test_day_scope_prunes_partitions(spark):

@@ -74,3 +74,10 @@ def test_daily_scope_reads_two_partitions(spark):
     plan = plan_text(df)
     assert "PartitionFilters: [d#" in plan and "IN (2024-01-09,2024-01-10)" in plan
     assert df.where(F.col("d") != F.lit(dt.date(2024, 1, 9))).count() == 0
+
+
+def test_ssp_membership_broadcasts(spark):
+    for key, join in (("volume_by_site_nonssp", "LeftAnti"), ("volume_by_site_zone_ssp", "LeftSemi"),
+                      ("funnel_all", "LeftOuter")):
+        plan = plan_text(QUERIES[key](spark, SF_SMALL))
+        assert f"BroadcastHashJoin" in plan and join in plan, key
