@@ -123,6 +123,17 @@ def kept_days(table: DataFrame, keep: int = schema.RETENTION_DAYS) -> DataFrame:
     return ranked_days(table).where(F.col("age") <= keep).select("d")
 
 
+def kept_day_counts(table: DataFrame, keep: int = schema.RETENTION_DAYS) -> DataFrame:
+    """Rows per day for the newest ``keep`` days.
+
+    Counts per day first (partial aggregation: one row per day and task),
+    then ranks the per-day rows; no join of the table with the day list.
+    """
+    per_day = profile.with_day(table).groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.orderBy(F.col("d").desc())
+    return per_day.withColumn("age", F.row_number().over(w)).where(F.col("age") <= keep).select("d", "n")
+
+
 def outside_days(table: DataFrame, first: str | dt.date, last: str | dt.date | None = None) -> DataFrame:
     """The table without the days ``first .. last`` (``last`` defaults to ``first``)."""
     lo = parse_day(first)

@@ -328,10 +328,7 @@ def retention_expired_days(spark, sf_dir):
 
 @register("retention_keep")
 def retention_keep(spark, sf_dir):
-    h = profile.with_day(fx.history_ref_view(spark, sf_dir))
-    kept = lifecycle.kept_days(h)
-    return (h.join(kept, "d", "left_semi")
-            .groupBy("d").agg(F.count(F.lit(1)).alias("n")))
+    return lifecycle.kept_day_counts(fx.history_ref_view(spark, sf_dir))
 
 
 @register("excise_days")

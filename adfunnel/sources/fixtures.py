@@ -28,17 +28,19 @@ EVENT_TYPE_TN = {"view": 0, "click": 1, "purchase": 2, "signup": 3, "error": 0}
 SSP_REGIONS = (0, 1)
 
 
-_PLANS: dict[tuple, DataFrame] = {}
+_PLANS: dict[tuple, tuple[SparkSession, DataFrame]] = {}
 
 
 def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Reuse a DataFrame *definition* per session: the driver tables are
     read-only, so the plan (schema, file listing, analysed view) is built once.
     No data is cached; every action still scans the files."""
-    k = (id(spark._jsparkSession), *key)
-    df = _PLANS.get(k)
-    if df is None:
-        df = _PLANS[k] = build()
+    k = (id(spark), *key)
+    hit = _PLANS.get(k)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = build()
+    _PLANS[k] = (spark, df)  # holding the session keeps its id from being reused
     return df
 
 

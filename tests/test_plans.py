@@ -81,3 +81,8 @@ def test_ssp_membership_broadcasts(spark):
                       ("funnel_all", "LeftOuter")):
         plan = plan_text(QUERIES[key](spark, SF_SMALL))
         assert f"BroadcastHashJoin" in plan and join in plan, key
+
+
+def test_retention_counts_without_join(spark):
+    plan = plan_text(QUERIES["retention_keep"](spark, SF_SMALL))
+    assert "Join" not in plan.replace("BroadcastHashJoin [_ref_page", "").replace("BroadcastHashJoin [_bref_page", "")
