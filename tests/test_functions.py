@@ -117,3 +117,16 @@ def test_user_sample_is_per_user(spark):
     assert users == {u for u in range(37) if u % 10 == 3}
     with pytest.raises(ValueError):
         derive.user_sample(F.col("uid"), 10, 10)
+
+
+def test_all_twenty_defaults(spark):
+    from adfunnel import schema
+
+    r = event(1, "2024-01-01 00:00:00", 5, 0, 3)
+    for c in schema.NUMERIC_DEFAULTED + schema.STRING_DEFAULTED:
+        r[c] = None
+    assert len(schema.NUMERIC_DEFAULTED) == 17 and len(schema.STRING_DEFAULTED) == 3
+    out = clean.fill_defaults(frame(spark, [r]).drop("event_id")).first().asDict()
+    assert all(out[c] == 0 for c in schema.NUMERIC_DEFAULTED)
+    assert all(out[c] == "" for c in schema.STRING_DEFAULTED)
+    assert out["uid"] == 1001 and out["sec"] is not None
