@@ -219,8 +219,8 @@ def publish(spark: SparkSession, staged: DataFrame, main_path: str,
     Refuses an empty stage.  Partitions already in the main table are left
     alone (an hour is loaded once).  The others are written by dynamic
     partition overwrite, so a crashed and rerun publish gives the same table.
-    Counts before and after read only the staged partitions of the main table
-    (partition pruning), never the whole table.  Returns, per staged
+    Counts before and after read only the staged partition folders of the
+    main table (no listing of the whole table).  Returns, per staged
     partition: before, staged, after and ``ok`` (after = before + staged for
     written partitions; unchanged for skipped ones).
     """
@@ -228,15 +228,15 @@ def publish(spark: SparkSession, staged: DataFrame, main_path: str,
     staged_counts = _counts(staged, keys)  # one row per staged partition
     if not staged_counts:
         raise LifecycleError("staged table is empty")
-    scope = partition_filter(keys, staged_counts)
-    main = tables.read_if_exists(spark, main_path)
-    before = {} if main is None else _counts(main.where(scope), keys)
+    main = tables.read_partitions(spark, main_path, keys, staged_counts)
+    before = {} if main is None else _counts(main, keys)
     fresh = [k for k in staged_counts if not before.get(k)]
     if fresh:
         sort = tables.EVENT_SORT if keys == ["d", "h"] else tables.FUNNEL_SORT
         tables.write_partitioned(staged.where(partition_filter(keys, fresh)), main_path, keys,
                                  [c for c in sort if c in staged.columns])
-    after = _counts(spark.read.parquet(main_path).where(scope), keys)
+    touched = tables.read_partitions(spark, main_path, keys, staged_counts)
+    after = {} if touched is None else _counts(touched, keys)
     out = []
     for k, n in sorted(staged_counts.items()):
         b = before.get(k, 0)

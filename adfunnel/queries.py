@@ -380,13 +380,20 @@ def publish_reconcile(spark, sf_dir):
     """
     from .session import new_scratch_path
 
-    table = tables.event_table_frame(fx.history_ref_view(spark, sf_dir), keep=["event_id"])
-    main_path = new_scratch_path(spark, "main")
-    tables.write_partitioned(lifecycle.outside_days(table, PUBLISH_DAY), main_path, ["d", "h"],
-                             tables.EVENT_SORT)
-    stage_path = new_scratch_path(spark, "stage")
-    tables.write_partitioned(table.where(F.col("d") == derive.date_literal(PUBLISH_DAY)), stage_path,
-                             ["d", "h"], tables.EVENT_SORT)
+    from pyspark import StorageLevel
+
+    # computed once for both writes (and their range sampling); a lost block is recomputed
+    table = tables.event_table_frame(fx.history_ref_view(spark, sf_dir), keep=["event_id"]) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        main_path = new_scratch_path(spark, "main")
+        tables.write_partitioned(lifecycle.outside_days(table, PUBLISH_DAY), main_path, ["d", "h"],
+                                 tables.EVENT_SORT)
+        stage_path = new_scratch_path(spark, "stage")
+        tables.write_partitioned(table.where(F.col("d") == derive.date_literal(PUBLISH_DAY)), stage_path,
+                                 ["d", "h"], tables.EVENT_SORT)
+    finally:
+        table.unpersist()
     report = lifecycle.publish(spark, spark.read.parquet(stage_path), main_path)
     return spark.createDataFrame(
         [(r["d"], r["h"], r["before"], r["staged"], r["after"], r["ok"]) for r in report],

@@ -10,7 +10,8 @@ replaces it instead of adding to it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,23 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
+def partition_path(path: str, keys: Sequence[str], values: Sequence) -> str:
+    parts = [f"{k}={v:%Y-%m-%d}" if isinstance(v, dt.date) else f"{k}={v}" for k, v in zip(keys, values)]
+    return "/".join([path.rstrip("/"), *parts])
+
+
+def read_partitions(spark: SparkSession, path: str, keys: Sequence[str],
+                    values: Iterable[Sequence]) -> DataFrame | None:
+    """Only the named partitions of a table, by their folders (``basePath`` keeps
+    the partition columns).  Lists those folders alone, not the whole table:
+    the cost follows the partitions touched, not the table size.  None if none
+    of them exists."""
+    paths = [p for p in (partition_path(path, keys, v) for v in values) if path_exists(spark, p)]
+    if not paths:
+        return None
+    return spark.read.option("basePath", path).parquet(*paths)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       sort_cols: Sequence[str], cluster_partitions: int | None = None,
                       cluster: bool = True) -> None:
