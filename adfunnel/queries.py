@@ -137,7 +137,7 @@ def null_defaults(spark, sf_dir):
 @register("strip_breaking_chars")
 def strip_breaking_chars(spark, sf_dir):
     """Whole documents stripped of tab-breaking characters: length, digest, removed count."""
-    docs = fx.read_table(spark, sf_dir, "documents")
+    docs = fx.spread(fx.read_table(spark, sf_dir, "documents"))
     stripped = clean.strip_breaking(F.col("text"))
     return docs.select(
         "doc_id",
