@@ -20,6 +20,7 @@ from .. import schema
 from ..functions import derive
 
 EVENT_SORT = ["sid", "dom", "sz", "uid"]
+SALT_SEED = 17
 FUNNEL_SORT = ["uid"]
 
 
@@ -63,9 +64,9 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     """Dynamic partition overwrite of ``path``.
 
     With ``cluster`` (default) the rows are first range-partitioned on
-    (partition cols + sort cols): one shuffle with sampled bounds, so a large
-    hour is split over many tasks (a hot site by its zones and users), a small
-    one stays in one task, and every file covers a narrow key range for
+    (partition cols + sort cols + a salt): one shuffle with sampled bounds, so
+    a large hour is split over many tasks (a hot site by its zones and users,
+    a mass of identical rows by the salt), a small one stays in one task, and every file covers a narrow key range for
     min/max skipping.  ``cluster_partitions`` sets the number of ranges
     (default ``spark.sql.shuffle.partitions``).  The number is explicit on
     purpose: AQE would coalesce a small shuffle into one task, and one task
@@ -77,7 +78,11 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     if cluster:
         keys = [*partition_cols, *sort_cols]
         n = cluster_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *keys)
+        # last range key: a seeded salt, so even a mass of identical rows (one key
+        # holding a third of an hour) is cut into several ranges; seeded per input
+        # partition, a recomputed task draws the same values
+        df = (df.withColumn("_salt", F.rand(SALT_SEED))
+              .repartitionByRange(n, *keys, "_salt").drop("_salt"))
     (df.sortWithinPartitions(*partition_cols, *sort_cols)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))

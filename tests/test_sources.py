@@ -90,3 +90,17 @@ def test_event_table_write_layout(spark):
     plan = back.where((F.col("d") == F.lit("2024-01-01").cast("date")) & (F.col("h") == 3))._jdf \
         .queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "isnotnull(d" in plan
+
+
+def test_write_splits_a_mass_of_copies(spark):
+    """A third of the rows identical: the write still spreads them over several files."""
+    h = fx.history_ref_view(spark, SF_SMALL).where(F.to_date("sec") == F.lit("2024-01-02").cast("date"))
+    copies = (h.limit(1).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(2000))))
+              .drop("_copy"))
+    path = new_scratch_path(spark, "copies")
+    tables.write_partitioned(tables.event_table_frame(h.unionByName(copies)), path, ["d", "h"],
+                             tables.EVENT_SORT, cluster_partitions=8)
+    back = spark.read.parquet(path)
+    assert back.count() == h.count() + 2000
+    hot = back.groupBy(F.input_file_name().alias("f")).count().where(F.col("count") > 100).count()
+    assert hot >= 2
