@@ -50,3 +50,21 @@ def merge_sites(current: DataFrame | None, new: DataFrame) -> DataFrame:
         new.select("sid", "name", "d", F.lit(1).alias("_src")))
     newest = F.max_by(F.struct("name", "d"), F.struct("d", "_src"))
     return both.groupBy("sid").agg(newest.alias("_n")).select("sid", "_n.name", "_n.d")
+
+
+def load_sites(spark: SparkSession, text_path: str, table_path: str,
+               load_date: dt.date | None = None) -> tuple[int, int]:
+    """Load a site list file into the SSP table: merge, then replace the table.
+
+    The merged frame reads the table it replaces, so its lineage is cut first
+    with ``checkpoint()`` (written to the shared ``spark.checkpoint.dir``).
+    Returns (sites in the table, rejected lines).
+    """
+    from ..session import scratch_dir
+    from .tables import read_if_exists
+
+    scratch_dir(spark)  # make sure a checkpoint folder is set
+    new, rejects = read_ssp_text(spark, text_path, load_date)
+    merged = merge_sites(read_if_exists(spark, table_path), new).checkpoint()
+    merged.write.mode("overwrite").parquet(table_path)
+    return merged.count(), rejects.count()

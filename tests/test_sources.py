@@ -104,3 +104,16 @@ def test_write_splits_a_mass_of_copies(spark):
     assert back.count() == h.count() + 2000
     hot = back.groupBy(F.input_file_name().alias("f")).count().where(F.col("count") > 100).count()
     assert hot >= 2
+
+
+def test_load_sites_twice(spark, tmp_path):
+    table = new_scratch_path(spark, "ssp")
+    a = tmp_path / "a.txt"
+    a.write_text("1\tone\n2\t\ttwo\n")
+    assert ssp.load_sites(spark, str(a), table, dt.date(2024, 1, 1)) == (2, 0)
+    b = tmp_path / "b.txt"
+    b.write_text("2\tTWO\n3\tthree\nbad line\n")
+    assert ssp.load_sites(spark, str(b), table, dt.date(2024, 1, 2)) == (3, 1)
+    got = {r["sid"]: (r["name"], r["d"]) for r in spark.read.parquet(table).collect()}
+    assert got == {1: ("one", dt.date(2024, 1, 1)), 2: ("TWO", dt.date(2024, 1, 2)),
+                   3: ("three", dt.date(2024, 1, 2))}
