@@ -64,3 +64,26 @@ def load_hour_file(spark: SparkSession, path: str, ug_from: int, ug_to: int, mai
         raise ValueError(f"no hour in path {path!r}")
     raw, _ = tsv.read_tsv(spark, path)
     return load_hour(spark, raw, row["h"], ug_from, ug_to, main_path)
+
+
+def hour_file(landing_root: str, hour: dt.datetime, shard: str) -> str:
+    """Landing layout of an hour file: ``<root>/<yyyy-mm-dd>/<HH>_<shard>.txt``."""
+    return f"{landing_root.rstrip('/')}/{hour:%Y-%m-%d}/{hour:%H}_{shard}.txt"
+
+
+def load_day_files(spark: SparkSession, landing_root: str, day: dt.date, shard: str,
+                   ug_from: int, ug_to: int, main_path: str) -> list[dict]:
+    """Load the 24 hour files of a day for one shard, each hour once.
+
+    Hours run one after the other (each is one Spark job over its file); a
+    missing file is reported, not fatal, and a rerun loads only what is left.
+    """
+    out = []
+    for h in range(24):
+        hour = dt.datetime.combine(day, dt.time(h))
+        path = hour_file(landing_root, hour, shard)
+        if not tables.path_exists(spark, path):
+            out.append({"hour": hour, "status": "missing"})
+            continue
+        out.append(load_hour_file(spark, path, ug_from, ug_to, main_path))
+    return out

@@ -174,3 +174,19 @@ def test_hour_probe(spark):
     t = frame(spark, rows)
     assert lifecycle.hour_present(t, dt.datetime(2024, 1, 1, 5))
     assert not lifecycle.hour_present(t, dt.datetime(2024, 1, 1, 6))
+
+
+def test_load_day_files(spark, tmp_path):
+    h = fx.history_ref_view(spark, SF_CHECK)
+    day = dt.date(2024, 1, 3)
+    root = tmp_path / "reg"
+    for hr in (5, 6):
+        start = dt.datetime.combine(day, dt.time(hr))
+        part = h.where(F.col("sec").between(F.lit(start).cast("timestamp_ntz"),
+                                            F.lit(start + dt.timedelta(seconds=3599)).cast("timestamp_ntz")))
+        tsv.write_tsv(part.coalesce(1), ingest.hour_file(str(root), start, "s1"))
+    main = new_scratch_path(spark, "main")
+    statuses = [r["status"] for r in ingest.load_day_files(spark, str(root), day, "s1", 1, 256, main)]
+    assert statuses.count("loaded") == 2 and statuses.count("missing") == 22
+    again = [r["status"] for r in ingest.load_day_files(spark, str(root), day, "s1", 1, 256, main)]
+    assert again.count("present") == 2
