@@ -49,12 +49,15 @@ def load_hour(spark: SparkSession, raw: DataFrame, hour: dt.datetime, ug_from: i
         return {"hour": hour, "status": "present"}
     rows = ingest_hour(raw, hour, ug_from, ug_to)
     stage = new_scratch_path(spark, f"stage-{hour:%Y%m%dT%H}")
-    tables.write_partitioned(rows, stage, ["d", "h"], tables.EVENT_SORT)
-    staged = spark.read.parquet(stage)
-    if staged.isEmpty():
-        return {"hour": hour, "status": "empty"}
-    report = lifecycle.publish(spark, staged, main_path)
-    return {"hour": hour, "status": "loaded", "report": report}
+    try:
+        tables.write_partitioned(rows, stage, ["d", "h"], tables.EVENT_SORT)
+        staged = spark.read.parquet(stage)
+        if staged.isEmpty():
+            return {"hour": hour, "status": "empty"}
+        report = lifecycle.publish(spark, staged, main_path)
+        return {"hour": hour, "status": "loaded", "report": report}
+    finally:
+        tables.delete_path(spark, stage)  # the staging table ends empty
 
 
 def load_hour_file(spark: SparkSession, path: str, ug_from: int, ug_to: int, main_path: str) -> dict:

@@ -36,6 +36,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder (a staging table after its publish); True if it existed."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at ``path``, or None when nothing was written there yet."""
     return spark.read.parquet(path) if path_exists(spark, path) else None

@@ -55,6 +55,7 @@ def start(spark: SparkSession, landing_dir: str, main_path: str, ug_from: int, u
         staged = session.read.parquet(stage)
         if not staged.isEmpty():
             lifecycle.publish(session, staged, main_path)
+        tables.delete_path(session, stage)
 
     writer = (rows.writeStream.foreachBatch(publish_batch)
               .option("checkpointLocation", checkpoint or new_scratch_path(spark, "ingest-ckpt")))

@@ -89,6 +89,9 @@ def test_publish_once_and_rerun(spark):
     assert n == sum(r["staged"] for r in first["report"]) > 0
     again = ingest.load_hour(spark, h, hour, 1, 256, main)
     assert again["status"] == "present"
+    from adfunnel.session import scratch_dir
+    import glob
+    assert not glob.glob(scratch_dir(spark).replace("file:", "") + "/stage-20240107T09-*"), "stage left behind"
     assert spark.read.parquet(main).count() == n
     nxt = ingest.load_hour(spark, h, hour + dt.timedelta(hours=1), 1, 128, main)
     assert nxt["status"] == "loaded"
