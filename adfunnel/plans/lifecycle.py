@@ -164,6 +164,29 @@ def drop_day_partitions(spark: SparkSession, path: str, days: Iterable[dt.date])
     return n
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """Storage folder of a catalog table."""
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if r["col_name"] == "Location":
+            return r["data_type"]
+    raise LifecycleError(f"no location for {table}")
+
+
+def drop_table_days(spark: SparkSession, table: str, days: Iterable[dt.date]) -> int:
+    """Remove days from a catalog table partitioned by ``d`` (and ``h``).
+
+    Deletes the day folders under the table location, drops the partition
+    entries where the catalog tracks them (a metastore does; the in-memory
+    catalog lists folders), and refreshes the cached file listing.
+    """
+    days = list(days)
+    n = drop_day_partitions(spark, table_location(spark, table), days)
+    for d in days:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (d = '{d:%Y-%m-%d}')")
+    spark.sql(f"REFRESH TABLE {table}")
+    return n
+
+
 def _count(spark: SparkSession, path: str) -> int:
     table = tables.read_if_exists(spark, path)
     return 0 if table is None else table.count()

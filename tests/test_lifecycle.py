@@ -193,3 +193,17 @@ def test_load_day_files(spark, tmp_path):
     assert statuses.count("loaded") == 2 and statuses.count("missing") == 22
     again = [r["status"] for r in ingest.load_day_files(spark, str(root), day, "s1", 1, 256, main)]
     assert again.count("present") == 2
+
+
+def test_drop_days_of_catalog_table(spark):
+    from adfunnel.session import local_path
+
+    loc = local_path(new_scratch_path(spark, "db"))
+    tables.create_tables(spark, "adf_drop", loc)
+    h = fx.history_ref_view(spark, SF_SMALL)
+    rows = tables.event_table_frame(h).where(F.col("d") <= F.lit("2024-01-03").cast("date"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto("adf_drop.history_ref")
+    n = lifecycle.drop_table_days(spark, "adf_drop.history_ref", [dt.date(2024, 1, 2)])
+    assert n == 1
+    days = {r["d"] for r in spark.table("adf_drop.history_ref").select("d").distinct().collect()}
+    assert days == {dt.date(2024, 1, 1), dt.date(2024, 1, 3)}
