@@ -115,3 +115,25 @@ def test_load_sites_twice(spark, tmp_path):
     got = {r["sid"]: (r["name"], r["d"]) for r in spark.read.parquet(table).collect()}
     assert got == {1: ("one", dt.date(2024, 1, 1)), 2: ("TWO", dt.date(2024, 1, 2)),
                    3: ("three", dt.date(2024, 1, 2))}
+
+
+def test_source_hour_from_file_path(spark, tmp_path):
+    h = fx.history_ref_view(spark, SF_SMALL).limit(5)
+    root = tmp_path / "reg" / "2024-01-01"
+    tsv.write_tsv(h, str(root / "07_s1.txt"))
+    raw = tsv.with_source_hour(spark.read.option("lineSep", "\n").text(str(root / "07_s1.txt")))
+    hours = {r["src_hour"] for r in raw.select("src_hour").collect()}
+    assert hours == {dt.datetime(2024, 1, 1, 7)}
+
+
+def test_shards_and_counts(spark):
+    from adfunnel.operators import profile
+
+    df = spark.range(512).withColumnRenamed("id", "uid")
+    got = {r["s"]: r["n"] for r in df.groupBy(tables.shard_of().alias("s")).agg(F.count("*").alias("n")).collect()}
+    assert got == {1: 256, 2: 256}
+    assert profile.row_count(df).first()["n"] == 512
+    path = new_scratch_path(spark, "ev")
+    tables.write_events(fx.history_ref_view(spark, SF_SMALL).where(F.to_date("sec") == F.lit("2024-01-01").cast("date")),
+                        path)
+    assert set(tables.read_events(spark, path).columns) >= set(schema.EVENT_COLUMNS) | {"dom", "refhash", "d", "h"}
