@@ -20,6 +20,7 @@ from .. import schema
 HOUR_KEY_PATTERN = r"(\d\d\d\d)\D+(\d\d)\D+(\d\d)\D+(\d\d)"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 CORRUPT = "_corrupt_record"
+NULL_TOKEN = "\\N"
 
 
 def hour_key(text: Column) -> Column:
@@ -51,8 +52,13 @@ def split_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     holding the line when it does not have exactly 22 fields."""
     parts = F.split(F.col(value_col), "\t", -1)
     n = len(schema.EVENT_COLUMNS)
+
+    def field(i: int):
+        v = F.get(parts, i)
+        return F.when(v != NULL_TOKEN, v)  # \N is NULL (then the field's default)
+
     return lines.select(
-        *[F.get(parts, i).alias(c) for i, c in enumerate(schema.EVENT_COLUMNS)],
+        *[field(i).alias(c) for i, c in enumerate(schema.EVENT_COLUMNS)],
         F.when(F.size(parts) != n, F.col(value_col)).alias(CORRUPT))
 
 

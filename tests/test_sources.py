@@ -32,7 +32,7 @@ def test_tsv_rejects(spark, tmp_path):
     bad_tn = "\t".join(fields[:3] + ["300"] + fields[4:])
     quoted = "\t".join(fields[:6] + ['http://a"b/'] + fields[7:])
     short = "\t".join(fields[:5])
-    empties = "\t".join(fields[:2] + [""] * 20)
+    empties = "\t".join(fields[:2] + ["", "\\N"] + [""] * 18)
     p = tmp_path / "h.txt"
     p.write_text("\n".join([good, big_id, bad_tn, quoted, short, empties]) + "\n")
     ok, rejects = tsv.read_tsv(spark, str(p))
