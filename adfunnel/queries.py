@@ -6,12 +6,22 @@ returns a DataFrame whose column names match ``oracle.SQL[key]``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import schema
+from .functions import clean, derive, urls
 from .operators import funnel as fn
+from .operators import membership, profile, slots
+from .plans import ingest, lifecycle
 from .sources import fixtures as fx
+from .sources import ssp as ssp_src
+from .session import new_scratch_path
+from .sources import tables, tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,17 +58,6 @@ def funnel_ssp(spark, sf_dir):
 
 # ---------------------------------------------------------------- funnel pieces
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from . import schema  # noqa: E402
-from .functions import clean, derive, urls  # noqa: E402
-from .operators import membership, profile, slots  # noqa: E402
-from .plans import ingest, lifecycle  # noqa: E402
-from .sources import ssp as ssp_src  # noqa: E402
-from .sources import tables, tsv  # noqa: E402
-
-import datetime as dt  # noqa: E402
-
 def branch_name():
     return F.when(F.col("is_ssp"), F.lit("ssp")).otherwise(F.lit("nonssp"))
 
@@ -378,10 +377,6 @@ def publish_reconcile(spark, sf_dir):
     Writes two tables in the shared scratch folder: the event table without
     the day, and the day's staging table; then publishes and reconciles.
     """
-    from .session import new_scratch_path
-
-    from pyspark import StorageLevel
-
     # computed once for both writes (and their range sampling); a lost block is recomputed
     table = tables.event_table_frame(fx.history_ref_view(spark, sf_dir), keep=["event_id"]) \
         .persist(StorageLevel.MEMORY_AND_DISK)
