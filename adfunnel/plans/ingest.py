@@ -42,31 +42,36 @@ def ingest_hour(raw: DataFrame, hour: dt.datetime, ug_from: int, ug_to: int, kee
 
 
 def load_hour(spark: SparkSession, raw: DataFrame, hour: dt.datetime, ug_from: int, ug_to: int,
-              main_path: str) -> dict:
-    """Load one hour exactly once.  Returns a small status record."""
+              main_path: str, cluster_partitions: int | None = None) -> dict:
+    """Load one hour exactly once.  Returns a small status record.
+
+    ``cluster_partitions``: key ranges of the hour's files (about hour bytes /
+    256 MB at scale; default ``spark.sql.shuffle.partitions``).
+    """
     present = tables.read_partitions(spark, main_path, ["d", "h"], [(hour.date(), hour.hour)])
     if present is not None and not present.isEmpty():  # probes one folder, not the table
         return {"hour": hour, "status": "present"}
     rows = ingest_hour(raw, hour, ug_from, ug_to)
     stage = new_scratch_path(spark, f"stage-{hour:%Y%m%dT%H}")
     try:
-        tables.write_partitioned(rows, stage, ["d", "h"], tables.EVENT_SORT)
+        tables.write_partitioned(rows, stage, ["d", "h"], tables.EVENT_SORT, cluster_partitions)
         staged = spark.read.parquet(stage)
         if staged.isEmpty():
             return {"hour": hour, "status": "empty"}
-        report = lifecycle.publish(spark, staged, main_path)
+        report = lifecycle.publish(spark, staged, main_path, cluster_partitions=cluster_partitions)
         return {"hour": hour, "status": "loaded", "report": report}
     finally:
         tables.delete_path(spark, stage)  # the staging table ends empty
 
 
-def load_hour_file(spark: SparkSession, path: str, ug_from: int, ug_to: int, main_path: str) -> dict:
+def load_hour_file(spark: SparkSession, path: str, ug_from: int, ug_to: int, main_path: str,
+                   cluster_partitions: int | None = None) -> dict:
     """Load a tab-separated hour file; the hour comes from its path."""
     row = spark.range(1).select(tsv.hour_key(F.lit(path)).alias("h")).first()
     if row["h"] is None:
         raise ValueError(f"no hour in path {path!r}")
     raw, _ = tsv.read_tsv(spark, path)
-    return load_hour(spark, raw, row["h"], ug_from, ug_to, main_path)
+    return load_hour(spark, raw, row["h"], ug_from, ug_to, main_path, cluster_partitions)
 
 
 def hour_file(landing_root: str, hour: dt.datetime, shard: str) -> str:
@@ -75,7 +80,8 @@ def hour_file(landing_root: str, hour: dt.datetime, shard: str) -> str:
 
 
 def load_day_files(spark: SparkSession, landing_root: str, day: dt.date, shard: str,
-                   ug_from: int, ug_to: int, main_path: str) -> list[dict]:
+                   ug_from: int, ug_to: int, main_path: str,
+                   cluster_partitions: int | None = None) -> list[dict]:
     """Load the 24 hour files of a day for one shard, each hour once.
 
     Hours run one after the other (each is one Spark job over its file); a
@@ -88,5 +94,5 @@ def load_day_files(spark: SparkSession, landing_root: str, day: dt.date, shard:
         if not tables.path_exists(spark, path):
             out.append({"hour": hour, "status": "missing"})
             continue
-        out.append(load_hour_file(spark, path, ug_from, ug_to, main_path))
+        out.append(load_hour_file(spark, path, ug_from, ug_to, main_path, cluster_partitions))
     return out

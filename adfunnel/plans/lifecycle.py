@@ -236,7 +236,7 @@ def _counts(df: DataFrame, keys: Sequence[str]) -> dict[tuple, int]:
 
 
 def publish(spark: SparkSession, staged: DataFrame, main_path: str,
-            keys: Sequence[str] = ("d", "h")) -> list[dict]:
+            keys: Sequence[str] = ("d", "h"), cluster_partitions: int | None = None) -> list[dict]:
     """Move staged rows into the main table and reconcile the counts.
 
     Refuses an empty stage.  Partitions already in the main table are left
@@ -257,7 +257,7 @@ def publish(spark: SparkSession, staged: DataFrame, main_path: str,
     if fresh:
         sort = tables.EVENT_SORT if keys == ["d", "h"] else tables.FUNNEL_SORT
         tables.write_partitioned(staged.where(partition_filter(keys, fresh)), main_path, keys,
-                                 [c for c in sort if c in staged.columns])
+                                 [c for c in sort if c in staged.columns], cluster_partitions)
     touched = tables.read_partitions(spark, main_path, keys, staged_counts)
     after = {} if touched is None else _counts(touched, keys)
     out = []
