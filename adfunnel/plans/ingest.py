@@ -55,7 +55,8 @@ def load_hour(spark: SparkSession, raw: DataFrame, hour: dt.datetime, ug_from: i
     stage = new_scratch_path(spark, f"stage-{hour:%Y%m%dT%H}")
     try:
         tables.write_partitioned(rows, stage, ["d", "h"], tables.EVENT_SORT, cluster_partitions)
-        staged = spark.read.parquet(stage)
+        # known schema: an hour without rows writes no file and still reads as empty
+        staged = spark.read.schema(rows.schema).parquet(stage)
         if staged.isEmpty():
             return {"hour": hour, "status": "empty"}
         report = lifecycle.publish(spark, staged, main_path, cluster_partitions=cluster_partitions)

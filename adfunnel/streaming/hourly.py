@@ -52,7 +52,7 @@ def start(spark: SparkSession, landing_dir: str, main_path: str, ug_from: int, u
         session = batch.sparkSession
         stage = f"{stage_root}/batch={batch_id}"
         tables.write_partitioned(batch, stage, ["d", "h"], tables.EVENT_SORT)
-        staged = session.read.parquet(stage)
+        staged = session.read.schema(batch.schema).parquet(stage)
         if not staged.isEmpty():
             lifecycle.publish(session, staged, main_path)
         tables.delete_path(session, stage)

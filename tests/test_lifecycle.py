@@ -207,3 +207,12 @@ def test_drop_days_of_catalog_table(spark):
     assert n == 1
     days = {r["d"] for r in spark.table("adf_drop.history_ref").select("d").distinct().collect()}
     assert days == {dt.date(2024, 1, 1), dt.date(2024, 1, 3)}
+
+
+def test_empty_hour_file_is_not_published(spark, tmp_path):
+    h = fx.history_ref_view(spark, SF_SMALL)
+    f = str(tmp_path / "reg" / "2024-01-02" / "04_s1.txt")
+    tsv.write_tsv(h.where(F.lit(False)), f)
+    main = new_scratch_path(spark, "main")
+    assert ingest.load_hour_file(spark, f, 1, 256, main)["status"] == "empty"
+    assert tables.read_if_exists(spark, main) is None
