@@ -65,13 +65,26 @@ def load_hour(spark: SparkSession, raw: DataFrame, hour: dt.datetime, ug_from: i
         tables.delete_path(spark, stage)  # the staging table ends empty
 
 
+def write_rejects(rejects: DataFrame, rejects_path: str, hour: dt.datetime) -> None:
+    """Rejected rows of one hour, replacing that hour's earlier rejects (rerun-safe)."""
+    out = f"{rejects_path.rstrip('/')}/hour={hour:%Y-%m-%dT%H}"
+    rejects.select(*[F.col(c).cast("string") for c in rejects.columns]).write.mode("overwrite").parquet(out)
+
+
 def load_hour_file(spark: SparkSession, path: str, ug_from: int, ug_to: int, main_path: str,
-                   cluster_partitions: int | None = None) -> dict:
-    """Load a tab-separated hour file; the hour comes from its path."""
+                   cluster_partitions: int | None = None, rejects_path: str | None = None) -> dict:
+    """Load a tab-separated hour file; the hour comes from its path.
+
+    ``rejects_path``: keep the lines that do not parse (wrong field count, a
+    value that does not fit its column) and rows without user or time.
+    """
     row = spark.range(1).select(tsv.hour_key(F.lit(path)).alias("h")).first()
     if row["h"] is None:
         raise ValueError(f"no hour in path {path!r}")
-    raw, _ = tsv.read_tsv(spark, path)
+    raw, bad_lines = tsv.read_tsv(spark, path)
+    if rejects_path is not None:
+        _, no_key = clean.split_rejects(raw)
+        write_rejects(bad_lines.drop(tsv.CORRUPT).unionByName(no_key), rejects_path, row["h"])
     return load_hour(spark, raw, row["h"], ug_from, ug_to, main_path, cluster_partitions)
 
 

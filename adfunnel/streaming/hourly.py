@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import derive
+from ..functions import clean, derive
 from ..plans import ingest, lifecycle
 from ..sources import tables, tsv
 from ..session import new_scratch_path
@@ -33,31 +33,37 @@ def hour_files(spark: SparkSession, landing_dir: str, max_files_per_trigger: int
     return tsv.split_lines(reader.text(landing_dir))
 
 
-def event_rows(raw: DataFrame, ug_from: int, ug_to: int) -> DataFrame:
-    good, _ = tsv.parse_raw(raw)
-    rows, _ = ingest.prepare(good.where(derive.in_user_groups(F.col("uid"), ug_from, ug_to)))
-    return rows
-
-
 def start(spark: SparkSession, landing_dir: str, main_path: str, ug_from: int, ug_to: int,
           checkpoint: str | None = None, available_now: bool = True,
-          max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the ingest; ``available_now`` processes what has landed, then stops."""
-    rows = event_rows(hour_files(spark, landing_dir, max_files_per_trigger), ug_from, ug_to)
+          max_files_per_trigger: int | None = None, rejects_path: str | None = None) -> StreamingQuery:
+    """Start the ingest; ``available_now`` processes what has landed, then stops.
 
+    Each micro-batch is parsed inside ``foreachBatch`` so that its rejects can
+    go to ``rejects_path/batch=<id>`` (overwritten on replay) next to the
+    published rows.
+    """
+    derive.check_groups(ug_from, ug_to)
+    lines = hour_files(spark, landing_dir, max_files_per_trigger)
     stage_root = new_scratch_path(spark, "ingest-stage")
 
     def publish_batch(batch: DataFrame, batch_id: int) -> None:
-        # stage first (cuts lineage; a replayed batch id overwrites its own stage)
         session = batch.sparkSession
+        good, bad_lines = tsv.parse_raw(batch)
+        if rejects_path is not None:
+            _, no_key = clean.split_rejects(good)
+            rejected = bad_lines.drop(tsv.CORRUPT).unionByName(no_key)
+            rejected.select(*[F.col(c).cast("string") for c in rejected.columns]) \
+                .write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/batch={batch_id}")
+        rows, _ = ingest.prepare(good.where(derive.in_user_groups(F.col("uid"), ug_from, ug_to)))
+        # stage first (cuts lineage; a replayed batch id overwrites its own stage)
         stage = f"{stage_root}/batch={batch_id}"
-        tables.write_partitioned(batch, stage, ["d", "h"], tables.EVENT_SORT)
-        staged = session.read.schema(batch.schema).parquet(stage)
+        tables.write_partitioned(rows, stage, ["d", "h"], tables.EVENT_SORT)
+        staged = session.read.schema(rows.schema).parquet(stage)
         if not staged.isEmpty():
             lifecycle.publish(session, staged, main_path)
         tables.delete_path(session, stage)
 
-    writer = (rows.writeStream.foreachBatch(publish_batch)
+    writer = (lines.writeStream.foreachBatch(publish_batch)
               .option("checkpointLocation", checkpoint or new_scratch_path(spark, "ingest-ckpt")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -216,3 +216,18 @@ def test_empty_hour_file_is_not_published(spark, tmp_path):
     main = new_scratch_path(spark, "main")
     assert ingest.load_hour_file(spark, f, 1, 256, main)["status"] == "empty"
     assert tables.read_if_exists(spark, main) is None
+
+
+def test_rejects_kept_per_hour(spark, tmp_path):
+    f = tmp_path / "reg" / "2024-01-02" / "05_s1.txt"
+    f.parent.mkdir(parents=True)
+    good = "\t".join(["5", "2024-01-02 05:00:01", "7", "0", "0", "0", "http://a.b/", "3", "1", "",
+                      "9", "3232235521", "0", "1", "0", "0", "0.5", "0", "0", "0", "0", ""])
+    fields = good.split("\t")
+    f.write_text("\n".join([good, "\t".join(["18446744073709551615"] + fields[1:]), "short\tline",
+                            "\t".join([""] + fields[1:])]) + "\n")
+    main, rej = new_scratch_path(spark, "main"), new_scratch_path(spark, "rej")
+    for _ in range(2):  # rerun: same rejects, not twice as many
+        ingest.load_hour_file(spark, str(f), 1, 256, main, rejects_path=rej)
+    assert spark.read.parquet(rej).count() == 3
+    assert spark.read.parquet(main).count() == 1
