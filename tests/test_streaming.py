@@ -21,10 +21,14 @@ def test_stream_loads_each_hour_once(spark, tmp_path):
         part = h.where(F.col("sec").between(F.lit(hr).cast("timestamp_ntz"),
                                             F.lit(hr + dt.timedelta(seconds=3599)).cast("timestamp_ntz")))
         tsv.write_tsv(part.coalesce(1), str(landing / f"{hr:%Y-%m-%dT%H}"))
+    (landing / "junk").mkdir()
+    (landing / "junk" / "bad.txt").write_text("not\ta\tvalid\tline\n")
     main = new_scratch_path(spark, "main")
     ckpt = new_scratch_path(spark, "ckpt")
-    q = hourly.start(spark, str(landing), main, 1, 256, checkpoint=ckpt)
+    rej = new_scratch_path(spark, "rej")
+    q = hourly.start(spark, str(landing), main, 1, 256, checkpoint=ckpt, rejects_path=rej)
     q.awaitTermination(300)
+    assert spark.read.parquet(rej).count() == 1
     got = spark.read.parquet(main)
     expected = sum(ingest.ingest_hour(h, hr, 1, 256).count() for hr in hours)
     assert got.count() == expected > 0
