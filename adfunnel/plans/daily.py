@@ -72,23 +72,33 @@ def build_day(spark: SparkSession, events_path: str, ssp_sites: DataFrame, day:
 
 
 def backfill(spark: SparkSession, today: dt.date, load_day, events_path: str, funnel_path: str,
-             ssp_sites: DataFrame, days: int = 13) -> list[tuple[dt.date, str]]:
+             ssp_sites: DataFrame, days: int = 13, rebuild_late: bool = True) -> list[tuple[dt.date, str]]:
     """For each of the ``days`` days before ``today``: ingest then build.
 
-    ``load_day(day)`` loads the 24 hours of a day (e.g. ``load_hour_file`` per
-    hour).  Each stage runs only while its table holds fewer days than the fill
-    cap.  Days run in ascending order, one at a time; inside each, Spark runs
-    the work in parallel.
+    ``load_day(day)`` loads the 24 hours of a day (e.g. ``ingest.load_day_files``).
+    Each stage runs only while its table holds fewer days than the fill cap.
+    Days run in ascending order, one at a time; inside each, Spark runs the
+    work in parallel.  With ``rebuild_late`` a day built before the first
+    hours of the next day were loaded is built again once they are, so its late
+    clicks count (its rows all sit in its own partition, so this is safe).
     """
     done = []
+    pending: dt.date | None = None
     for i in range(days, 0, -1):
         day = today - dt.timedelta(days=i)
         if _need_fill(spark, events_path):
             load_day(day)
+        if rebuild_late and pending is not None and pending == day - dt.timedelta(days=1):
+            build_day(spark, events_path, ssp_sites, pending, funnel_path)
+            done.append((pending, "rebuilt"))
+        pending = None
         if _need_fill(spark, funnel_path):
             try:
                 build_day(spark, events_path, ssp_sites, day, funnel_path)
                 done.append((day, "built"))
+                events = spark.read.parquet(events_path)
+                if not lookahead_ready(events, day):
+                    pending = day
             except IncompleteDay:
                 done.append((day, "incomplete"))
     return done
