@@ -236,7 +236,8 @@ def _counts(df: DataFrame, keys: Sequence[str]) -> dict[tuple, int]:
 
 
 def publish(spark: SparkSession, staged: DataFrame, main_path: str,
-            keys: Sequence[str] = ("d", "h"), cluster_partitions: int | None = None) -> list[dict]:
+            keys: Sequence[str] = ("d", "h"), cluster_partitions: int | None = None,
+            replace: bool = False) -> list[dict]:
     """Move staged rows into the main table and reconcile the counts.
 
     Refuses an empty stage.  Partitions already in the main table are left
@@ -245,7 +246,9 @@ def publish(spark: SparkSession, staged: DataFrame, main_path: str,
     Counts before and after read only the staged partition folders of the
     main table (no listing of the whole table).  Returns, per staged
     partition: before, staged, after and ``ok`` (after = before + staged for
-    written partitions; unchanged for skipped ones).
+    written partitions; unchanged for skipped ones).  ``replace`` reloads
+    partitions already present (a corrected hour): they are overwritten and
+    must then hold exactly the staged rows.
     """
     keys = list(keys)
     staged_counts = _counts(staged, keys)  # one row per staged partition
@@ -253,7 +256,7 @@ def publish(spark: SparkSession, staged: DataFrame, main_path: str,
         raise LifecycleError("staged table is empty")
     main = tables.read_partitions(spark, main_path, keys, staged_counts)
     before = {} if main is None else _counts(main, keys)
-    fresh = [k for k in staged_counts if not before.get(k)]
+    fresh = [k for k in staged_counts if replace or not before.get(k)]
     if fresh:
         sort = tables.EVENT_SORT if keys == ["d", "h"] else tables.FUNNEL_SORT
         tables.write_partitioned(staged.where(partition_filter(keys, fresh)), main_path, keys,
@@ -264,7 +267,10 @@ def publish(spark: SparkSession, staged: DataFrame, main_path: str,
     for k, n in sorted(staged_counts.items()):
         b = before.get(k, 0)
         a = after.get(k, 0)
-        ok = (a == b + n) if k in fresh else (a == b)
+        if replace:
+            ok = a == n
+        else:
+            ok = (a == b + n) if k in fresh else (a == b)
         out.append({**dict(zip(keys, k)), "before": b, "staged": n, "after": a, "ok": ok})
     bad = [r for r in out if not r["ok"]]
     if bad:

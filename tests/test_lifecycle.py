@@ -249,3 +249,16 @@ def test_rejects_kept_per_hour(spark, tmp_path):
         ingest.load_hour_file(spark, str(f), 1, 256, main, rejects_path=rej)
     assert spark.read.parquet(rej).count() == 3
     assert spark.read.parquet(main).count() == 1
+
+
+def test_publish_replace_reloads_an_hour(spark):
+    main = new_scratch_path(spark, "main")
+    h = fx.history_ref_view(spark, SF_CHECK)
+    hour = dt.datetime(2024, 1, 11, 8)
+    rows = ingest.ingest_hour(h, hour, 1, 256)
+    lifecycle.publish(spark, rows, main)
+    fewer = rows.where(F.col("uid") % 2 == 0)
+    skipped = lifecycle.publish(spark, fewer, main)
+    assert skipped[0]["after"] == skipped[0]["before"] == rows.count()
+    replaced = lifecycle.publish(spark, fewer, main, replace=True)
+    assert replaced[0]["after"] == fewer.count() < rows.count() and replaced[0]["ok"]
