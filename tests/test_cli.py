@@ -37,3 +37,35 @@ def test_cli_round(spark, tmp_path):
     assert code == 0 and spark.read.parquet(out_path).count() > 0
     assert cli.run(spark, ["excise", "--table", events, "2024-01-08"]) == (0, 1)
     assert tables.read_partitions(spark, events, ["d", "h"], [(dt.date(2024, 1, 8), 3)]) is None
+
+
+def test_cli_tables_retention_and_day(spark, tmp_path):
+    from adfunnel.session import local_path
+
+    loc = local_path(new_scratch_path(spark, "db"))
+    assert cli.run(spark, ["create-tables", "--database", "adf_cli", "--location", loc]) == (0, "ok")
+    assert cli.run(spark, ["drop-table", "--database", "adf_cli", "--table", "ssp_sites"]) == (0, "ok")
+    assert "ssp_sites" not in {t.name for t in spark.catalog.listTables("adf_cli")}
+
+    h = fx.history_ref_view(spark, SF_CHECK)
+    funnel_path = new_scratch_path(spark, "uid")
+    tables.write_funnel(daily_rows(spark, h), funnel_path)
+    code, removed = cli.run(spark, ["retention", "--table", funnel_path, "--keep", "28"])
+    assert code == 0 and len(removed) == 2
+    assert cli.run(spark, ["need-fill", "--table", funnel_path, "--cap", "28"]) == (1, False)
+
+    root = tmp_path / "reg"
+    hour = dt.datetime(2024, 1, 9, 0)
+    tsv.write_tsv(h.where(F.col("sec").between(F.lit(hour).cast("timestamp_ntz"),
+                                               F.lit(hour + dt.timedelta(seconds=3599)).cast("timestamp_ntz"))),
+                  str(root / "2024-01-09" / "00_s1.txt"))
+    events = new_scratch_path(spark, "ev")
+    code, statuses = cli.run(spark, ["load-day", "2024-01-09", "--landing", str(root), "--shard", "s1",
+                                     "--ug-from", "1", "--ug-to", "256", "--events", events])
+    assert code == 0 and [s["status"] for s in statuses].count("loaded") == 1
+
+
+def daily_rows(spark, h):
+    from adfunnel.operators import funnel as fn
+
+    return fn.funnel(h, fx.ssp_view(spark, SF_CHECK), ["event_id"])
