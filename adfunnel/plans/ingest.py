@@ -110,3 +110,40 @@ def load_day_files(spark: SparkSession, landing_root: str, day: dt.date, shard:
             continue
         out.append(load_hour_file(spark, path, ug_from, ug_to, main_path, cluster_partitions))
     return out
+
+
+def load_day_batched(spark: SparkSession, landing_root: str, day: dt.date, shard: str,
+                     ug_from: int, ug_to: int, main_path: str,
+                     cluster_partitions: int | None = None) -> dict:
+    """Load the not yet loaded hour files of a day in one Spark job.
+
+    Same result as ``load_day_files``, but one read of all pending files: each
+    row takes its hour from its own file path (``_metadata.file_path``) and
+    keeps only events inside that hour, then one stage and one publish cover
+    every hour at once.  Hours already in the table are not read.
+    """
+    derive.check_groups(ug_from, ug_to)
+    hours = [dt.datetime.combine(day, dt.time(h)) for h in range(24)]
+    files = {hr: hour_file(landing_root, hr, shard) for hr in hours}
+    files = {hr: p for hr, p in files.items() if tables.path_exists(spark, p)}
+    present = {hr for hr in files if tables.read_partitions(spark, main_path, ["d", "h"],
+                                                             [(hr.date(), hr.hour)]) is not None}
+    todo = [p for hr, p in sorted(files.items()) if hr not in present]
+    if not todo:
+        return {"day": day, "status": "nothing to load", "present": len(present)}
+    lines = (spark.read.option("lineSep", "\n").text(todo)
+             .withColumn("src_hour", tsv.hour_key(F.col("_metadata.file_path"))))
+    good, _ = tsv.parse_raw(tsv.split_lines(lines, keep=["src_hour"]), keep=["src_hour"])
+    in_own_hour = ((F.col("sec") >= F.col("src_hour"))
+                   & (F.col("sec") < F.col("src_hour") + F.expr("INTERVAL 1 HOUR")))
+    rows, _ = prepare(good.where(in_own_hour & derive.in_user_groups(F.col("uid"), ug_from, ug_to)))
+    stage = new_scratch_path(spark, f"stage-{day:%Y%m%d}")
+    try:
+        tables.write_partitioned(rows, stage, ["d", "h"], tables.EVENT_SORT, cluster_partitions)
+        staged = spark.read.schema(rows.schema).parquet(stage)
+        if staged.isEmpty():
+            return {"day": day, "status": "empty", "present": len(present)}
+        report = lifecycle.publish(spark, staged, main_path, cluster_partitions=cluster_partitions)
+        return {"day": day, "status": "loaded", "present": len(present), "report": report}
+    finally:
+        tables.delete_path(spark, stage)

@@ -47,9 +47,9 @@ def write_tsv(df: DataFrame, path: str, mode: str = "error") -> None:
      .csv(path))
 
 
-def split_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+def split_lines(lines: DataFrame, value_col: str = "value", keep=()) -> DataFrame:
     """One text line per row -> the 22 fields as text, plus ``_corrupt_record``
-    holding the line when it does not have exactly 22 fields."""
+    holding the line when it does not have exactly 22 fields (+ ``keep`` columns)."""
     parts = F.split(F.col(value_col), "\t", -1)
     n = len(schema.EVENT_COLUMNS)
 
@@ -59,7 +59,7 @@ def split_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
     return lines.select(
         *[field(i).alias(c) for i, c in enumerate(schema.EVENT_COLUMNS)],
-        F.when(F.size(parts) != n, F.col(value_col)).alias(CORRUPT))
+        F.when(F.size(parts) != n, F.col(value_col)).alias(CORRUPT), *keep)
 
 
 def read_tsv_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -67,7 +67,7 @@ def read_tsv_raw(spark: SparkSession, path: str) -> DataFrame:
     return split_lines(spark.read.option("lineSep", "\n").text(path))
 
 
-def parse_raw(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parse_raw(raw: DataFrame, keep=()) -> tuple[DataFrame, DataFrame]:
     """Typed events and rejects from ``read_tsv_raw`` output.
 
     A non-empty field that does not parse, or a wrong field count, rejects the
@@ -91,7 +91,7 @@ def parse_raw(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         bad = bad | (raw_c.isNotNull() & (raw_c != "") & parsed.isNull())
         value = parsed if name in ("uid", "sec") else F.coalesce(parsed, F.lit(0).cast(t))
         typed.append(value.alias(name))
-    flagged = raw.select(*typed, bad.alias("_bad"), F.col(CORRUPT))
+    flagged = raw.select(*typed, bad.alias("_bad"), F.col(CORRUPT), *keep)
     good = flagged.where(~F.col("_bad")).drop("_bad", CORRUPT)
     rejects = flagged.where(F.col("_bad")).drop("_bad")
     return good, rejects

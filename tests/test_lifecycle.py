@@ -262,3 +262,26 @@ def test_publish_replace_reloads_an_hour(spark):
     assert skipped[0]["after"] == skipped[0]["before"] == rows.count()
     replaced = lifecycle.publish(spark, fewer, main, replace=True)
     assert replaced[0]["after"] == fewer.count() < rows.count() and replaced[0]["ok"]
+
+
+def test_batched_day_load_equals_hour_by_hour(spark, tmp_path):
+    h = fx.history_ref_view(spark, SF_CHECK)
+    day = dt.date(2024, 1, 12)
+    root = tmp_path / "reg"
+    for hr in (0, 1, 7):
+        start = dt.datetime.combine(day, dt.time(hr))
+        part = h.where(F.col("sec").between(F.lit(start).cast("timestamp_ntz"),
+                                            F.lit(start + dt.timedelta(seconds=3599)).cast("timestamp_ntz")))
+        tsv.write_tsv(part.coalesce(1), ingest.hour_file(str(root), start, "s1"))
+    one_by_one, batched = new_scratch_path(spark, "a"), new_scratch_path(spark, "b")
+    ingest.load_day_files(spark, str(root), day, "s1", 1, 128, one_by_one)
+    # pre-load hour 1 so the batched load must skip it
+    ingest.load_hour_file(spark, ingest.hour_file(str(root), dt.datetime.combine(day, dt.time(1)), "s1"),
+                          1, 128, batched)
+    out = ingest.load_day_batched(spark, str(root), day, "s1", 1, 128, batched)
+    assert out["status"] == "loaded" and out["present"] == 1 and len(out["report"]) == 2
+    cols = sorted(spark.read.parquet(one_by_one).columns)
+    a = sorted(map(tuple, spark.read.parquet(one_by_one).select(*cols).collect()))
+    b = sorted(map(tuple, spark.read.parquet(batched).select(*cols).collect()))
+    assert a == b and len(a) > 0
+    assert ingest.load_day_batched(spark, str(root), day, "s1", 1, 128, batched)["status"] == "nothing to load"
