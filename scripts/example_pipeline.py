@@ -4,7 +4,8 @@
 
 1. land two days (and the first hours of the third) as tab-separated hour files,
    one per hour and shard, in the layout <root>/<day>/<HH>_<shard>.txt
-2. load every hour once per shard into that shard's event table (load-once, reconciled)
+2. load each day's hour files once per shard into that shard's event table, one job per
+   day (load-once, reconciled)
 3. load the SSP list from text
 4. build the funnel of each complete day from the union of the shard tables
 5. profile, check the fill cap, apply retention
@@ -58,8 +59,8 @@ def main() -> None:
     loaded = 0
     for s, (lo, hi) in schema.SHARD_GROUPS.items():
         for day in [*days, days[-1] + dt.timedelta(days=1)]:
-            for r in ingest.load_day_files(spark, landing, day, f"s{s}", lo, hi, shard_tables[s]):
-                loaded += r["status"] == "loaded"
+            r = ingest.load_day_batched(spark, landing, day, f"s{s}", lo, hi, shard_tables[s])
+            loaded += len(r.get("report", []))  # one job per day and shard
 
     # 3. SSP list
     text = new_scratch_path(spark, "ssp-text")
