@@ -8,6 +8,7 @@ none (local runs and tests).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,13 +40,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staging tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system).  When
-    the session has none, as in tests, a local one is created and registered.
+    On a cluster this is ``spark.checkpoint.dir`` (a shared file system); a session with another master than
+    ``local`` that has none is refused, as its executors would write to their own disks.  A local session
+    without one, as in tests, gets a temporary folder.
     """
     current = spark.sparkContext.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir is not set and {master} needs a shared folder")
         current = tempfile.mkdtemp(prefix="adfunnel-ckpt-")
         spark.sparkContext.setCheckpointDir(current)
     return current
