@@ -103,9 +103,11 @@ def _assigned(docs: DataFrame, n_shards: int, dims: tuple[str, ...], bits: int,
                        for i in range(len(dims))]).first()
     place = _curve([list(e or []) for e in edges], bits)
 
-    firsts = (base.groupBy("__same").agg(F.count(F.lit(1)).alias("n"),
-                                         F.min(F.struct(F.col("__id").isNull(), "__id", "__codes")).alias("f"))
-              .filter("n > 1").select(F.col("__same").alias("__g"), F.col("f.__codes").alias("__gcodes")))
+    # written, so that the join below is between two plain exchanges, whose hot groups AQE can split
+    firsts = written(base.groupBy("__same").agg(F.count(F.lit(1)).alias("n"),
+                     F.min(F.struct(F.col("__id").isNull(), "__id", "__codes")).alias("f"))
+                     .filter("n > 1").select(F.col("__same").alias("__g"), F.col("f.__codes").alias("__gcodes")),
+                     "hilbert-firsts")
     laid = (base.join(firsts, F.col("__same") == F.col("__g"), "left")
             .withColumn("__curve", place(F.coalesce("__gcodes", "__codes")))
             .drop("__g", "__gcodes", "__codes"))
