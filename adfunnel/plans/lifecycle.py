@@ -200,7 +200,7 @@ def apply_retention(spark: SparkSession, path: str, keep: int = schema.RETENTION
         return []
     before = _count(spark, path)
     drop_day_partitions(spark, path, days)
-    spark.catalog.clearCache()
+    spark.catalog.refreshByPath(path)
     after = _count(spark, path)
     if after == before:
         raise LifecycleError(f"retention removed no rows from {path}")
