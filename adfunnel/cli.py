@@ -1,7 +1,9 @@
-"""Command line for the jobs: one verb per job of the original scripts.
+r"""Command line for the jobs: one verb per job of the original scripts.
 
     python -m adfunnel.cli load-hour FILE --ug-from 1 --ug-to 128 --events PATH
     python -m adfunnel.cli load-day 2024-01-05 --landing ROOT --shard s1 --ug-from 1 --ug-to 128 --events PATH
+    python -m adfunnel.cli backfill 2024-01-20 --landing ROOT --shard s1 --ug-from 1 --ug-to 256 --events PATH \
+        --ssp PATH --out PATH [--days 13]
     python -m adfunnel.cli build-day 2024-01-05 --events PATH --ssp PATH --out PATH [--no-gate] [--lookahead]
     python -m adfunnel.cli need-fill --table PATH [--cap 21]       exit 0: add more, 1: full
     python -m adfunnel.cli retention --table PATH [--keep 14]
@@ -10,6 +12,7 @@
     python -m adfunnel.cli create-tables --database DB --location LOC
     python -m adfunnel.cli drop-table --database DB --table NAME
 
+The loads also take --rejects PATH (default EVENTS_rejects) and --cluster-partitions N.
 Runs on the session of ``spark-submit`` (or a local one when started directly).
 """
 
@@ -28,6 +31,11 @@ def _day(text: str) -> dt.date:
     return parse_day(text)
 
 
+def _load_options(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--rejects")
+    p.add_argument("--cluster-partitions", type=int)
+
+
 def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="adfunnel")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -37,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--ug-from", type=int, required=True)
     p.add_argument("--ug-to", type=int, required=True)
     p.add_argument("--events", required=True)
+    _load_options(p)
 
     p = sub.add_parser("load-day")
     p.add_argument("day", type=_day)
@@ -45,6 +54,19 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--ug-from", type=int, required=True)
     p.add_argument("--ug-to", type=int, required=True)
     p.add_argument("--events", required=True)
+    _load_options(p)
+
+    p = sub.add_parser("backfill")
+    p.add_argument("today", type=_day)
+    p.add_argument("--landing", required=True)
+    p.add_argument("--shard", required=True)
+    p.add_argument("--ug-from", type=int, required=True)
+    p.add_argument("--ug-to", type=int, required=True)
+    p.add_argument("--events", required=True)
+    p.add_argument("--ssp", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--days", type=int, default=13)
+    _load_options(p)
 
     p = sub.add_parser("build-day")
     p.add_argument("day", type=_day)
@@ -89,9 +111,17 @@ def run(spark: SparkSession, argv: list[str]) -> tuple[int, object]:
 
     a = _parser().parse_args(argv)
     if a.cmd == "load-hour":
-        return 0, ingest.load_hour_file(spark, a.file, a.ug_from, a.ug_to, a.events)
+        return 0, ingest.load_hour_file(spark, a.file, a.ug_from, a.ug_to, a.events,
+                                        a.cluster_partitions, a.rejects)
     if a.cmd == "load-day":
-        return 0, ingest.load_day_files(spark, a.landing, a.day, a.shard, a.ug_from, a.ug_to, a.events)
+        return 0, ingest.load_day_batched(spark, a.landing, a.day, a.shard, a.ug_from, a.ug_to, a.events,
+                                          a.cluster_partitions, a.rejects)
+    if a.cmd == "backfill":
+        def load_day(day):
+            return ingest.load_day_batched(spark, a.landing, day, a.shard, a.ug_from, a.ug_to, a.events,
+                                           a.cluster_partitions, a.rejects)
+        done = daily.backfill(spark, a.today, load_day, a.events, a.out, spark.read.parquet(a.ssp), a.days)
+        return 0, [(str(d), what) for d, what in done]
     if a.cmd == "build-day":
         try:
             daily.build_day(spark, a.events, spark.read.parquet(a.ssp), a.day, a.out,
@@ -100,8 +130,7 @@ def run(spark: SparkSession, argv: list[str]) -> tuple[int, object]:
             return 1, str(e)
         return 0, "built"
     if a.cmd == "need-fill":
-        table = tables.read_if_exists(spark, a.table)
-        need = True if table is None else lifecycle.need_fill(table, a.cap)
+        need = lifecycle.path_needs_fill(spark, a.table, a.cap)
         return (0 if need else 1), need
     if a.cmd == "retention":
         return 0, [str(d) for d in lifecycle.apply_retention(spark, a.table, a.keep)]

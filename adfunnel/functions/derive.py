@@ -114,4 +114,6 @@ def user_sample(uid: Column, buckets: int, bucket: int) -> Column:
     """
     if not 0 <= bucket < buckets:
         raise ValueError("bucket must lie in [0, buckets)")
-    return F.pmod(uid, F.lit(buckets)) == bucket
+    # ids of 2^63 and more are stored minus 2^64
+    wrapped = F.when(uid < 0, F.lit(2 ** 64 % buckets)).otherwise(F.lit(0))
+    return F.pmod(F.pmod(uid, F.lit(buckets)) + wrapped, F.lit(buckets)) == bucket

@@ -20,17 +20,12 @@ from pyspark.sql import functions as F
 # costs a few tens of bytes in the broadcast hash relation.
 BROADCAST_MAX_ROWS = 2_000_000
 
-_CHECKED: dict[int, tuple[DataFrame, bool]] = {}
-
-
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (checked once per frame)."""
-    hit = _CHECKED.get(id(df))
-    if hit is not None and hit[0] is df:
-        return hit[1]
-    small = df.limit(max_rows + 1).count() <= max_rows
-    _CHECKED[id(df)] = (df, small)  # keeps df alive, so its id is not reused
-    return small
+    known = df.__dict__.setdefault("_adfunnel_fits", {})  # goes when the frame goes
+    if max_rows not in known:
+        known[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return known[max_rows]
 
 
 def bounded_broadcast(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

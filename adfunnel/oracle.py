@@ -10,7 +10,6 @@ and aggregates struct minima.
 
 from __future__ import annotations
 
-from .operators import slots
 from .sources import fixtures as fx
 
 # --------------------------------------------------------------------------
@@ -22,8 +21,7 @@ _TN_CASE = "CASE e.event_type " + " ".join(
 
 H_CTES = f"""
 pg AS (
-  SELECT page_id, min(url) AS url FROM pages
-  WHERE page_id BETWEEN 0 AND {fx.PAGE_MODULUS - 1} GROUP BY page_id
+  SELECT page_id, min(url) AS url FROM pages GROUP BY page_id
 ),
 h AS (
   SELECT e.event_id,
@@ -50,8 +48,8 @@ h AS (
     CAST(0 AS BIGINT) AS ddid,
     '' AS custom
   FROM events e
-  LEFT JOIN pg p1 ON p1.page_id = e.event_id % {fx.PAGE_MODULUS}
-  LEFT JOIN pg p2 ON p2.page_id = (e.event_id + 1) % {fx.PAGE_MODULUS}
+  LEFT JOIN pg p1 ON p1.page_id = e.event_id % (SELECT greatest(count(*), 1) FROM pages)
+  LEFT JOIN pg p2 ON p2.page_id = (e.event_id + 1) % (SELECT greatest(count(*), 1) FROM pages)
 ),
 ssp AS (
   SELECT CAST(n_nationkey AS BIGINT) AS sid, n_name AS name FROM nation
@@ -68,13 +66,22 @@ def with_h(body: str, extra_ctes: str = "") -> str:
 # Funnel
 # --------------------------------------------------------------------------
 
+# Fixed values, kept apart from the library's own slot tables: hours at which a slot begins, its
+# anchors end and its clicks end (SSP impressions end two minutes after their bids).
+_NONSSP_HOURS = [(0, 6, 8), (6, 10, 12), (10, 14, 16), (14, 17, 19), (17, 20, 22), (20, 22, 24), (22, 24, 26)]
+_SSP_HOURS = [(0, 6, 8), (6, 12, 14), (12, 15, 17), (15, 18, 20), (18, 21, 23), (21, 24, 26)]
+
+
 def _window_rows() -> str:
     """(is_ssp, tn, slot, lo, hi) in seconds from the start of the processed day."""
     rows = []
-    for slot, (b, e_imp, e_cl) in enumerate(slots.slot_table(False)):
+    hm = lambda h, m=0: h * 3600 + m * 60
+    for slot, (b, e_imp, e_cl) in enumerate(_NONSSP_HOURS):
+        b, e_imp, e_cl = hm(b), hm(e_imp) - 1, hm(e_cl) - 1
         rows.append(f"(false, 0, {slot}, {b}, {e_imp})")
         rows.append(f"(false, 1, {slot}, {b}, {e_cl})")
-    for slot, (b, e_bid, e_imp, e_cl) in enumerate(slots.slot_table(True)):
+    for slot, (b, e_bid, e_cl) in enumerate(_SSP_HOURS):
+        b, e_bid, e_imp, e_cl = hm(b), hm(e_bid) - 1, hm(e_bid, 2) - 1, hm(e_cl) - 1
         rows.append(f"(true, 3, {slot}, {b}, {e_bid})")
         rows.append(f"(true, 0, {slot}, {b}, {e_imp})")
         rows.append(f"(true, 1, {slot}, {b}, {e_cl})")
@@ -414,7 +421,68 @@ SELECT TRY_CAST(trim(p[1]) AS BIGINT) AS sid, p[2] AS name, DATE '2024-01-31' AS
 FROM parts WHERE len(p) = 2 AND TRY_CAST(trim(p[1]) AS BIGINT) IS NOT NULL"""
 
 SQL["publish_reconcile"] = with_h("""
-SELECT CAST(sec AS DATE) AS d, CAST(hour(sec) AS INTEGER) AS h,
-  CAST(0 AS BIGINT) AS before, count(*) AS staged, count(*) AS after, true AS ok
-FROM h WHERE CAST(sec AS DATE) = DATE '2024-01-10'
-GROUP BY 1, 2""")
+SELECT d, h, before, staged, r AS "replace",
+  CASE WHEN before = 0 THEN 'write' WHEN r THEN 'replace' WHEN before = staged THEN 'replay' ELSE 'refuse' END AS action,
+  CASE WHEN before = 0 OR r THEN staged ELSE before END AS "after",
+  before = 0 OR r OR before = staged AS ok
+FROM (
+  SELECT CAST(sec AS DATE) AS d, CAST(hour(sec) AS INTEGER) AS h, count(*) AS staged,
+    count(*) FILTER (WHERE hour(sec) % 3 = 2 OR (hour(sec) % 3 = 1 AND event_id % 2 = 0)) AS before
+  FROM h WHERE CAST(sec AS DATE) = DATE '2024-01-10' GROUP BY 1, 2
+) x CROSS JOIN (VALUES (false), (true)) t(r)""")
+
+
+def _line(uid: str = "CAST(uid AS VARCHAR)", sid: str = "CAST(sid AS VARCHAR)", ref: str = "ref",
+          bref: str = "bref", custom: str = "custom", first: int = 1, last: int = 22) -> str:
+    """Tab-joined fields ``first`` to ``last`` of an event, null as nothing."""
+    shown = {"uid": uid, "sid": sid, "ref": ref, "bref": bref, "custom": custom,
+             "sec": "strftime(sec, '%Y-%m-%d %H:%M:%S')"}
+    cols = [shown.get(c, f"CAST({c} AS VARCHAR)") for c in EVENT_COLS.replace(" ", "").split(",")]
+    return " || chr(9) || ".join(f"coalesce({c}, '')" for c in cols[first - 1:last])
+
+
+_UNSIGNED = "CAST(CAST({0} AS HUGEINT) + CASE WHEN {1} THEN 9223372036854775808 ELSE 0 END AS VARCHAR)"
+_FEED_UID = _UNSIGNED.format("uid", "event_id % 11 = 0")
+
+SQL["load_accounting"] = with_h("""
+SELECT src_hour, count(*) AS lines,
+  count(*) FILTER (WHERE class = 'loaded') AS loaded, count(*) FILTER (WHERE class = 'rejected') AS rejected,
+  count(*) FILTER (WHERE class = 'no_key') AS no_key, count(*) FILTER (WHERE class = 'stray') AS stray,
+  count(*) FILTER (WHERE class = 'other_groups') AS other_groups
+FROM (
+  SELECT date_trunc('hour', sec) + CASE WHEN event_id % 23 = 0 THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS src_hour,
+    CASE WHEN event_id % 13 = 0 THEN 'rejected' WHEN event_id % 17 = 0 THEN 'no_key'
+         WHEN event_id % 19 = 0 THEN 'rejected' WHEN event_id % 23 = 0 THEN 'stray'
+         WHEN uid % 256 < 128 THEN 'loaded' ELSE 'other_groups' END AS class
+  FROM h
+) x GROUP BY src_hour""")
+
+SQL["tsv_rejects"] = with_h(f"""
+SELECT event_id, event_id % 13 = 0 OR (event_id % 17 <> 0 AND event_id % 19 = 0) AS rejected,
+  CASE WHEN event_id % 13 = 0 THEN {_line(uid=_FEED_UID, last=5)}
+  WHEN event_id % 17 <> 0 AND event_id % 19 = 0 THEN {_line(uid=_FEED_UID, last=3)} || chr(9) || '300' || chr(9) || {_line(first=5)} END AS value
+FROM h""")
+
+_ODD_UID, _ODD_SID = (_UNSIGNED.format(c, "event_id % 2 = 0") for c in ("uid", "sid"))
+_ODD = {"ref": "' ' || ref || ' '", "bref": "bref || chr(13)", "custom": "'a' || chr(13) || 'b '"}
+_WRAPPED = "CASE WHEN event_id % 2 = 0 THEN CAST(CAST({0} AS HUGEINT) - 9223372036854775808 AS BIGINT) ELSE {0} END"
+
+
+def _odd_columns() -> str:
+    out = []
+    for c in EVENT_COLS.replace(" ", "").split(","):
+        value = _ODD.get(c) or (_WRAPPED.format(c) if c in ("uid", "sid") else
+                                "coalesce(geo, CAST(0 AS INTEGER))" if c == "geo" else c)
+        out.append(f"{value} AS {c}")
+    return ", ".join(out)
+
+
+SQL["tsv_round_trip"] = with_h(f"""
+SELECT event_id, md5({_line(uid=_ODD_UID, sid=_ODD_SID, **_ODD)}) AS line_md5, {_ODD_UID} AS uid_text, false AS rejected, {_odd_columns()}
+FROM h""")
+
+SQL["funnel_day"] = _funnel_sql("WHERE d = DATE '2024-01-05'")
+
+SQL["day_membership"] = with_h("""
+SELECT event_id, sec FROM h
+WHERE sec >= TIMESTAMP '2024-01-05 00:00:00' AND sec < TIMESTAMP '2024-01-06 02:00:00'""")

@@ -187,34 +187,40 @@ def drop_table_days(spark: SparkSession, table: str, days: Iterable[dt.date]) ->
     return n
 
 
-def _count(spark: SparkSession, path: str) -> int:
-    table = tables.read_if_exists(spark, path)
-    return 0 if table is None else table.count()
-
-
 def apply_retention(spark: SparkSession, path: str, keep: int = schema.RETENTION_DAYS) -> list[dt.date]:
-    """Remove the oldest days beyond ``keep``; fail if rows should go and none did."""
-    table = spark.read.parquet(path)
-    days = [r["d"] for r in expired_days(table, keep).collect()]  # bounded by the calendar
-    if not days:
-        return []
-    before = _count(spark, path)
-    drop_day_partitions(spark, path, days)
-    spark.catalog.refreshByPath(path)
-    after = _count(spark, path)
-    if after == before:
-        raise LifecycleError(f"retention removed no rows from {path}")
-    return sorted(days)
+    """Remove the oldest days beyond ``keep`` (days from the folder listing)."""
+    days = tables.listed_days(spark, path)
+    return _drop_listed(spark, path, days[:max(len(days) - keep, 0)])
 
 
 def excise_days(spark: SparkSession, path: str, first: str, last: str | None = None) -> int:
-    """Remove the days ``first .. last`` from a day-partitioned table."""
+    """Remove the days ``first .. last`` from a day-partitioned table; returns how many held data."""
     lo = parse_day(first)
     hi = parse_day(last) if last is not None else lo
     if hi < lo:
         raise ValueError("last day before first day")
-    days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
-    return drop_day_partitions(spark, path, days)
+    return len(_drop_listed(spark, path, [d for d in tables.listed_days(spark, path) if lo <= d <= hi]))
+
+
+def _drop_listed(spark: SparkSession, path: str, days: list[dt.date]) -> list[dt.date]:
+    """Delete day folders and check that they are gone."""
+    if days:
+        drop_day_partitions(spark, path, days)
+        spark.catalog.refreshByPath(path)
+        left = set(days) & set(tables.listed_days(spark, path))
+        if left:
+            raise LifecycleError(f"days still in {path}: {sorted(left)}")
+    return days
+
+
+def path_is_complete(spark: SparkSession, path: str, day: dt.date) -> bool:
+    """The build gate of a ``(d, h)`` table from its folders: all 24 hours hold data."""
+    return len(tables.listed_hours(spark, path, day)) == 24
+
+
+def path_needs_fill(spark: SparkSession, path: str, cap: int = schema.FILL_CAP_DAYS) -> bool:
+    """Whether a table holds fewer days than the cap, from its folders (true for no table)."""
+    return len(tables.listed_days(spark, path)) < cap
 
 
 def partition_filter(keys: Sequence[str], values: Iterable[tuple]):
@@ -235,43 +241,70 @@ def _counts(df: DataFrame, keys: Sequence[str]) -> dict[tuple, int]:
     return {tuple(r[k] for k in keys): r["n"] for r in rows}
 
 
+def contents(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per partition its rows and an order-free checksum of them: equal for equal sets of rows."""
+    cols = sorted(c for c in df.columns if c not in keys)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                 F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("checksum"))
+
+
+def reconcile(before: DataFrame, staged: DataFrame, keys: Sequence[str] = ("d", "h"),
+              replace: bool = False) -> DataFrame:
+    """What a publish of ``staged`` over ``before`` will do, per staged partition: ``before``, ``staged``
+    and ``after`` counts, the ``action`` (write, replace, replay, refuse) and ``ok``.
+
+    A partition that is present with the same rows is a replay and stays; one with other rows is
+    refused, as its staged rows would be lost.
+    """
+    keys = list(keys)
+    had = contents(before, keys).withColumnsRenamed({"n": "before", "checksum": "_b"})
+    got = contents(staged, keys).withColumnsRenamed({"n": "staged", "checksum": "_s"})
+    rows = got.join(had, keys, "left").withColumn("before", F.coalesce("before", F.lit(0).cast("bigint")))
+    same = (F.col("before") == F.col("staged")) & F.col("_b").eqNullSafe(F.col("_s"))
+    action = (F.when(F.col("before") == 0, F.lit("write")).when(F.lit(replace), F.lit("replace"))
+              .when(same, F.lit("replay")).otherwise(F.lit("refuse")))
+    return rows.select(*keys, "before", "staged", action.alias("action")).withColumns({
+        "after": F.when(F.col("action").isin("write", "replace"), F.col("staged")).otherwise(F.col("before")),
+        "ok": F.col("action") != "refuse"})
+
+
 def publish(spark: SparkSession, staged: DataFrame, main_path: str,
             keys: Sequence[str] = ("d", "h"), cluster_partitions: int | None = None,
             replace: bool = False) -> list[dict]:
-    """Move staged rows into the main table and reconcile the counts.
-
-    Refuses an empty stage.  Partitions already in the main table are left
-    alone (an hour is loaded once).  The others are written by dynamic
-    partition overwrite, so a crashed and rerun publish gives the same table.
-    Counts before and after read only the staged partition folders of the
-    main table (no listing of the whole table).  Returns, per staged
-    partition: before, staged, after and ``ok`` (after = before + staged for
-    written partitions; unchanged for skipped ones).  ``replace`` reloads
-    partitions already present (a corrected hour): they are overwritten and
-    must then hold exactly the staged rows.
+    """Move staged rows (read from files) into the main table and reconcile the counts.
+
+    Refuses an empty stage.  A partition already in the main table must hold exactly the staged rows
+    (a replay: nothing is done); with other rows the publish raises before it writes anything, as
+    rows would be lost, unless ``replace`` asks to reload it (a corrected hour).  New partitions are
+    written by dynamic partition overwrite, so a crashed and rerun publish gives the same table.
+    Reads only the staged partition folders of the main table.  Returns, per staged partition:
+    before, staged, after, action and ``ok`` (``after`` is counted after the write).
     """
     keys = list(keys)
     staged_counts = _counts(staged, keys)  # one row per staged partition
     if not staged_counts:
         raise LifecycleError("staged table is empty")
     main = tables.read_partitions(spark, main_path, keys, staged_counts)
-    before = {} if main is None else _counts(main, keys)
-    fresh = [k for k in staged_counts if replace or not before.get(k)]
-    if fresh:
-        sort = tables.EVENT_SORT if keys == ["d", "h"] else tables.FUNNEL_SORT
-        tables.write_partitioned(staged.where(partition_filter(keys, fresh)), main_path, keys,
-                                 [c for c in sort if c in staged.columns], cluster_partitions)
-    touched = tables.read_partitions(spark, main_path, keys, staged_counts)
-    after = {} if touched is None else _counts(touched, keys)
+    if main is None:
+        plan = {k: {"before": 0, "staged": n, "action": "write"} for k, n in staged_counts.items()}
+    else:
+        plan = {tuple(r[k] for k in keys): r.asDict() for r in reconcile(main, staged, keys, replace).collect()}
+    refused = [k for k, r in plan.items() if r["action"] == "refuse"]
+    if refused:
+        raise LifecycleError(f"present with other rows, staged rows would be lost: {sorted(refused)}")
+    todo = [k for k, r in plan.items() if r["action"] in ("write", "replace")]
+    after = {k: r["before"] for k, r in plan.items()}
+    if todo:
+        sort = tables.EVENT_SORT if keys[:2] == ["d", "h"] else tables.FUNNEL_SORT
+        rows = staged if len(todo) == len(plan) else staged.where(partition_filter(keys, todo))
+        tables.write_partitioned(rows, main_path, keys, [c for c in sort if c in staged.columns],
+                                 cluster_partitions, scan=True)
+        after.update(_counts(tables.read_partitions(spark, main_path, keys, todo), keys))
     out = []
-    for k, n in sorted(staged_counts.items()):
-        b = before.get(k, 0)
-        a = after.get(k, 0)
-        if replace:
-            ok = a == n
-        else:
-            ok = (a == b + n) if k in fresh else (a == b)
-        out.append({**dict(zip(keys, k)), "before": b, "staged": n, "after": a, "ok": ok})
+    for k, r in sorted(plan.items()):
+        expected = r["staged"] if k in todo else r["before"]
+        out.append({**dict(zip(keys, k)), "before": r["before"], "staged": r["staged"], "after": after.get(k, 0),
+                    "action": r["action"], "ok": after.get(k, 0) == expected})
     bad = [r for r in out if not r["ok"]]
     if bad:
         raise LifecycleError(f"count mismatch after publish: {bad}")

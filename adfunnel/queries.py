@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +16,9 @@ from . import schema
 from .functions import clean, derive, urls
 from .operators import funnel as fn
 from .operators import membership, profile, slots
-from .plans import ingest, lifecycle
+from .plans import daily, ingest, lifecycle
 from .sources import fixtures as fx
 from .sources import ssp as ssp_src
-from .session import new_scratch_path
 from .sources import tables, tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,7 +134,7 @@ def null_defaults(spark, sf_dir):
 @register("strip_breaking_chars")
 def strip_breaking_chars(spark, sf_dir):
     """Whole documents stripped of tab-breaking characters: length, digest, removed count."""
-    docs = fx.spread(fx.read_table(spark, sf_dir, "documents"))
+    docs = fx.read_table(spark, sf_dir, "documents")
     stripped = clean.strip_breaking(F.col("text"))
     return docs.select(
         "doc_id",
@@ -208,7 +206,8 @@ SLICE_HOUR = dt.datetime(2024, 1, 5, 13)
 def ingest_hour_slice(spark, sf_dir):
     """The hourly ingest of one hour for the first shard's user groups."""
     lo, hi = schema.SHARD_GROUPS[1]
-    h = fx.history_ref_view(spark, sf_dir)
+    # truncation to seconds moves no time over a whole hour: the bounds hold for ``ts`` and reach the scan
+    h = fx.history_ref_view(spark, sf_dir, derive.in_hour(F.col("ts"), SLICE_HOUR))
     return ingest.ingest_hour(h, SLICE_HOUR, lo, hi, keep=["event_id"])
 
 
@@ -372,24 +371,83 @@ PUBLISH_DAY = dt.date(2024, 1, 10)
 
 @register("publish_reconcile")
 def publish_reconcile(spark, sf_dir):
-    """Publish one staged day into an event table lacking it; per (d, h) counts.
+    """What publishing one staged day does, per (d, h), to a table that lacks some of its hours, holds
+    some with the same rows (a replay) and some with fewer (refused, or replaced when told to)."""
+    table = tables.event_table_frame(fx.history_ref_view(spark, sf_dir), keep=["event_id"])
+    staged = table.where(F.col("d") == derive.date_literal(PUBLISH_DAY))
+    held = staged.where((F.col("h") % 3 != 0) & ((F.col("h") % 3 != 1) | (F.col("event_id") % 2 == 0)))
+    plain = lifecycle.reconcile(held, staged).withColumn("replace", F.lit(False))
+    told = lifecycle.reconcile(held, staged, replace=True).withColumn("replace", F.lit(True))
+    return plain.unionByName(told)
+
+
+def hour_lines(spark, sf_dir):
+    """The events as lines of their hour files, with what goes wrong in a feed: by event_id, a user id
+    of 2^63 and more (% 11 = 0), a line cut short (% 13 = 0), no user (% 17 = 0), a type code out of range
+    (% 19 = 0) and a time in the next hour's file (% 23 = 0)."""
+    h = fx.history_ref_view(spark, sf_dir)
+    eid = F.col("event_id")
+    uid = F.when(eid % 11 == 0, F.col("uid") + F.lit(-2 ** 63)).otherwise(F.col("uid"))
+    start = F.make_timestamp_ntz(F.year("sec"), F.month("sec"), F.dayofmonth("sec"), F.hour("sec"),
+                                 F.lit(0), F.lit(0))
+    shown = h.withColumn("uid", uid).select("event_id", start.alias("start"), tsv.line_of().alias("line"))
+    fields = F.split("line", "\t", -1)
+    line = (F.when(eid % 13 == 0, F.array_join(F.slice(fields, 1, 5), "\t"))
+            .when(eid % 17 == 0, F.concat_ws("\t", F.lit(""), F.array_join(F.slice(fields, 2, 21), "\t")))
+            .when(eid % 19 == 0, F.concat_ws("\t", F.array_join(F.slice(fields, 1, 3), "\t"), F.lit("300"),
+                                             F.array_join(F.slice(fields, 5, 18), "\t")))
+            .otherwise(F.col("line")))
+    late = F.when(eid % 23 == 0, F.col("start") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("start"))
+    return shown.select("event_id", line.alias("value"), late.alias("src_hour"))
+
+
+@register("load_accounting")
+def load_accounting(spark, sf_dir):
+    """Per hour file: lines, and the rows of each class of the first shard's load."""
+    lo, hi = schema.SHARD_GROUPS[1]
+    rows = ingest.flagged_lines(hour_lines(spark, sf_dir))
+    kind = ingest.row_class(F.col("src_hour"), lo, hi, F.col("_bad"))
+    return rows.select("src_hour", kind.alias("class")).groupBy("src_hour").agg(
+        F.count(F.lit(1)).alias("lines"),
+        *[F.count(F.when(F.col("class") == c, 1)).alias(c) for c in ingest.CLASSES])
 
-    Writes two tables in the shared scratch folder: the event table without
-    the day, and the day's staging table; then publishes and reconciles.
-    """
-    # computed once for both writes (and their range sampling); a lost block is recomputed
-    table = tables.event_table_frame(fx.history_ref_view(spark, sf_dir), keep=["event_id"]) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        main_path = new_scratch_path(spark, "main")
-        tables.write_partitioned(lifecycle.outside_days(table, PUBLISH_DAY), main_path, ["d", "h"],
-                                 tables.EVENT_SORT)
-        stage_path = new_scratch_path(spark, "stage")
-        tables.write_partitioned(table.where(F.col("d") == derive.date_literal(PUBLISH_DAY)), stage_path,
-                                 ["d", "h"], tables.EVENT_SORT)
-    finally:
-        table.unpersist()
-    report = lifecycle.publish(spark, spark.read.parquet(stage_path), main_path)
-    return spark.createDataFrame(
-        [(r["d"], r["h"], r["before"], r["staged"], r["after"], r["ok"]) for r in report],
-        "d date, h int, before bigint, staged bigint, after bigint, ok boolean")
+
+@register("tsv_round_trip")
+def tsv_round_trip(spark, sf_dir):
+    """The events with blanks at the ends of values, carriage returns and ids of 2^63 and more, rendered as
+    lines and parsed again."""
+    h = fx.history_ref_view(spark, sf_dir)
+    big = F.when(F.col("event_id") % 2 == 0, F.lit(-2 ** 63)).otherwise(F.lit(0))
+    odd = h.withColumns({"uid": F.col("uid") + big, "sid": F.col("sid") + big,
+                         "ref": F.concat(F.lit(" "), "ref", F.lit(" ")),
+                         "bref": F.concat("bref", F.lit("\r")), "custom": F.lit("a\rb ")})
+    lines = odd.select("event_id", tsv.line_of().alias("value"))
+    back = tsv.parse_flagged(tsv.split_lines(lines, keep=["event_id", "value"]), keep=["event_id", "value"])
+    return back.select("event_id", F.md5("value").alias("line_md5"), tsv.unsigned_text(F.col("uid")).alias("uid_text"),
+                       F.col("_bad").alias("rejected"),
+                       *[c for c in schema.EVENT_COLUMNS])
+
+
+@register("tsv_rejects")
+def tsv_rejects(spark, sf_dir):
+    """Which lines of the faulty feed do not parse, and those lines."""
+    lines = hour_lines(spark, sf_dir)
+    rows = tsv.parse_flagged(tsv.split_lines(lines, keep=["event_id", "value"]), keep=["event_id", "value"])
+    return rows.select("event_id", F.col("_bad").alias("rejected"), F.when(F.col("_bad"), F.col("value")).alias("value"))
+
+
+FUNNEL_DAY = dt.date(2024, 1, 5)
+
+
+@register("funnel_day")
+def funnel_day(spark, sf_dir):
+    """The production daily build: one day's funnel from that day and the first two hours of the next."""
+    h, ssp = events_and_ssp(spark, sf_dir)
+    return daily.funnel_for_day(h, ssp, FUNNEL_DAY, tiebreak=["event_id"])
+
+
+@register("day_membership")
+def day_membership(spark, sf_dir):
+    """Events that the build of one day reads."""
+    h = fx.history_ref_view(spark, sf_dir)
+    return daily.day_scope(h, FUNNEL_DAY).select("event_id", "sec")

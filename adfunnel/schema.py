@@ -1,8 +1,8 @@
 """Table schemas.
 
 Unsigned integer types of the original tables map to the next wider signed
-Spark type (UInt32 -> bigint, UInt16 -> int); UInt64 ids map to bigint and a
-value above 2^63-1 is rejected at parse time (``try_cast`` gives NULL).
+Spark type (UInt32 -> bigint, UInt16 -> int); UInt64 ids map to bigint in two's
+complement (an id of 2^63 or more is stored as id - 2^64 and written out unsigned).
 Timestamps are ``timestamp_ntz`` in whole seconds: the data carries no zone.
 """
 
@@ -36,6 +36,9 @@ EVENT_FIELDS: list[tuple[str, T.DataType]] = [
     ("custom", T.StringType()),
 ]
 
+# The UInt64 columns.
+UNSIGNED_64 = ("uid", "expid", "sid")
+
 EVENT_COLUMNS = [name for name, _ in EVENT_FIELDS]
 EVENT_TYPES = dict(EVENT_FIELDS)
 

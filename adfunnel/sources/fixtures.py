@@ -16,9 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
+from ..operators.membership import bounded_broadcast
 
 # Fixed values of the fixture mapping (FIXTURES.md section 3).
-PAGE_MODULUS = 50              # ref = url of page event_id % 50
 INVALID_EXPID_MODULUS = 97     # expid = 0 when event_id % 97 = 0
 SITE_MODULUS = 25              # sid = (event_id div 4 + 1) % 25
 ZONE_MODULUS = 7               # sz  = (event_id div 4 + 1) % 7
@@ -27,21 +27,18 @@ IP_BASE = 3232235520           # ipint = 3232235520 + user_id (192.168.0.0)
 EVENT_TYPE_TN = {"view": 0, "click": 1, "purchase": 2, "signup": 3, "error": 0}
 SSP_REGIONS = (0, 1)
 
-
-_PLANS: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+# Pages above this number are joined by a shuffle; a url of 200 bytes makes 200 MB of broadcast.
+PAGES_BROADCAST_ROWS = 1_000_000
 
 
 def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Reuse a DataFrame *definition* per session: the driver tables are
     read-only, so the plan (schema, file listing, analysed view) is built once.
     No data is cached; every action still scans the files."""
-    k = (id(spark), *key)
-    hit = _PLANS.get(k)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = build()
-    _PLANS[k] = (spark, df)  # holding the session keeps its id from being reused
-    return df
+    plans = spark.__dict__.setdefault("_adfunnel_plans", {})  # goes when the session goes
+    if key not in plans:
+        plans[key] = build()
+    return plans[key]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,17 +46,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rebalance a scan that yields fewer splits than the cluster has cores.
-
-    The test tables are single files of one row group, i.e. one task for all
-    the per-row work.  A large table is split by row groups and files into far
-    more tasks than cores, and is returned unchanged (no extra shuffle).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def whole_seconds(ts: Column) -> Column:
     """Truncate a timestamp_ntz to the second without leaving the NTZ type."""
     return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts),
@@ -67,20 +53,33 @@ def whole_seconds(ts: Column) -> Column:
 
 
 def _page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One url per page id below PAGE_MODULUS: at most 50 rows, safe to broadcast."""
+    """One url per page id, broadcast if ``pages`` is small enough (checked)."""
     pages = read_table(spark, sf_dir, "pages")
-    return (pages.where(F.col("page_id").between(0, PAGE_MODULUS - 1))
-            .groupBy("page_id").agg(F.min("url").alias("url")))
+    rows = pages.groupBy("page_id").agg(F.min("url").alias("url"))
+    return bounded_broadcast(rows, page_count(spark, sf_dir), PAGES_BROADCAST_ROWS)
 
 
-def history_ref_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as the event table: ``event_id`` plus the 22 stored columns."""
+def page_count(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of ``pages`` (from the file footers), once per session."""
+    return _memo(spark, ("pages", sf_dir.rstrip("/")), lambda: read_table(spark, sf_dir, "pages").count())
+
+
+def history_ref_view(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """``events`` as the event table: ``event_id`` plus the 22 stored columns.
+
+    ``where``: a filter on the columns of ``events``, pushed to its scan.
+    """
+    if where is not None:
+        return _history_ref_view(spark, sf_dir, where)
     return _memo(spark, ("H", sf_dir.rstrip("/")), lambda: _history_ref_view(spark, sf_dir))
 
 
-def _history_ref_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = spread(read_table(spark, sf_dir, "events"))
-    urls = F.broadcast(_page_urls(spark, sf_dir))
+def _history_ref_view(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    if where is not None:
+        ev = ev.where(where)
+    urls = _page_urls(spark, sf_dir)
+    n_pages = max(page_count(spark, sf_dir), 1)
     exposure = F.expr("event_id div 4") + 1
     tn = F.col("event_type")
     tn_code = F.lit(0)
@@ -95,10 +94,10 @@ def _history_ref_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         tn_code.cast("tinyint").alias("tn"),
         F.when(tn == "error", F.lit(1)).otherwise(F.lit(0)).cast("tinyint").alias("sn"),
         F.lit(0).cast("tinyint").alias("stn"),
-        (F.col("event_id") % PAGE_MODULUS).alias("_ref_page"),
+        (F.col("event_id") % n_pages).alias("_ref_page"),
         (exposure % SITE_MODULUS).cast("bigint").alias("sid"),
         (exposure % ZONE_MODULUS).cast("bigint").alias("sz"),
-        ((F.col("event_id") + 1) % PAGE_MODULUS).alias("_bref_page"),
+        ((F.col("event_id") + 1) % n_pages).alias("_bref_page"),
         F.get_json_object("props", "$.k").cast("int").alias("geo"),
         (F.lit(IP_BASE) + F.col("user_id")).cast("bigint").alias("ipint"),
         F.lit(0).cast("int").alias("pz"),

@@ -36,6 +36,63 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def data_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Data files below a folder and when each was written; empty when the folder is absent."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return {}
+    out, files = {}, fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        name = f.getPath().getName()
+        if not name.startswith(("_", ".")):
+            out[f.getPath().toString()] = f.getModificationTime()
+    return out
+
+
+def _key_folders(spark: SparkSession, path: str, key: str) -> dict[str, str]:
+    """Values and paths of the ``key=value`` folders directly below ``path``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return {}
+    out = {}
+    for s in fs.listStatus(p):
+        name = s.getPath().getName()
+        if s.isDirectory() and name.startswith(key + "="):
+            out[name[len(key) + 1:]] = s.getPath().toString()
+    return out
+
+
+def listed_days(spark: SparkSession, path: str) -> list[dt.date]:
+    """Days with data of a table partitioned by ``d``, from its folders: no data file is opened."""
+    return sorted(dt.date.fromisoformat(v) for v, p in _key_folders(spark, path, "d").items()
+                  if data_files(spark, p))
+
+
+def listed_hours(spark: SparkSession, path: str, day: dt.date) -> list[int]:
+    """Hours with data of one day of a table partitioned by ``(d, h)``, from its folders."""
+    return sorted(int(v) for v, p in _key_folders(spark, partition_path(path, ["d"], [day]), "h").items()
+                  if data_files(spark, p))
+
+
+def shard_label(ug_from: int, ug_to: int) -> str:
+    """Partition value of the load unit that holds these user groups."""
+    return f"g{ug_from:03d}_{ug_to:03d}"
+
+
+def listed_shards(spark: SparkSession, path: str, day: dt.date, hour: int) -> list[str]:
+    """Load units with data of one hour; a file outside such a unit is an error of the layout."""
+    folder = partition_path(path, ["d", "h"], [day, hour])
+    units = {v: data_files(spark, p) for v, p in _key_folders(spark, folder, "shard").items()}
+    if len(data_files(spark, folder)) > sum(map(len, units.values())):
+        raise ValueError(f"{folder} holds files outside its load units")
+    return sorted(v for v, files in units.items() if files)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder (a staging table after its publish); True if it existed."""
     jvm = spark.sparkContext._jvm
@@ -59,8 +116,8 @@ def read_partitions(spark: SparkSession, path: str, keys: Sequence[str],
     """Only the named partitions of a table, by their folders (``basePath`` keeps
     the partition columns).  Lists those folders alone, not the whole table:
     the cost follows the partitions touched, not the table size.  None if none
-    of them exists."""
-    paths = [p for p in (partition_path(path, keys, v) for v in values) if path_exists(spark, p)]
+    of them holds data."""
+    paths = [p for p in (partition_path(path, keys, v) for v in values) if data_files(spark, p)]
     if not paths:
         return None
     return spark.read.option("basePath", path).parquet(*paths)
@@ -68,7 +125,7 @@ def read_partitions(spark: SparkSession, path: str, keys: Sequence[str],
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       sort_cols: Sequence[str], cluster_partitions: int | None = None,
-                      cluster: bool = True) -> None:
+                      cluster: bool = True, scan: bool = False) -> None:
     """Dynamic partition overwrite of ``path``.
 
     With ``cluster`` (default) the rows are first range-partitioned on
@@ -81,15 +138,17 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     writing hundreds of partition folders runs them one after the other.
     Size it from the data at scale (e.g. bytes of the hour / 256 MB).
     Without ``cluster`` the write is narrow: each task sorts and writes its
-    own rows.
+    own rows.  ``scan``: ``df`` reads files with no shuffle before, so a task that is run
+    again sees its rows in the same order and a seeded random salt repeats; after a shuffle
+    it would not, and the salt is a hash of the row.
     """
     if cluster:
         keys = [*partition_cols, *sort_cols]
         n = cluster_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        # last range key: a seeded salt, so even a mass of identical rows (one key
-        # holding a third of an hour) is cut into several ranges; seeded per input
-        # partition, a recomputed task draws the same values
-        df = (df.withColumn("_salt", F.rand(SALT_SEED))
+        # last range key: a salt, so a mass of rows with one key (a third of an hour)
+        # is cut into several ranges
+        salt = F.rand(SALT_SEED) if scan else F.xxhash64(*df.columns)
+        df = (df.withColumn("_salt", salt)
               .repartitionByRange(n, *keys, "_salt").drop("_salt"))
     (df.sortWithinPartitions(*partition_cols, *sort_cols)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -135,9 +194,9 @@ def _ddl_columns(fields) -> str:
 def create_tables(spark: SparkSession, database: str, location: str) -> None:
     """Create the database and the three tables if absent (idempotent)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    ev = _ddl_columns(schema.EVENT_FIELDS) + ", dom string, refhash string, d date, h int"
+    ev = _ddl_columns(schema.EVENT_FIELDS) + ", dom string, refhash string, d date, h int, shard string"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.history_ref ({ev}) USING parquet "
-              f"PARTITIONED BY (d, h) LOCATION '{location}/history_ref'")
+              f"PARTITIONED BY (d, h, shard) LOCATION '{location}/history_ref'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.history_uid ({_ddl_columns(schema.FUNNEL_FIELDS)}) "
               f"USING parquet PARTITIONED BY (d) LOCATION '{location}/history_uid'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.ssp_sites (sid bigint, name string, d date) "

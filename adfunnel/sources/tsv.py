@@ -3,12 +3,14 @@
 The dump has the 22 stored fields in load order, no header and no quoting;
 cleaning has removed tabs, newlines and quotes from the strings beforehand.
 The loader reads every field as text and parses it with ``try_cast``, so a
-value that does not fit its column (an id above 2^63-1, a type code of 300,
+value that does not fit its column (an id of 2^64 or more, a type code of 300,
 a broken line) sends the row to the reject output instead of failing the job.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,14 +39,40 @@ def with_source_hour(df: DataFrame, column: str = "src_hour") -> DataFrame:
     return df.withColumn(column, hour_key(F.col("_metadata.file_path")))
 
 
+def _two_to_64() -> Column:
+    return F.lit(Decimal(2 ** 64))
+
+
+def parse_unsigned(text: Column) -> Column:
+    """Digits of a UInt64 -> bigint in two's complement; NULL when out of range or not a number."""
+    n = text.try_cast("decimal(20,0)")
+    ok = text.rlike(r"^[0-9]+$") & (n < _two_to_64())
+    wrapped = F.when(n > F.lit(Decimal(2 ** 63 - 1)), n - _two_to_64()).otherwise(n)
+    return F.when(ok, wrapped.try_cast("bigint"))
+
+
+def unsigned_text(value: Column) -> Column:
+    """bigint in two's complement -> digits of the UInt64."""
+    wide = value.cast("decimal(20,0)")
+    return F.when(value < 0, (wide + _two_to_64()).cast("string")).otherwise(value.cast("string"))
+
+
+def line_of() -> Column:
+    """The 22 stored fields as one tab-separated line: values as they are, NULL as nothing."""
+    def text(name: str, t: T.DataType) -> Column:
+        c = F.col(name)
+        if isinstance(t, T.TimestampNTZType):
+            c = F.date_format(c, TIME_FORMAT)
+        elif name in schema.UNSIGNED_64:
+            c = unsigned_text(c)
+        return F.coalesce(c.cast("string"), F.lit(""))
+
+    return F.concat_ws("\t", *[text(n, t) for n, t in schema.EVENT_FIELDS])
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "error") -> None:
-    """Write the 22 stored fields as tab-separated text, no header, no quoting."""
-    (df.select(*schema.EVENT_COLUMNS).write.mode(mode)
-     .option("sep", "\t").option("header", "false")
-     .option("quote", "").option("escape", "").option("escapeQuotes", "false")
-     .option("emptyValue", "").option("nullValue", "")
-     .option("timestampNTZFormat", TIME_FORMAT)
-     .csv(path))
+    """Write the 22 stored fields as tab-separated text, no header, no quoting, no trimming."""
+    df.select(line_of().alias("value")).write.mode(mode).option("lineSep", "\n").text(path)
 
 
 def split_lines(lines: DataFrame, value_col: str = "value", keep=()) -> DataFrame:
@@ -67,8 +95,8 @@ def read_tsv_raw(spark: SparkSession, path: str) -> DataFrame:
     return split_lines(spark.read.option("lineSep", "\n").text(path))
 
 
-def parse_raw(raw: DataFrame, keep=()) -> tuple[DataFrame, DataFrame]:
-    """Typed events and rejects from ``read_tsv_raw`` output.
+def parse_flagged(raw: DataFrame, keep=()) -> DataFrame:
+    """Typed events of ``split_lines`` output with ``_bad`` (to be rejected) and ``_corrupt_record``.
 
     A non-empty field that does not parse, or a wrong field count, rejects the
     row.  Empty numeric fields take their default (0) right here, the value the
@@ -87,11 +115,16 @@ def parse_raw(raw: DataFrame, keep=()) -> tuple[DataFrame, DataFrame]:
         if isinstance(t, T.StringType):
             typed.append(raw_c.alias(name))
             continue
-        parsed = raw_c.try_cast(t)
+        parsed = parse_unsigned(raw_c) if name in schema.UNSIGNED_64 else raw_c.try_cast(t)
         bad = bad | (raw_c.isNotNull() & (raw_c != "") & parsed.isNull())
         value = parsed if name in ("uid", "sec") else F.coalesce(parsed, F.lit(0).cast(t))
         typed.append(value.alias(name))
-    flagged = raw.select(*typed, bad.alias("_bad"), F.col(CORRUPT), *keep)
+    return raw.select(*typed, bad.alias("_bad"), F.col(CORRUPT), *keep)
+
+
+def parse_raw(raw: DataFrame, keep=()) -> tuple[DataFrame, DataFrame]:
+    """Typed events and rejects of ``split_lines`` output."""
+    flagged = parse_flagged(raw, keep)
     good = flagged.where(~F.col("_bad")).drop("_bad", CORRUPT)
     rejects = flagged.where(F.col("_bad")).drop("_bad")
     return good, rejects

@@ -1,16 +1,12 @@
 """Hour files -> event table as a Structured Streaming query.
 
     readStream (tab-separated hour files landing in a folder)
-      -> typed fields, rejects dropped
-      -> user-group filter of this shard, cleaning, derived columns
-      -> foreachBatch: publish the hours of the micro-batch (load once)
+      -> each line with the hour named in its file's path
+      -> foreachBatch: the batch load (classes, counted rejects, stage, publish by (d, h, shard))
 
-The publish step is the batch one (``lifecycle.publish``): an hour already in
-the event table is skipped, new hours are written by dynamic partition
-overwrite.  A micro-batch replayed after a failure therefore changes nothing
-that was already published, and the file source's checkpoint (in the shared
-scratch folder) makes sure every file is read.  One file per hour and shard is
-the landing layout; an hour must not be split over two micro-batches.
+A micro-batch replayed after a failure stages the same rows, which the publish finds present and
+leaves.  Rows outside their file's hour go to the rejects.  An hour whose file comes in two parts must
+arrive in one micro-batch: a later part makes the publish raise, nothing is dropped.
 """
 
 from __future__ import annotations
@@ -19,18 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import clean, derive
-from ..plans import ingest, lifecycle
-from ..sources import tables, tsv
-from ..session import new_scratch_path
+from ..functions import derive
+from ..plans import ingest
+from ..sources import tsv
 
 
 def hour_files(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Lines of the landed files with ``src_hour``, null where the path names no hour."""
     # landing layout <root>/<day>/<hour>_<shard>.txt: look into sub-folders
     reader = spark.readStream.option("lineSep", "\n").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return tsv.split_lines(reader.text(landing_dir))
+    return reader.text(landing_dir).select("value", tsv.hour_key(F.col("_metadata.file_path")).alias("src_hour"))
 
 
 def start(spark: SparkSession, landing_dir: str, main_path: str, ug_from: int, ug_to: int,
@@ -38,32 +34,19 @@ def start(spark: SparkSession, landing_dir: str, main_path: str, ug_from: int, u
           max_files_per_trigger: int | None = None, rejects_path: str | None = None) -> StreamingQuery:
     """Start the ingest; ``available_now`` processes what has landed, then stops.
 
-    Each micro-batch is parsed inside ``foreachBatch`` so that its rejects can
-    go to ``rejects_path/batch=<id>`` (overwritten on replay) next to the
-    published rows.
+    The checkpoint, which remembers the files read, lies beside the table (``<table>_stream``) unless
+    named.  Rejects of a micro-batch go to ``batch=<id>`` below ``rejects_path`` (default
+    ``<table>_rejects``), replaced on replay.
     """
     derive.check_groups(ug_from, ug_to)
-    lines = hour_files(spark, landing_dir, max_files_per_trigger)
-    stage_root = new_scratch_path(spark, "ingest-stage")
+    base = main_path.rstrip("/")
+    rejects = (rejects_path or base + "_rejects").rstrip("/")
 
     def publish_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        good, bad_lines = tsv.parse_raw(batch)
-        if rejects_path is not None:
-            _, no_key = clean.split_rejects(good)
-            rejected = bad_lines.drop(tsv.CORRUPT).unionByName(no_key)
-            rejected.select(*[F.col(c).cast("string") for c in rejected.columns]) \
-                .write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/batch={batch_id}")
-        rows, _ = ingest.prepare(good.where(derive.in_user_groups(F.col("uid"), ug_from, ug_to)))
-        # stage first (cuts lineage; a replayed batch id overwrites its own stage)
-        stage = f"{stage_root}/batch={batch_id}"
-        tables.write_partitioned(rows, stage, ["d", "h"], tables.EVENT_SORT)
-        staged = session.read.schema(rows.schema).parquet(stage)
-        if not staged.isEmpty():
-            lifecycle.publish(session, staged, main_path)
-        tables.delete_path(session, stage)
+        ingest.load_flagged(batch.sparkSession, ingest.flagged_lines(batch), ug_from, ug_to, main_path,
+                            f"batch-{batch_id}", rejects_path=f"{rejects}/batch={batch_id}")
 
-    writer = (lines.writeStream.foreachBatch(publish_batch)
-              .option("checkpointLocation", checkpoint or new_scratch_path(spark, "ingest-ckpt")))
+    writer = (hour_files(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(publish_batch)
+              .option("checkpointLocation", checkpoint or base + "_stream"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

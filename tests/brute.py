@@ -11,7 +11,15 @@ from __future__ import annotations
 import datetime as dt
 from collections import defaultdict
 
-from adfunnel.operators.slots import slot_table
+# slots as stated by the original statements, apart from the library's tables: hours of begin, end of anchors, end of clicks
+NONSSP = [(0, 6, 8), (6, 10, 12), (10, 14, 16), (14, 17, 19), (17, 20, 22), (20, 22, 24), (22, 24, 26)]
+SSP = [(0, 6, 8), (6, 12, 14), (12, 15, 17), (15, 18, 20), (18, 21, 23), (21, 24, 26)]
+
+
+def slot_table(is_ssp: bool) -> list[tuple]:
+    if is_ssp:  # impressions end two minutes after the bids
+        return [(b * 3600, e * 3600 - 1, e * 3600 + 119, c * 3600 - 1) for b, e, c in SSP]
+    return [(b * 3600, e * 3600 - 1, c * 3600 - 1) for b, e, c in NONSSP]
 
 
 def funnel(rows: list[dict], ssp_sids: set[int]) -> list[tuple]:

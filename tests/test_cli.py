@@ -60,9 +60,15 @@ def test_cli_tables_retention_and_day(spark, tmp_path):
                                                F.lit(hour + dt.timedelta(seconds=3599)).cast("timestamp_ntz"))),
                   str(root / "2024-01-09" / "00_s1.txt"))
     events = new_scratch_path(spark, "ev")
-    code, statuses = cli.run(spark, ["load-day", "2024-01-09", "--landing", str(root), "--shard", "s1",
+    code, out = cli.run(spark, ["load-day", "2024-01-09", "--landing", str(root), "--shard", "s1",
                                      "--ug-from", "1", "--ug-to", "256", "--events", events])
-    assert code == 0 and [s["status"] for s in statuses].count("loaded") == 1
+    assert code == 0 and out["status"] == "loaded" and out["missing"] == 23
+
+    sites = new_scratch_path(spark, "ssp")
+    fx.ssp_view(spark, SF_CHECK).write.parquet(sites)
+    args = ["backfill", "2024-01-10", "--landing", str(root), "--shard", "s1", "--ug-from", "1", "--ug-to", "256",
+            "--events", events, "--ssp", sites, "--out", new_scratch_path(spark, "uid"), "--days", "1"]
+    assert cli.run(spark, args) == (0, [("2024-01-09", "incomplete")])
 
 
 def daily_rows(spark, h):

@@ -25,7 +25,5 @@ def test_queries_read_the_given_tables(spark):
     from adfunnel.queries import QUERIES
 
     for name, q in QUERIES.items():
-        if name == "publish_reconcile":
-            continue
         files = q(spark, sf).inputFiles()
         assert files and all(os.path.basename(f).endswith(".parquet") for f in files), name

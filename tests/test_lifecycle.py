@@ -168,7 +168,8 @@ def test_backfill_loop(spark):
 
     done = daily.backfill(spark, dt.date(2024, 1, 4), load_day, ev_path, uid_path, ssp, days=2)
     assert loaded == [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
-    assert [s for _, s in done] == ["built", "built"]
+    # the second load wrote hours 0 and 1 of the first day's next day anew
+    assert [s for _, s in done] == ["built", "rebuilt", "built"]
     assert spark.read.parquet(uid_path).select("d").distinct().count() == 2
 
 
@@ -220,6 +221,7 @@ def test_drop_days_of_catalog_table(spark):
     tables.create_tables(spark, "adf_drop", loc)
     h = fx.history_ref_view(spark, SF_SMALL)
     rows = tables.event_table_frame(h).where(F.col("d") <= F.lit("2024-01-03").cast("date"))
+    rows = rows.withColumn("shard", F.lit(tables.shard_label(1, 256)))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto("adf_drop.history_ref")
     n = lifecycle.drop_table_days(spark, "adf_drop.history_ref", [dt.date(2024, 1, 2)])
     assert n == 1
@@ -246,9 +248,84 @@ def test_rejects_kept_per_hour(spark, tmp_path):
                             "\t".join([""] + fields[1:])]) + "\n")
     main, rej = new_scratch_path(spark, "main"), new_scratch_path(spark, "rej")
     for _ in range(2):  # rerun: same rejects, not twice as many
-        ingest.load_hour_file(spark, str(f), 1, 256, main, rejects_path=rej)
-    assert spark.read.parquet(rej).count() == 3
-    assert spark.read.parquet(main).count() == 1
+        out = ingest.load_hour_file(spark, str(f), 1, 256, main, rejects_path=rej)
+    assert out["status"] == "present"
+    assert sorted(r["reason"] for r in spark.read.parquet(rej).collect()) == ["no_key", "rejected"]
+    assert {r["uid"] for r in spark.read.parquet(main).collect()} == {5, -1}
+
+
+LINE = "\t".join(["{uid}", "2024-01-02 {time}", "7", "0", "0", "0", "http://a.b/", "3", "1", "",
+                  "9", "3232235521", "0", "1", "0", "0", "0.5", "0", "0", "0", "0", ""])
+
+
+def hour_text(path, *rows):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("".join(LINE.format(uid=u, time=t) + "\n" for u, t in rows))
+
+
+def test_four_lines_in_four_accounted_for(spark, tmp_path):
+    f = tmp_path / "reg" / "2024-01-02" / "05_s1.txt"
+    hour_text(f, (5, "05:00:01"), (2 ** 63, "05:00:02"), (2 ** 64 - 1, "05:59:59"), (6, "06:00:00"))
+    main = new_scratch_path(spark, "main")
+    out = ingest.load_hour_file(spark, str(f), 1, 256, main)
+    assert (out["lines"], out["loaded"], out["stray"], out["rejected"]) == (4, 3, 1, 0)
+    kept = spark.read.parquet(out["rejects"]).collect()
+    assert [(r["reason"], r["line"].split("\t")[0]) for r in kept] == [("stray", "6")]
+    assert {r["uid"] for r in spark.read.parquet(main).collect()} == {5, -2 ** 63, -1}
+
+
+def test_second_shard_of_an_hour_is_loaded(spark, tmp_path):
+    f = tmp_path / "reg" / "2024-01-02" / "05_s1.txt"
+    hour_text(f, *[(u, "05:00:01") for u in (*range(0, 50), *range(128, 178))])
+    for load in (lambda lo, hi, m: ingest.load_hour_file(spark, str(f), lo, hi, m),
+                 lambda lo, hi, m: ingest.load_day_batched(spark, str(tmp_path / "reg"), dt.date(2024, 1, 2), "s1",
+                                                           lo, hi, m)):
+        main = new_scratch_path(spark, "main")
+        first, second = load(1, 128, main), load(129, 256, main)
+        assert first["loaded"] == second["loaded"] == 50 and first["other_groups"] == 50
+        assert spark.read.parquet(main).select("uid").distinct().count() == 100
+        with pytest.raises(lifecycle.LifecycleError):  # overlaps units that are loaded
+            load(1, 256, main)
+        assert spark.read.parquet(main).count() == 100
+
+
+def test_an_empty_folder_does_not_block_its_hour(spark, tmp_path):
+    from adfunnel.session import local_path
+    import pathlib
+    f = tmp_path / "reg" / "2024-01-02" / "05_s1.txt"
+    hour_text(f, (5, "05:00:01"))
+    main = new_scratch_path(spark, "main")
+    pathlib.Path(local_path(main), "d=2024-01-02", "h=5", "shard=g001_256").mkdir(parents=True)
+    assert ingest.load_day_batched(spark, str(tmp_path / "reg"), dt.date(2024, 1, 2), "s1", 1, 256, main)["loaded"] == 1
+
+
+def test_an_emptied_day_leaves_no_rows(spark):
+    events, out = new_scratch_path(spark, "ev"), new_scratch_path(spark, "uid")
+    ssp = fx.ssp_view(spark, SF_SMALL)
+    day = dt.date(2024, 1, 5)
+    h = fx.history_ref_view(spark, SF_SMALL)
+    tables.write_events(h, events)
+    daily.build_day(spark, events, ssp, day, out, require_complete=False)
+    daily.build_day(spark, events, ssp, day + dt.timedelta(days=1), out, require_complete=False)
+    other = new_scratch_path(spark, "ev")
+    tables.write_events(h.where("expid = 0"), other)
+    daily.build_day(spark, other, ssp, day, out, require_complete=False)
+    assert {r["d"] for r in spark.read.parquet(out).select("d").distinct().collect()} == {day + dt.timedelta(days=1)}
+
+
+def test_second_backfill_builds_nothing(spark):
+    ev_path, uid_path = new_scratch_path(spark, "ev"), new_scratch_path(spark, "uid")
+    h = fx.history_ref_view(spark, SF_CHECK)
+    ssp = fx.ssp_view(spark, SF_CHECK)
+
+    def load_day(day):  # a day is loaded once
+        if day not in tables.listed_days(spark, ev_path):
+            tables.write_events(h.where(F.to_date("sec") == F.lit(day)), ev_path)
+
+    run = lambda: daily.backfill(spark, dt.date(2024, 1, 4), load_day, ev_path, uid_path, ssp, days=2)
+    assert len(run()) == 3 and run() == []
+    tables.write_events(h.where(F.to_date("sec") == F.lit(dt.date(2024, 1, 4))), ev_path)  # late clicks of day 3
+    assert run() == [(dt.date(2024, 1, 3), "rebuilt")]
 
 
 def test_publish_replace_reloads_an_hour(spark):
@@ -258,8 +335,11 @@ def test_publish_replace_reloads_an_hour(spark):
     rows = ingest.ingest_hour(h, hour, 1, 256)
     lifecycle.publish(spark, rows, main)
     fewer = rows.where(F.col("uid") % 2 == 0)
-    skipped = lifecycle.publish(spark, fewer, main)
-    assert skipped[0]["after"] == skipped[0]["before"] == rows.count()
+    replayed = lifecycle.publish(spark, rows, main)
+    assert replayed[0]["action"] == "replay" and replayed[0]["after"] == replayed[0]["before"] == rows.count()
+    with pytest.raises(lifecycle.LifecycleError):
+        lifecycle.publish(spark, fewer, main)
+    assert spark.read.parquet(main).count() == rows.count()
     replaced = lifecycle.publish(spark, fewer, main, replace=True)
     assert replaced[0]["after"] == fewer.count() < rows.count() and replaced[0]["ok"]
 

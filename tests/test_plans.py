@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from adfunnel.operators import funnel as fn
+from adfunnel.operators import membership
 from adfunnel.queries import QUERIES
 from adfunnel.session import new_scratch_path
 from adfunnel.sources import fixtures as fx
@@ -40,25 +41,33 @@ def test_funnel_single_shuffle_on_table(spark):
 
 
 def test_no_query_uses_nested_loops_or_cartesian(spark):
-    skip = {"publish_reconcile"}  # writes files; its plan is a local relation
     for name, q in QUERIES.items():
-        if name in skip:
-            continue
         plan = plan_text(q(spark, SF_SMALL))
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
 
 
 def test_no_python_udfs(spark):
     for name, q in QUERIES.items():
-        if name == "publish_reconcile":
-            continue
         plan = plan_text(q(spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
 
+def test_views_read_whole_tables_without_rebalancing(spark):
+    for name, q in QUERIES.items():
+        assert "RoundRobinPartitioning" not in plan_text(q(spark, SF_SMALL)), name
+    from adfunnel.oracle import SQL
+    assert not any("BETWEEN 0 AND 49" in s for s in SQL.values())
+
+
+def test_hour_slice_reaches_the_scan(spark):
+    plan = plan_text(QUERIES["ingest_hour_slice"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(ts,2024-01-05T13:00)" in plan and "LessThan(ts,2024-01-05T14:00)" in plan
+
+
 def test_membership_literal_list_pushed(spark):
-    plan = plan_text(QUERIES["site_subset"](spark, SF_SMALL))
-    assert "isin" in plan.lower() or " IN (" in plan
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumnRenamed("user_id", "sid")
+    plan = plan_text(membership.sites_in(events, [3, 7, 12]))
+    assert re.search(r"PushedFilters: \[[^\]]*In\(user_id, \[[\d,]+\]\)", plan), plan
 
 
 def test_daily_scope_reads_two_partitions(spark):

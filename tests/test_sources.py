@@ -24,6 +24,20 @@ def test_tsv_round_trip(spark):
     assert sorted(map(tuple, h.select(*key).collect())) == sorted(map(tuple, back.select(*key).collect()))
 
 
+def test_tsv_keeps_blanks_returns_and_large_ids(spark):
+    from .helpers import event, frame
+    rows = [event(i, "2024-01-01 00:00:01", -1, 0, 3, uid=-2 ** 63 + i, ref=r)
+            for i, r in enumerate([" lead", "trail ", "a\rb", "", '""'])]
+    h = frame(spark, rows).drop("event_id")
+    path = new_scratch_path(spark, "tsv")
+    tsv.write_tsv(h, path)
+    text = "".join(sorted(r["value"] for r in spark.read.option("lineSep", "\n").text(path).collect()))
+    assert "9223372036854775808\t" in text and "18446744073709551615" in text
+    back, rejects = tsv.read_tsv(spark, path)
+    assert rejects.isEmpty()
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, h.select(*schema.EVENT_COLUMNS).collect()))
+
+
 def test_tsv_rejects(spark, tmp_path):
     good = "\t".join(["5", "2024-01-01 00:00:01", "7", "0", "0", "0", "http://a.b/", "3", "1", "",
                       "9", "3232235521", "0", "1", "0", "0", "0.5", "0", "0", "0", "0", ""])
@@ -38,8 +52,9 @@ def test_tsv_rejects(spark, tmp_path):
     ok, rejects = tsv.read_tsv(spark, str(p))
     ok = clean.clean(ok)
     rows = ok.collect()
-    assert len(rows) == 3
-    assert rejects.count() == 3
+    assert len(rows) == 4
+    assert rejects.count() == 2
+    assert [r["uid"] for r in rows if r["uid"] != 5] == [-1]  # 2^64 - 1 in two's complement
     quoted_row = [r for r in rows if r["ref"].startswith("http://ab")]
     assert quoted_row, "a stray quote must not swallow the following fields"
     empty_row = [r for r in rows if r["expid"] == 0][0]
@@ -72,7 +87,7 @@ def test_ddl_idempotent_and_rollback(spark):
     names = {t.name for t in spark.catalog.listTables("adf_test")}
     assert {"history_ref", "history_uid", "ssp_sites"} <= names
     cols = [c.name for c in spark.catalog.listColumns("adf_test.history_ref")]
-    assert cols[:22] == schema.EVENT_COLUMNS and cols[-2:] == ["d", "h"]
+    assert cols[:22] == schema.EVENT_COLUMNS and cols[-3:] == ["d", "h", "shard"]
     tables.drop_table(spark, "adf_test", "history_uid")
     assert "history_uid" not in {t.name for t in spark.catalog.listTables("adf_test")}
 
@@ -97,7 +112,7 @@ def test_write_splits_a_mass_of_copies(spark):
               .drop("_copy"))
     path = new_scratch_path(spark, "copies")
     tables.write_partitioned(tables.event_table_frame(h.unionByName(copies)), path, ["d", "h"],
-                             tables.EVENT_SORT, cluster_partitions=8)
+                             tables.EVENT_SORT, cluster_partitions=8, scan=True)
     back = spark.read.parquet(path)
     assert back.count() == h.count() + 2000
     hot = back.groupBy(F.input_file_name().alias("f")).count().where(F.col("count") > 100).count()

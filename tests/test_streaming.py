@@ -36,3 +36,26 @@ def test_stream_loads_each_hour_once(spark, tmp_path):
     q2 = hourly.start(spark, str(landing), main, 1, 256, checkpoint=ckpt)
     q2.awaitTermination(300)
     assert spark.read.parquet(main).count() == expected
+
+
+def test_stray_row_does_not_block_the_next_hour(spark, tmp_path):
+    import pytest
+
+    from .test_lifecycle import hour_text
+
+    day = tmp_path / "landing" / "2024-01-02"
+    main = new_scratch_path(spark, "main")
+    run = lambda: hourly.start(spark, str(tmp_path / "landing"), main, 1, 256).awaitTermination(300)
+    hour_text(day / "05_s1.txt", (1, "05:10:00"), (2, "06:00:00"))
+    run()
+    hour_text(day / "06_s1.txt", *[(u, "06:10:00") for u in range(50)])
+    run()
+    got = spark.read.parquet(main)
+    assert got.where("h = 5").count() == 1 and got.where("h = 6").count() == 50
+    kept = spark.read.option("recursiveFileLookup", "true").parquet(main + "_rejects").collect()
+    assert [r["reason"] for r in kept] == ["stray"]
+    # a later part of an hour that is present is refused, not dropped
+    hour_text(day / "06_s1_part2.txt", (70, "06:20:00"))
+    with pytest.raises(Exception, match="would be lost"):
+        run()
+    assert spark.read.parquet(main).count() == 51
