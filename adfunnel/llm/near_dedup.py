@@ -13,6 +13,10 @@
 * Verification: a pair is linked if the exact Jaccard similarity of its sets of windows is at least
   ``threshold``.  Each text's most frequent partner is verified first and the components of those links formed; of
   the other pairs only those between different components are then left to verify.
+* Rest: in a bucket of more texts than the neighbours reach, pairs were left out.  Where the texts of such a
+  bucket are still in different components, an exact prefix filter over their windows, rarest first, finds every
+  pair of texts of different components that can reach ``threshold``; these are verified too.  So no link between
+  texts that share a band is lost, and a bucket whose texts are linked costs nothing more.
 * The class of a document is the least id in its component.
 
 At similarity 0.8 a pair of texts shares at least one of 20 bands of 4 with probability 0.99997.
@@ -102,8 +106,10 @@ def _window_sets(k: int):
 
 
 def _neighbours(back: int):
-    """Pairs of each row with the ``back`` rows before it in the same bucket; per partition also its first
-    and last ``back`` rows (``edge`` -1 and 1, numbered), to join the borders."""
+    """Pairs of each row with the ``back`` rows before it in the same bucket (``edge`` 0); the rows of larger
+    buckets (2); per partition also its first and last ``back + 1`` rows (-1 and 1, numbered), to join the borders."""
+    span = back + 1
+
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_b, kept_v, kept_i = (np.zeros(0, t) for t in (np.int32, np.int64, np.int64))
         head: list[tuple] = []
@@ -114,9 +120,9 @@ def _neighbours(back: int):
             v = np.concatenate([kept_v, batch.column("value").to_numpy()])
             i = np.concatenate([kept_i, batch.column("node").to_numpy()])
             old = len(kept_b)
-            if len(head) < back:
-                head += list(zip(b[old:old + back - len(head)].tolist(), v[old:old + back - len(head)].tolist(),
-                                 i[old:old + back - len(head)].tolist()))
+            if len(head) < span:
+                first = slice(old, old + span - len(head))
+                head += list(zip(b[first].tolist(), v[first].tolist(), i[first].tolist()))
             xs, ys = [], []
             for step in range(1, back + 1):
                 at = np.arange(max(old, step), len(b))
@@ -124,10 +130,17 @@ def _neighbours(back: int):
                 xs.append(i[same - step])
                 ys.append(i[same])
             x, y = np.concatenate(xs), np.concatenate(ys)
+            far = np.arange(max(old, span), len(b))
+            far = far[(b[far] == b[far - span]) & (v[far] == v[far - span])]
+            many = np.unique((far[:, None] - np.arange(span + 1)).reshape(-1))
+            if len(many):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(many), 2, np.int32)), pa.array(b[many]), pa.array(v[many]),
+                     pa.array(i[many]), pa.array(np.zeros(len(many), np.int64))], names=_PAIR)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(x), np.int32)), pa.array(np.zeros(len(x), np.int32)),
                  pa.array(np.zeros(len(x), np.int64)), pa.array(x), pa.array(y)], names=_PAIR)
-            kept_b, kept_v, kept_i = b[-back:], v[-back:], i[-back:]
+            kept_b, kept_v, kept_i = b[-span:], v[-span:], i[-span:]
         ends = [(-1, *r) for r in head] + [(1, *r) for r in zip(kept_b.tolist(), kept_v.tolist(), kept_i.tolist())]
         if ends:
             edge, band, value, node = (list(c) for c in zip(*ends))
@@ -141,8 +154,9 @@ def _neighbours(back: int):
 _PAIR = ["edge", "band", "value", "a", "b"]
 
 
-def candidate_pairs(signatures: DataFrame, bands: int, back: int = 2) -> DataFrame:
-    """``a < b, n``: the pairs of neighbours in the sorted bands, and in how many bands they are."""
+def candidate_pairs(signatures: DataFrame, bands: int, back: int = 2) -> tuple[DataFrame, DataFrame]:
+    """``a < b, n``: the pairs of neighbours in the sorted bands, and in how many bands they are; and
+    ``band, value, node`` of the buckets in which not all pairs are neighbours."""
     laid = signatures.select("node", "bands", F.posexplode("bands").alias("band", "value")).select(
         "band", "value", F.col("bands")[F.pmod(F.col("band") + 1, F.lit(bands))].alias("next"),
         F.col("bands")[F.pmod(F.col("band") + 2, F.lit(bands))].alias("then"), "node")
@@ -150,11 +164,13 @@ def candidate_pairs(signatures: DataFrame, bands: int, back: int = 2) -> DataFra
     found = written(laid.repartitionByRange(*keys).sortWithinPartitions(*keys).select("band", "value", "node")
                     .mapInArrow(_neighbours(back), "edge int, band int, value long, a long, b long")
                     .withColumn("pid", F.spark_partition_id()), "near-pairs")
-    # borders: 2 * back rows per partition, in the order of partitions; pairs reach over a border only
+    # borders: 2 * (back + 1) rows per partition, in the order of partitions; pairs reach over a border only
     ends = found.filter("edge != 0").select("pid", "edge", "band", "value", F.col("a").alias("node"),
                                             F.col("b").alias("no"))
     order = W.partitionBy("band", "value").orderBy("pid", "no")
     ends = ends.dropDuplicates(["band", "value", "node", "pid"])
+    crowded = found.filter("edge = 2").select("band", "value", F.col("a").alias("node")).unionByName(
+        ends.select("band", "value", "node")).distinct()
     over = [ends.select("pid", "band", "value", F.lag("node", s).over(order).alias("x"), F.col("node").alias("y"),
                         F.lag("pid", s).over(order).alias("from"))
             .filter((F.col("from") < F.col("pid")) & (F.col("x") != F.col("y"))).select("x", "y")
@@ -162,8 +178,36 @@ def candidate_pairs(signatures: DataFrame, bands: int, back: int = 2) -> DataFra
     both = found.filter("edge = 0").select(F.col("a").alias("x"), F.col("b").alias("y"))
     for o in over:
         both = both.unionByName(o)
-    return (both.filter("x != y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    pairs = (both.filter("x != y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    return pairs, crowded
+
+
+def left_out(crowded: DataFrame, roots: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``a, b``: pairs of texts of different components, out of buckets that hold several components, whose
+    window sets may reach ``threshold``.
+
+    Prefix filter: of two sets with Jaccard similarity t or more, in one common order of the windows, the
+    first ``|x| - ceil(t |x|) + 1`` of each share a window.  The order is rarest first, and windows that
+    occur in one component alone are not joined.
+    """
+    placed = crowded.join(roots, "node", "left").select("band", "value", "node",
+                                                        F.coalesce("root", "node").alias("root"))
+    mixed = (placed.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+             .filter("lo != hi").select("band", "value"))
+    nodes = placed.join(mixed, ["band", "value"]).select("node", "root").distinct()
+    each = written(sets.join(nodes, "node").select("node", "root", F.size("windows").alias("size"),
+                                                   F.explode("windows").alias("w")), "near-mixed")
+    known = each.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    ranked = each.join(known, "w").withColumn("rank", F.row_number().over(W.partitionBy("node").orderBy("n", "w")))
+    prefix = written(ranked.filter((F.col("lo") != F.col("hi")) & (
+        F.col("rank") <= F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1))
+        .select("w", "node", "root", "size"), "near-prefix")
+    a, b = (prefix.select("w", *[F.col(c).alias(c + s) for c in ("node", "root", "size")]) for s in ("_a", "_b"))
+    return (a.join(b, "w").filter((F.col("root_a") < F.col("root_b"))
+                                  & (F.col("size_a") >= F.col("size_b") * threshold - 1e-9)
+                                  & (F.col("size_b") >= F.col("size_a") * threshold - 1e-9))
+            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -190,7 +234,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, m: int
     texts = written(signed.filter(F.size("bands") > 0).groupBy("copy")
                     .agg(F.min("ord").alias("ord"), F.first("bands").alias("bands"))
                     .withColumn("node", F.xxhash64("copy")), "near-texts")
-    pairs = written(candidate_pairs(texts, bands), "near-candidates")
+    pairs, crowded = candidate_pairs(texts, bands)
+    pairs, crowded = written(pairs, "near-candidates"), written(crowded, "near-crowded")
 
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     speakers = texts.join(asked, "node", "left_semi").select("node", "copy", "ord")
@@ -213,7 +258,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, m: int
             .filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
     more = written(verified(rest, sets, threshold), "near-links")
     # the star of each component stands for its links
-    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    star = lambda r: r.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = components(star(roots).unionByName(more))
+    last = written(verified(left_out(crowded, roots, sets, threshold), sets, threshold), "near-links")
+    if not last.isEmpty():
+        roots = components(star(roots).unionByName(last))
 
     # a row's class: the component of its text, the text itself, or for a blank text the row alone
     own = F.when(F.size("bands") > 0, F.xxhash64("copy"))

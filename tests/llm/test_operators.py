@@ -88,6 +88,22 @@ def test_quality(docs, rows):
     assert all(not r["kept"] for r in out if r["base_failed"])
 
 
+def test_near_duplicates_in_crowded_buckets(spark):
+    """Edited copies of a few texts, close to the threshold: no link between different texts is lost."""
+    import random
+    rng = random.Random(5)
+    rows = []
+    for family in range(3):
+        base = [f"f{family}w{i}" for i in range(300)]
+        for _ in range(50):
+            words = list(base)
+            for at in rng.sample(range(300), rng.choice([1, 3, 6, 9, 12])):
+                words[at] = f"e{rng.randrange(10 ** 9)}"
+            rows.append((len(rows), " ".join(words)))
+    out = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in out} == brute.near_classes(rows)
+
+
 def test_near_duplicates(docs, rows):
     out = near_dedup.near_duplicates(docs).collect()
     want = brute.near_classes([(i if i is not None else 10 ** 12, t) for i, t in rows])
