@@ -14,8 +14,8 @@
   ``threshold``.  Each text's most frequent partner is verified first and the components of those links formed; of
   the other pairs only those between different components are then left to verify.
 * Rest: in a bucket of more texts than the neighbours reach, pairs were left out.  Where the texts of such a
-  bucket are still in different components, an exact prefix filter over their windows, rarest first, finds every
-  pair of texts of different components that can reach ``threshold``; these are verified too.  So no link between
+  bucket are still in different components, exact prefix, position and bitmap filters over their windows, rarest
+  first, find every pair of texts of different components that can reach ``threshold``; these are verified too.  So no link between
   texts that share a band is lost, and a bucket whose texts are linked costs nothing more.
 * The class of a document is the least id in its component.
 
@@ -41,6 +41,8 @@ from .common import WS, WS_CLASS, ship_package, whole_text, written
 from .components import components
 
 _NO_ID = 2 ** 63 - 1
+#: 64-bit words of the parity bitmaps of ``left_out``.
+_WORDS = 8
 
 
 def prob_minhash(h: np.ndarray, of: np.ndarray, weight: np.ndarray, n: int, m: int) -> np.ndarray:
@@ -187,9 +189,13 @@ def left_out(crowded: DataFrame, roots: DataFrame, sets: DataFrame, threshold: f
     """``a, b``: pairs of texts of different components, out of buckets that hold several components, whose
     window sets may reach ``threshold``.
 
-    Prefix filter: of two sets with Jaccard similarity t or more, in one common order of the windows, the
-    first ``|x| - ceil(t |x|) + 1`` of each share a window.  The order is rarest first, and windows that
-    occur in one component alone are not joined.
+    Windows that occur in one component alone cannot be common to such a pair; the others, rarest first, are a
+    text's usable windows.  Three exact filters for ``c`` common windows, all applied as the join meets a pair:
+
+    * prefix: ``c >= t |x|``, so the first ``usable - ceil(t |x|) + 1`` usable windows of each share one;
+    * position: where the first shared one stands, ``c`` is at most the lesser number of usable windows from there on;
+    * bitmap: the parities of the usable windows in ``64 * _WORDS`` classes differ between two texts in at most as
+      many classes as there are windows that only one of them has.
     """
     placed = crowded.join(roots, "node", "left").select("band", "value", "node",
                                                         F.coalesce("root", "node").alias("root"))
@@ -198,15 +204,25 @@ def left_out(crowded: DataFrame, roots: DataFrame, sets: DataFrame, threshold: f
     nodes = placed.join(mixed, ["band", "value"]).select("node", "root").distinct()
     each = written(sets.join(nodes, "node").select("node", "root", F.size("windows").alias("size"),
                                                    F.explode("windows").alias("w")), "near-mixed")
-    known = each.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    ranked = each.join(known, "w").withColumn("rank", F.row_number().over(W.partitionBy("node").orderBy("n", "w")))
-    prefix = written(ranked.filter((F.col("lo") != F.col("hi")) & (
-        F.col("rank") <= F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1))
-        .select("w", "node", "root", "size"), "near-prefix")
-    a, b = (prefix.select("w", *[F.col(c).alias(c + s) for c in ("node", "root", "size")]) for s in ("_a", "_b"))
-    return (a.join(b, "w").filter((F.col("root_a") < F.col("root_b"))
-                                  & (F.col("size_a") >= F.col("size_b") * threshold - 1e-9)
-                                  & (F.col("size_b") >= F.col("size_a") * threshold - 1e-9))
+    shared = (each.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+              .filter("lo != hi").select("w", "n"))
+    of = W.partitionBy("node")
+    bit = "shiftleft(1L, cast(shiftright(w, 8) & 63 as int))"
+    parity = {f"x{i}": F.coalesce(F.expr(f"bit_xor(CASE WHEN pmod(w, {_WORDS}) = {i} THEN {bit} END)").over(of), F.lit(0))
+              for i in range(_WORDS)}
+    ranked = each.join(shared, "w").withColumns(
+        {"left": F.count(F.lit(1)).over(of) - F.row_number().over(of.orderBy("n", "w")) + 1,
+         "usable": F.count(F.lit(1)).over(of)} | parity)
+    cols = ["node", "root", "size", "left", "usable", *parity]
+    prefix = written(ranked.filter(F.col("left") >= F.ceil(F.col("size") * threshold - 1e-9)).select("w", *cols),
+                     "near-prefix")
+    a, b = (prefix.select("w", *[F.col(c).alias(c + s) for c in cols]) for s in ("_a", "_b"))
+    # c (1 + t) >= t (|a| + |b|)
+    least = threshold * (F.col("size_a") + F.col("size_b")) - 1e-9
+    differ = sum((F.bit_count(F.col(f"{x}_a").bitwiseXOR(F.col(f"{x}_b"))) for x in parity), F.lit(0))
+    return (a.join(b, [a.w == b.w, F.col("root_a") < F.col("root_b"),
+                       F.least("left_a", "left_b") * (1 + threshold) >= least,
+                       (F.col("usable_a") + F.col("usable_b") - differ) / 2 * (1 + threshold) >= least])
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
 
 
