@@ -157,6 +157,37 @@ def test_contamination(spark, docs):
     assert {i for i, t in text.items() if t and any(x in t for x in items.values())} <= set(found)
 
 
+@pytest.mark.parametrize("copies", [1, 6])
+def test_contamination_of_edited_copies_alone(spark, copies):
+    """Items that occur only as edited copies: found as by brute-force alignment, wherever the edits stand."""
+    import random
+    rng = random.Random(11)
+    items = {i: [f"i{i}w{j}" if j % 5 else "the" for j in range(n)] for i, n in enumerate([16, 16, 24, 39, 40, 59] * 3)}
+    texts = {}
+    for i, item in items.items():
+        for c in range(copies):
+            words = list(item)
+            if i < 6 and c == 0:  # evenly spread: few or no runs of four words stay
+                for at in range(3, len(words), 5 if i % 2 else 4):
+                    words[at] = f"e{i}x{at}"
+            else:
+                for at in sorted(rng.sample(range(len(words)), max(2, int(len(words) * rng.uniform(0.1, 0.25)))), reverse=True):
+                    words[at:at + 1] = rng.choice([[f"e{rng.random()}"[:9].replace(".", "")], [], [words[at], "more"]])
+            around = [f"the d{rng.randrange(10 ** 6)}" for _ in range(40)]
+            texts[i * 100 + c] = " ".join(around + words + around)
+    out = decontaminate.contamination(
+        spark.createDataFrame(list(texts.items()), "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"),
+        {"doc_id": F.col("doc_id")}).collect()
+    got = {r["doc_id"]: (r["item_id"], round(r["score"], 9)) for r in out if r["contaminated"]}
+    want = {}
+    for d, t in texts.items():
+        score = brute.smith_waterman(items[d // 100], brute.folded(t)) / len(items[d // 100])
+        if score >= 0.5:
+            want[d] = (d // 100, round(score, 9))
+    assert got == want and len(want) > 0.8 * len(texts)
+
+
 def test_licences(docs):
     path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.col("doc_id").cast("string"))
     out = {r["doc_id"]: r for r in licenses.scan_licences(docs, path).collect()}
