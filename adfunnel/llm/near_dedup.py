@@ -6,6 +6,9 @@
   goes to one of ``m`` components at random and a component keeps the window of its earliest arrival.
   A window stops once its next arrival comes after the latest of the components' earliest ones.  Two texts agree in a
   component with the probability Jaccard similarity of their weighted windows.
+* A link asks for the similarity of the SETS of windows.  So a text in which a window repeats gets a second
+  signature, of the same arrivals at rate 1 each, whose components agree with the probability of the sets' Jaccard
+  similarity; its bands stand among those of the first.  Where no window repeats the two are the same.
 * Banding: ``bands`` groups of ``rows`` components.  The rows of a band are sorted by band value, then by the
   values of the next bands, and each text is paired with the two before it: pairs grow with the texts, not with the square of
   a bucket, and in a large bucket the most similar texts stand together.  A hot bucket is cut over many
@@ -19,7 +22,7 @@
   texts that share a band is lost, and a bucket whose texts are linked costs nothing more.
 * The class of a document is the least id in its component.
 
-At similarity 0.8 a pair of texts shares at least one of 20 bands of 4 with probability 0.99997.
+At a similarity of 0.8 of their window sets, however often windows repeat, a pair of texts shares at least one of 20 bands of 4 with probability 0.99997.
 
 Defined cases: null, empty and blank texts have no words and are copies of nothing, each row a class of its own
 with its own id; repeated rows are copies, one of them is kept; a null id takes part, counts as larger than any
@@ -70,21 +73,30 @@ def prob_minhash(h: np.ndarray, of: np.ndarray, weight: np.ndarray, n: int, m: i
 def _signer(m: int, bands: int, k: int):
     rows = m // bands
 
+    def banded(sig: np.ndarray) -> np.ndarray:
+        band = np.zeros((len(sig), bands), np.uint64)
+        for r in range(rows):
+            band = hashing.mix(band + sig[:, r::rows][:, :bands] + np.uint64(r + 1))
+        return band.view(np.int64)
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.zeros((batch.num_rows, bands), np.int64)
-            has = np.zeros(batch.num_rows, bool)
+            # the bands of the counts, then those of the sets where they are others
+            values = np.zeros((batch.num_rows, 2 * bands), np.int64)
+            has = np.zeros((batch.num_rows, 2), bool)
             for at, end, words, of in hashing.word_batches(batch.column("text")):
                 if not len(words):
                     continue
                 present, local = np.unique(of, return_inverse=True)
-                sig = prob_minhash(*hashing.counted(*hashing.shingles(words, local, k)), len(present), m)
-                band = np.zeros((len(present), bands), np.uint64)
-                for r in range(rows):
-                    band = hashing.mix(band + sig[:, r::rows][:, :bands] + np.uint64(r + 1))
-                values[present], has[present] = band.view(np.int64), True
-            offsets = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[has].reshape(-1)))
+                h, t, count = hashing.counted(*hashing.shingles(words, local, k))
+                values[present, :bands], has[present, 0] = banded(prob_minhash(h, t, count, len(present), m)), True
+                again = np.unique(t[count > 1])
+                if len(again):
+                    some = np.flatnonzero(np.isin(t, again))
+                    once = prob_minhash(h[some], np.searchsorted(again, t[some]), np.ones(len(some)), len(again), m)
+                    values[present[again], bands:], has[present[again], 1] = banded(once), True
+            offsets = np.concatenate([[0], np.cumsum(has.sum(axis=1) * bands)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[np.repeat(has, bands, axis=1)]))
             yield pa.RecordBatch.from_arrays([batch.column("ord"), batch.column("copy"), lists],
                                              names=["ord", "copy", "bands"])
 
@@ -159,9 +171,12 @@ _PAIR = ["edge", "band", "value", "a", "b"]
 def candidate_pairs(signatures: DataFrame, bands: int, back: int = 2) -> tuple[DataFrame, DataFrame]:
     """``a < b, n``: the pairs of neighbours in the sorted bands, and in how many bands they are; and
     ``band, value, node`` of the buckets in which not all pairs are neighbours."""
-    laid = signatures.select("node", "bands", F.posexplode("bands").alias("band", "value")).select(
-        "band", "value", F.col("bands")[F.pmod(F.col("band") + 1, F.lit(bands))].alias("next"),
-        F.col("bands")[F.pmod(F.col("band") + 2, F.lit(bands))].alias("then"), "node")
+    band = F.pmod("at", F.lit(bands)).cast("int")
+    after = lambda i: F.col("bands")[F.col("at") - band + F.pmod(F.col("at") + i, F.lit(bands))]
+    # a band in which both signatures of a text agree stands once
+    laid = (signatures.select("node", "bands", F.posexplode("bands").alias("at", "value"))
+            .filter((F.col("at") < bands) | (F.col("value") != F.col("bands")[band]))
+            .select(band.alias("band"), "value", after(1).alias("next"), after(2).alias("then"), "node"))
     keys = ["band", "value", "next", "then", "node"]
     found = written(laid.repartitionByRange(*keys).sortWithinPartitions(*keys).select("band", "value", "node")
                     .mapInArrow(_neighbours(back), "edge int, band int, value long, a long, b long")

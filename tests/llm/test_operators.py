@@ -104,6 +104,18 @@ def test_near_duplicates_in_crowded_buckets(spark):
     assert {r["doc_id"]: r["class_id"] for r in out} == brute.near_classes(rows)
 
 
+def test_near_duplicates_with_repeated_passages(spark):
+    """Texts that differ in how often a passage repeats: linked by their sets of windows."""
+    rows = []
+    for family in range(30):
+        base, passage = ([f"f{family}{kind}{i}" for i in range(n)] for kind, n in (("w", 100), ("p", 10)))
+        for times in (1, 2, 20, 50):
+            rows.append((len(rows), " ".join(base + passage * times)))
+    out = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute.near_classes(rows)
+    assert {r["doc_id"]: r["class_id"] for r in out} == want and len(set(want.values())) == 30
+
+
 def test_near_duplicates(docs, rows):
     out = near_dedup.near_duplicates(docs).collect()
     want = brute.near_classes([(i if i is not None else 10 ** 12, t) for i, t in rows])
