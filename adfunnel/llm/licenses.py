@@ -1,14 +1,17 @@
 """Operator 3: licence scan.  Native DataFrame code.
 
-Every line of every text is compared with licence templates by sparse TF-IDF cosine; a file has the licence of its
-best line.  A file of which at least ``file_share`` of the words stand in licence lines is a licence
-file: it speaks for its directory.  Files without a licence of their own inherit that of the nearest
-ancestor directory that has one, found by joining the directories to their ancestors.
+Units of every text are compared with licence templates by sparse TF-IDF cosine: the whole text, its header
+(leading comment or paragraph), the header's sentences (a notice wrapped over lines is one again), every line and the
+sentences of a line.  Templates are one-sentence notices and full licence texts (``license_texts``).  A file has the
+licence of its best unit.  A file whose whole text reaches the threshold, or of which at least ``file_share`` of the
+words stand in licence lines, is a licence file: it speaks for its directory.  Files without a licence of their own
+inherit that of the nearest ancestor directory that has one, found by joining the directories to their ancestors.
 
 Weights: a token's IDF is ``ln((1 + N) / (1 + df)) + 1`` with document frequencies over the whole corpus,
-counted for the tokens of the templates; any other token weighs as one never seen, so a line is not matched by
-dropping what it says besides.  Only lines that can reach the threshold are split into tokens: by the
-Cauchy-Schwarz inequality a line that lacks all the heaviest tokens of a template, up to where the rest
+counted for the tokens of the templates; any other token weighs as one never seen, so a unit is not matched by
+dropping what it says besides.  Only units that can reach the threshold are split into tokens: by the
+Cauchy-Schwarz inequality a unit that lacks all the heaviest tokens of a template (of those not common in the
+corpus first), up to where the rest
 of the template's norm is under the threshold, stays below it.  This prefix filter loses no match.
 
 Defined cases: a null text has no lines; a null path part counts as ``_``; ties go to the template named
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 import math
 import re
-from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +53,19 @@ TEMPLATES = (
 )
 
 
+#: The leading comment, or else the leading paragraph, of a text.
+HEADER = (r"(?s)^\s*(?:/\*.*?\*/|<!--.*?-->|(?:[ \t]*+(?:#|//|--|;|%|\*)[^\n]*+(?:\n|$))++"
+          r"|.*?(?=\n[ \t\r]*\n|$))")
+#: The end of a sentence.
+STOP = r"""(?<=[.;:!?])["')]*\s+"""
+
+
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """The full licence texts, by SPDX identifier."""
+    folder = Path(__file__).parent / "license_texts"
+    return tuple((p.stem, p.read_text("utf-8")) for p in sorted(folder.glob("*.txt")))
+
+
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits (ASCII)."""
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda x: x != "")
@@ -62,7 +78,7 @@ def _split(text: str) -> list[str]:
 def _weights(docs: DataFrame, templates, text_col: str) -> tuple[dict[str, float], float]:
     """IDF of the templates' tokens over all documents, and that of a token never seen."""
     vocabulary = sorted({t for _, text in templates for t in _split(text)})
-    held = F.array_intersect(tokens(whole_text(text_col)), F.array(*[F.lit(t) for t in vocabulary]))
+    held = F.array_intersect(tokens(whole_text(text_col)), F.split(F.lit(" ".join(vocabulary)), " "))
     # explode() would be given a filter that makes the array again, explode_outer() is not
     df = {r["token"]: r["n"] for r in docs.select(F.explode_outer(held).alias("token"))
           .filter(F.col("token").isNotNull()).groupBy("token")
@@ -83,10 +99,11 @@ def _template_vectors(templates, idf: dict[str, float]) -> list[dict[str, float]
     return out
 
 
-def _must_hold(vector: dict[str, float], threshold: float) -> set[str]:
-    """The heaviest tokens of a template without all of which the cosine stays under the threshold."""
+def _must_hold(vector: dict[str, float], threshold: float, common: set[str]) -> set[str]:
+    """The heaviest tokens of a template, ``common`` ones last, without all of which the cosine stays under the
+    threshold."""
     rest, prefix = sum(x * x for x in vector.values()), set()
-    for t, x in sorted(vector.items(), key=lambda p: (-p[1], p[0])):
+    for t, x in sorted(vector.items(), key=lambda p: (p[0] in common, -p[1], p[0])):
         if rest < threshold * threshold * (1 - 1e-9):
             break
         prefix.add(t)
@@ -94,44 +111,60 @@ def _must_hold(vector: dict[str, float], threshold: float) -> set[str]:
     return prefix
 
 
-def licence_lines(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.7, id_col: str = "doc_id",
+def licence_units(docs: DataFrame, templates, texts, threshold: float = 0.7, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """``key, line_no, n_line_words, license, score`` of the lines that reach the threshold."""
+    """``key, line_no, piece, n_words, license, score`` of the units that reach the threshold: the lines (``piece`` 0)
+    and their sentences, as ``line_no`` -1 the header and its sentences, as -2 the whole text."""
     spark = docs.sparkSession
-    idf, unseen = _weights(docs, templates, text_col)
-    vectors = _template_vectors(templates, idf)
-    needed = sorted({t for v in vectors for t in _must_hold(v, threshold)})
-
-    def some(text: Column) -> Column:
-        # the lambda's variable holds the lower-cased text, which is made once for all tokens
-        return F.exists(F.array(F.lower(text)), lambda low: reduce(lambda x, y: x | y, [low.contains(t) for t in needed]))
-
-    lines = (docs.select(row_key(id_col, text_col).alias("key"), whole_text(text_col).alias("t")).filter(some(F.col("t")))
-             .select("key", F.posexplode_outer(F.split("t", "\n", -1)).alias("line_no", "line"))
-             .filter(some(F.col("line"))).dropDuplicates(["key", "line_no"]))
-    lines = lines.select("key", "line_no", F.size(words(F.col("line"))).alias("n_line_words"),
-                         tokens(F.col("line")).alias("ts"))
-    terms = (lines.withColumn("token", F.explode("ts")).groupBy("key", "line_no", "n_line_words", "token")
+    every = (*templates, *texts)
+    idf, unseen = _weights(docs, every, text_col)
+    vectors = _template_vectors(every, idf)
+    common = {t for t, x in idf.items() if x < math.log(20) + 1}  # in more than a twentieth of the documents
+    short = {t for v in vectors[:len(templates)] for t in _must_hold(v, threshold, common)}
+    full = {t for v in vectors[len(templates):] for t in _must_hold(v, threshold, common)}
+
+    def some(text: Column, needed: set[str]) -> Column:
+        return F.lower(text).rlike(f"(?<![a-z0-9])(?:{'|'.join(sorted(needed))})(?![a-z0-9])") if needed else F.lit(False)
+
+    def with_sentences(text: Column) -> Column:
+        parts = F.split(text, STOP, -1)
+        return F.when(F.size(parts) > 1, F.concat(F.array(text), parts)).otherwise(F.array(text))
+
+    held = (docs.select(row_key(id_col, text_col).alias("key"), whole_text(text_col).alias("t"))
+            .filter(some(F.col("t"), short | full)))
+    whole = held.select("key", F.lit(-2).alias("line_no"), F.lit(0).alias("piece"), F.col("t").alias("unit"))
+    header = held.select("key", F.lit(-1).alias("line_no"), F.posexplode(
+        with_sentences(F.regexp_extract("t", HEADER, 0))).alias("piece", "unit"))
+    line = (held.filter(some(F.col("t"), short))
+            .select("key", F.posexplode_outer(F.split("t", "\n", -1)).alias("line_no", "line"))
+            .filter(some(F.col("line"), short))
+            .select("key", "line_no", F.posexplode(with_sentences(F.col("line"))).alias("piece", "unit")))
+    unit = ["key", "line_no", "piece"]
+    # repeated rows make a unit's vector longer, its cosines stay
+    units = whole.unionByName(header).unionByName(line).filter(some(F.col("unit"), short | full))
+    unit = [*unit, "n_words"]
+    units = units.select("key", "line_no", "piece", F.size(words(F.col("unit"))).alias("n_words"),
+                         tokens(F.col("unit")).alias("ts"))
+    terms = (units.withColumn("token", F.explode("ts")).groupBy(*unit, "token")
              .agg(F.count(F.lit(1)).alias("tf")))
     table = spark.createDataFrame([(t, float(w)) for t, w in idf.items()], "token string, idf double")
     entries = spark.createDataFrame([(t, i, float(x)) for i, v in enumerate(vectors) for t, x in v.items()],
                                     "token string, template int, weight double")
-    # the two tables are made of the templates alone, a few hundred rows
+    # the two tables are made of the templates alone, a few thousand rows
     terms = terms.join(F.broadcast(table), "token", "left").withColumn(
         "x", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
-    unit = ["key", "line_no", "n_line_words"]
     norms = terms.groupBy(*unit).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     dots = (terms.join(F.broadcast(entries), "token").groupBy(*unit, "template")
             .agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
             .groupBy(*unit).agg(F.max(F.struct("dot", (-F.col("template")).alias("first"))).alias("best")))
-    names = F.array(*[F.lit(n) for n, _ in templates])
+    names = F.array(*[F.lit(n) for n, _ in every])
     return (dots.join(norms, unit).withColumn("score", F.least(F.lit(1.0), F.col("best.dot") / F.col("norm")))
             .filter(F.col("score") >= threshold - 1e-9)
             .select(*unit, names[-F.col("best.first")].alias("license"), "score"))
 
 
 def scan_licences(docs: DataFrame, path: Column, templates=TEMPLATES, threshold: float = 0.7,
-                  file_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  file_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text", texts=None) -> DataFrame:
     """Per row: id, ``path``, ``own_license``, ``score``, ``is_license_file``, ``license``, ``found_in``.
 
     ``path``: slash-separated, ending in the file's name.  ``found_in`` is ``file``, the directory that the
@@ -139,13 +172,21 @@ def scan_licences(docs: DataFrame, path: Column, templates=TEMPLATES, threshold:
     """
     base = docs.select(F.col(id_col).alias("id"), path.alias("path"), row_key(id_col, text_col).alias("key"),
                        F.size(words(F.col(text_col))).alias("n_words"))
-    hits = (licence_lines(docs, templates, threshold, id_col, text_col).groupBy("key").agg(
-        F.max(F.struct("score", (-F.col("line_no")).alias("l"), "license")).alias("best"),
-        F.sum("n_line_words").alias("n_licence_words")).withColumnRenamed("key", "k"))
+    part = F.when(F.col("piece") > 0, F.col("n_words")).otherwise(0)
+    # a line counts once: whole, or those of its sentences that match
+    hits = (licence_units(docs, templates, full_texts() if texts is None else texts, threshold, id_col, text_col)
+            .groupBy("key", "line_no").agg(
+                F.max(F.struct("score", (-F.col("piece")).alias("p"), "license")).alias("best"),
+                F.greatest(F.sum(part), F.max(F.col("n_words") - part)).alias("n_words"))
+            .groupBy(F.col("key").alias("k")).agg(
+                F.max(F.struct("best.score", (-F.col("line_no")).alias("l"), "best.license")).alias("best"),
+                F.max(F.col("line_no") == -2).alias("whole"),
+                F.sum(F.when(F.col("line_no") >= 0, F.col("n_words"))).alias("n_licence_words")))
     folder = F.regexp_replace("path", "/?[^/]*$", "")
     files = written(base.join(hits, F.col("key") == F.col("k"), "left").select(
         "id", "path", folder.alias("dir"), F.col("best.license").alias("own_license"), F.col("best.score").alias("score"),
-        F.coalesce(F.col("n_licence_words") >= file_share * F.col("n_words"), F.lit(False)).alias("is_license_file")),
+        (F.coalesce(F.col("n_licence_words") >= file_share * F.col("n_words"), F.lit(False))
+         | F.coalesce("whole", F.lit(False))).alias("is_license_file")),
         "licence-files")
 
     # one row per directory that a licence file speaks for, one row per directory that has files

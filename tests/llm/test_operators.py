@@ -208,6 +208,26 @@ def test_licences(docs):
     assert out[100004]["license"] is None
 
 
+def test_licence_headers_and_full_texts(spark):
+    """A complete licence text speaks for its directory; wrapped and shared-line notices are found."""
+    full = dict(licenses.full_texts())
+    code = "\n".join(f"value{i} = compute{i}(argument{i}, other{i})" for i in range(80))
+    wrapped = ("/*\n * Copyright 2020 Some Body\n *\n * Licensed under the Apache\n * License, Version\n * 2.0 (the "
+               "\"License\");\n * you may not use this\n * file except in\n * compliance with the\n * License.\n */\n")
+    filled = full["MIT"].replace("<year> <copyright holders>", "2021 Some Body")
+    rows = [(1, "m/LICENSE", filled), (2, "m/src/a.py", code), (3, "g/COPYING", full["GPL-3.0"]), (4, "g/x/y/b.c", code),
+            (5, "a/LICENSE", full["Apache-2.0"]), (6, "a/c.py", code), (7, "w/d.java", wrapped + code),
+            (8, "s/e.py", "# Copyright (c) 2020 Some Body and others. Licensed under the MIT License.\n" + code),
+            (9, "h/f.py", "".join(f"# {x}\n" for x in filled.split("\n")) + code), (10, "n/g.py", code)]
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    out = {r["doc_id"]: r for r in licenses.scan_licences(docs, F.col("path")).collect()}
+    assert {i: r["license"] for i, r in out.items()} == {
+        1: "MIT", 2: "MIT", 3: "GPL-3.0", 4: "GPL-3.0", 5: "Apache-2.0", 6: "Apache-2.0", 7: "Apache-2.0", 8: "MIT",
+        9: "MIT", 10: None}
+    assert {i for i, r in out.items() if r["is_license_file"]} == {1, 3, 5}
+    assert [out[i]["found_in"] for i in (2, 4, 6, 7)] == ["m", "g", "a", "file"]
+
+
 def test_empty_tables(spark, empty):
     import public_tokenizers
 
