@@ -1,12 +1,12 @@
-"""The contract queries of the ten operators and the pipeline: (spark, sf_dir) -> DataFrame."""
+"""The contract queries of the thirteen operators and the pipeline: (spark, sf_dir) -> DataFrame."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, hilbert, language, licenses, line_dedup, mixing, near_dedup, quality, secrets,
-               token_counts)
+from . import (decontaminate, hilbert, language, licenses, line_dedup, mixing, near_dedup, negatives, quality,
+               resampling, secrets, token_counts, toxicity)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,27 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", "item_id", "score", "first_word", "end_word")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    part = lambda c: F.pmod(F.crc32(F.col(c).cast("string")), F.lit(3)) == 1
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~part("doc_id"))
+    model = toxicity.learn(docs, labels, toxicity.language_model(docs))
+    scored = toxicity.score_toxicity(docs, model, {"doc_id": F.col("doc_id"),
+                                                   "held_out": F.coalesce(part("doc_id"), F.lit(False))})
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(rows, F.col("vec_id") % 100 == 0, label)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,4 +105,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_hilbert_sharding, op2_line_dedup, op3_license_scan, op4_token_counts, op5_secret_scan, op6_quality_rules,
-    op7_near_dedup, op8_language_id, op9_source_mixing, op10_decontamination, pipeline)}
+    op7_near_dedup, op8_language_id, op9_source_mixing, op10_decontamination,
+    op11_toxicity, op12_hard_negatives, op13_importance_resampling, pipeline)}
