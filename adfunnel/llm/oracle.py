@@ -47,4 +47,53 @@ FROM d LEFT JOIN r ON d.doc_id = r.doc_id GROUP BY d.doc_id
 """
 
 
-SQL = {"op2_line_dedup": _OP2, "op5_secret_scan": _op5()}
+_OP12 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, v.vec_id AS id, a.label = v.label AS same,
+             CAST(list_dot_product(a.q, v.q) AS BIGINT) AS score
+      FROM v AS a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id, score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
+
+#: CRC-32 of each distinct feature, a byte a step; the table of 256 entries follows from the polynomial.
+_OP13 = r"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT n, list_reduce(list_prepend(n, range(8)),
+                        lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v
+  FROM (SELECT unnest(range(256)) AS n)),
+texts AS (SELECT true AS doc, doc_id AS id, text FROM documents UNION ALL SELECT false, NULL, text FROM benchmark),
+w AS (SELECT doc, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+u AS MATERIALIZED (SELECT doc, id, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS f
+      FROM w),
+d AS MATERIALIZED (SELECT f, hex(encode(f)) AS h, row_number() OVER () AS k FROM (SELECT DISTINCT f FROM u)),
+r AS (SELECT k, 0 AS i, 4294967295 AS c FROM d
+      UNION ALL
+      SELECT r.k, r.i + 1, xor(crc.v, r.c >> 8) FROM r JOIN d ON d.k = r.k AND 2 * r.i < len(d.h)
+      JOIN crc ON crc.n = xor(r.c, CAST('0x' || substr(d.h, 2 * r.i + 1, 2) AS BIGINT)) & 255),
+b AS MATERIALIZED (SELECT d.f, xor(r.c, 4294967295) % 10000 AS bucket FROM r JOIN d ON d.k = r.k AND 2 * r.i = len(d.h)),
+n AS (SELECT bucket, count(*) FILTER (WHERE doc) AS s, count(*) FILTER (WHERE NOT doc) AS t FROM u JOIN b USING (f) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (sum(s) OVER () + 10000) AS DOUBLE) / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+      FROM n),
+m AS (SELECT id, count(*) AS n_features, sum(gain) AS total FROM u JOIN b USING (f) JOIN g USING (bucket) WHERE doc GROUP BY id),
+x AS (SELECT w.id AS doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features,
+             coalesce(CAST(floor(CAST(total AS DOUBLE) / n_features) AS BIGINT), 0) AS weight
+      FROM w LEFT JOIN m ON m.id = w.id WHERE doc),
+y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5) / CAST(4294967296 AS DOUBLE))))
+             AS BIGINT) AS score FROM x),
+z AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able FROM y WHERE n_words >= 20)
+SELECT y.doc_id, y.n_features, y.weight, y.score, CASE WHEN place <= 25 * able // 100 THEN place END AS rank
+FROM y LEFT JOIN z ON z.doc_id = y.doc_id
+"""
+
+SQL = {"op2_line_dedup": _OP2, "op5_secret_scan": _op5(), "op12_hard_negatives": _OP12,
+       "op13_importance_resampling": _OP13}
