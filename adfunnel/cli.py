@@ -66,6 +66,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--ssp", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--days", type=int, default=13)
+    p.add_argument("--repair-late", action="store_true", help="repair days from their late hours instead of building them anew")
     _load_options(p)
 
     p = sub.add_parser("build-day")
@@ -120,7 +121,8 @@ def run(spark: SparkSession, argv: list[str]) -> tuple[int, object]:
         def load_day(day):
             return ingest.load_day_batched(spark, a.landing, day, a.shard, a.ug_from, a.ug_to, a.events,
                                            a.cluster_partitions, a.rejects)
-        done = daily.backfill(spark, a.today, load_day, a.events, a.out, spark.read.parquet(a.ssp), a.days)
+        done = daily.backfill(spark, a.today, load_day, a.events, a.out, spark.read.parquet(a.ssp), a.days,
+                              repair_late=a.repair_late)
         return 0, [(str(d), what) for d, what in done]
     if a.cmd == "build-day":
         try:

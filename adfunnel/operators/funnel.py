@@ -65,24 +65,23 @@ def _earliest(r: int, fields: Sequence[str]) -> Column:
     return F.min(F.when(F.col("role") == r, F.struct(*[F.col(c) for c in fields])))
 
 
-def funnel(events: DataFrame, ssp_sites: DataFrame, tiebreak: Sequence[str] = (),
-           days: Sequence | None = None, branch: bool | None = None) -> DataFrame:
-    """Funnel rows (``schema.FUNNEL_COLUMNS``) for the events given.
+GROUP_KEY = ["is_ssp", "slot_d", "slot", "expid"]
 
-    ``events`` holds the 22 event columns (plus the ``tiebreak`` columns).
-    ``days``: restrict to slots of these processed days; the caller should
-    also prune the scan to those days and the next one (late followers).
-    ``branch``: only SSP sites (True), only the others (False), or both.
-    """
-    tb = list(tiebreak)
+
+def slot_rows(events: DataFrame, ssp_sites: DataFrame, days: Sequence | None = None,
+              branch: bool | None = None) -> DataFrame:
+    """Valid events of the branches with the group they belong to (``GROUP_KEY``) and their role."""
     rows = branch_rows(events, ssp_sites)
     if branch is not None:
         rows = rows.where(F.col("is_ssp") == F.lit(branch))
     rows = slots.assign_slots(rows)
-    if days is not None:
-        rows = rows.where(F.col("slot_d").isin(list(days)))
-    key = ["is_ssp", "slot_d", "slot", "expid"]
-    g = rows.groupBy(*key).agg(
+    return rows if days is None else rows.where(F.col("slot_d").isin(list(days)))
+
+
+def stitch(rows: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Funnel rows from ``slot_rows``: one per group that holds an anchor."""
+    tb = list(tiebreak)
+    g = rows.groupBy(*GROUP_KEY).agg(
         _earliest(slots.ANCHOR, ["sec", *tb, *ANCHOR_PAYLOAD]).alias("a"),
         _earliest(slots.EXPOSURE, ["sec", *tb, *FOLLOWER_PAYLOAD]).alias("e"),
         _earliest(slots.CLICK, ["sec", *tb, *FOLLOWER_PAYLOAD]).alias("c"),
@@ -90,6 +89,18 @@ def funnel(events: DataFrame, ssp_sites: DataFrame, tiebreak: Sequence[str] = ()
     return shape(g)
 
 
+def funnel(events: DataFrame, ssp_sites: DataFrame, tiebreak: Sequence[str] = (),
+           days: Sequence | None = None, branch: bool | None = None) -> DataFrame:
+    """Funnel rows (``schema.FUNNEL_COLUMNS``) for the events given.
+
+    ``events`` holds the 22 event columns (plus the ``tiebreak`` columns).
+    ``days``: restrict to slots of these processed days; the caller should
+    also prune the scan to those days and the next one (late followers).
+    ``branch``: only SSP sites (True), only the others (False), or both.
+    """
+    return stitch(slot_rows(events, ssp_sites, days, branch), tiebreak)
+
+
 def _seconds_between(a: Column, b: Column) -> Column:
     """b - a in seconds; on timestamp_ntz this is wall-clock and zone-free."""
     return (F.unix_timestamp(b) - F.unix_timestamp(a)).cast("int")

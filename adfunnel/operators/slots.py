@@ -107,6 +107,12 @@ def _check_tables() -> None:
 _check_tables()
 
 
+def hours_of(is_ssp: bool, slot: int) -> list[tuple[int, int]]:
+    """(days ahead, hour) of every hour in which an event of this slot may lie."""
+    row = slot_table(is_ssp)[slot]
+    return [divmod(h, 24) for h in range(row[0] // 3600, max(row[1:]) // 3600 + 1)]
+
+
 _CODE_BASE = 8  # slot code = days back * 8 + slot
 
 

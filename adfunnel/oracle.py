@@ -157,6 +157,7 @@ def _funnel_sql(where: str = "") -> str:
 SQL: dict[str, str] = {}
 
 SQL["funnel_all"] = _funnel_sql()
+SQL["funnel_repair"] = _funnel_sql()  # a repair gives the rows of a full build
 SQL["funnel_nonssp"] = _funnel_sql("WHERE tn = 0")
 SQL["funnel_ssp"] = _funnel_sql("WHERE tn = 3")
 
@@ -457,6 +458,17 @@ FROM (
   FROM h
 ) x GROUP BY src_hour""")
 
+SQL["load_in_parts"] = with_h("""
+SELECT '/in/' || strftime(src_hour, '%Y-%m-%d/%H') || '_p' || part || name AS path, src_hour, lines,
+  CASE WHEN name = '_again.txt' THEN 'duplicate' WHEN day(src_hour) % 3 <> 0 THEN 'new'
+       WHEN part <> 1 OR even = lines THEN 'known' WHEN even = 0 THEN 'new' ELSE 'changed' END AS state
+FROM (
+  SELECT date_trunc('hour', sec) AS src_hour, event_id % 3 AS part, count(*) AS lines,
+    count(*) FILTER (WHERE event_id % 2 = 0) AS even,
+    unnest(CASE WHEN event_id % 3 = 0 THEN ['.txt', '_again.txt'] ELSE ['.txt'] END) AS name
+  FROM h GROUP BY 1, 2, 5
+) x""")
+
 SQL["tsv_rejects"] = with_h(f"""
 SELECT event_id, event_id % 13 = 0 OR (event_id % 17 <> 0 AND event_id % 19 = 0) AS rejected,
   CASE WHEN event_id % 13 = 0 THEN {_line(uid=_FEED_UID, last=5)}

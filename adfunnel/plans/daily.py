@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.derive import date_literal
 from ..operators import funnel as fn
 from ..sources import tables
-from . import lifecycle
+from . import lifecycle, repair
 
 
 class IncompleteDay(RuntimeError):
@@ -91,7 +91,8 @@ def build_reason(spark: SparkSession, events_path: str, funnel_path: str, day: d
 
 
 def backfill(spark: SparkSession, today: dt.date, load_day, events_path: str, funnel_path: str,
-             ssp_sites: DataFrame, days: int = 13, rebuild_late: bool = True) -> list[tuple[dt.date, str]]:
+             ssp_sites: DataFrame, days: int = 13, rebuild_late: bool = True,
+             repair_late: bool = False) -> list[tuple[dt.date, str]]:
     """For each of the ``days`` days before ``today``: ingest then build.
 
     ``load_day(day)`` loads the 24 hours of a day (e.g. ``ingest.load_day_batched``).
@@ -100,6 +101,8 @@ def backfill(spark: SparkSession, today: dt.date, load_day, events_path: str, fu
     work in parallel.  A day that is built and newer than the hours it reads is skipped.
     With ``rebuild_late`` a day is built again once hours it reads have come later (the first
     two of the next day carry its late clicks); its rows all sit in its own partition, so this is safe.
+    With ``repair_late`` such a day is repaired from the late hours instead (``repair.repair_late``: for
+    hours that were added, not replaced) and reported as ``repaired``.
     """
     done = []
 
@@ -109,6 +112,10 @@ def backfill(spark: SparkSession, today: dt.date, load_day, events_path: str, fu
             return
         if reason == "built" and not lifecycle.path_needs_fill(spark, funnel_path):
             return
+        if reason == "rebuilt" and repair_late:
+            repair.repair_late(spark, events_path, ssp_sites, day, funnel_path)
+            done.append((day, "repaired"))
+            return
         try:
             build_day(spark, events_path, ssp_sites, day, funnel_path)
             done.append((day, reason))

@@ -18,6 +18,7 @@ table.  A unit that is present is skipped, so reruns change nothing; units of on
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,10 +63,12 @@ def row_class(hour: Column, ug_from: int, ug_to: int, bad: Column) -> Column:
             .otherwise(F.lit(LOADED)))
 
 
-def flagged_lines(lines: DataFrame) -> DataFrame:
-    """Typed rows of text ``lines(value, src_hour)`` with ``_bad``, ``src_hour`` and the ``line`` itself."""
+def flagged_lines(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed rows of text ``lines(value, src_hour)`` with ``_bad``, ``src_hour`` and the ``line`` itself
+    (+ ``keep`` columns)."""
     kept = lines.withColumn("line", F.col("value"))
-    return tsv.parse_flagged(tsv.split_lines(kept, keep=["src_hour", "line"]), keep=["src_hour", "line"])
+    also = ["src_hour", "line", *keep]
+    return tsv.parse_flagged(tsv.split_lines(kept, keep=also), keep=also)
 
 
 def flagged_frame(raw: DataFrame, hour: dt.datetime) -> DataFrame:
@@ -74,11 +77,13 @@ def flagged_frame(raw: DataFrame, hour: dt.datetime) -> DataFrame:
 
 
 def load_flagged(spark: SparkSession, flagged: DataFrame, ug_from: int, ug_to: int, main_path: str,
-                 name: str, cluster_partitions: int | None = None, rejects_path: str | None = None) -> dict:
-    """Stage rows with their class, keep the rejects, publish the rest; returns the status with counts."""
+                 name: str, cluster_partitions: int | None = None, rejects_path: str | None = None,
+                 below: Sequence[str] = ()) -> dict:
+    """Stage rows with their class, keep the rejects, publish the rest; returns the status with counts.
+    ``below``: columns of ``flagged`` that partition a load unit further."""
     kind = row_class(F.col("src_hour"), ug_from, ug_to, F.col("_bad"))
     rows = flagged.withColumns({"class": kind, "shard": F.lit(tables.shard_label(ug_from, ug_to))})
-    rows = tables.event_table_frame(clean.clean(rows), keep=["src_hour", "line", "class", "shard"])
+    rows = tables.event_table_frame(clean.clean(rows), keep=["src_hour", "line", "class", "shard", *below])
     # a line is needed only where it will be kept
     rows = rows.withColumn("line", F.when(F.col("class").isin(*KEPT_AS_LINES), F.col("line")))
     stage = new_scratch_path(spark, f"stage-{name}")
@@ -91,14 +96,14 @@ def load_flagged(spark: SparkSession, flagged: DataFrame, ug_from: int, ug_to: i
         if any(status[c] for c in KEPT_AS_LINES):
             status["rejects"] = rejects_path or main_path.rstrip("/") + "_rejects"
             (staged.where(F.col("class").isin(*KEPT_AS_LINES))
-             .select("line", F.col("class").alias("reason"), "shard",
+             .select("line", F.col("class").alias("reason"), "shard", *below,
                      F.coalesce(F.date_format("src_hour", "yyyy-MM-dd'T'HH"), F.lit("unknown")).alias("hour"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("hour", "shard").parquet(status["rejects"]))
+             .partitionBy("hour", "shard", *below).parquet(status["rejects"]))
         if not status[LOADED]:
             return {"status": "empty", **status}
         loaded = staged.where(F.col("class") == LOADED).drop("class", "line", "src_hour")
-        report = lifecycle.publish(spark, loaded, main_path, UNIT, cluster_partitions)
+        report = lifecycle.publish(spark, loaded, main_path, [*UNIT, *below], cluster_partitions)
         return {"status": "loaded", **status, "report": report}
     finally:
         tables.delete_path(spark, stage)  # the staging table ends empty

@@ -173,7 +173,8 @@ def test_backfill_loop(spark):
     assert spark.read.parquet(uid_path).select("d").distinct().count() == 2
 
 
-def test_backfill_rebuilds_a_day_when_its_late_hours_arrive(spark):
+@pytest.mark.parametrize("repair", [False, True])
+def test_backfill_rebuilds_a_day_when_its_late_hours_arrive(spark, repair):
     ev_path, uid_path = new_scratch_path(spark, "ev"), new_scratch_path(spark, "uid")
     h = fx.history_ref_view(spark, SF_CHECK)
     ssp = fx.ssp_view(spark, SF_CHECK)
@@ -181,8 +182,8 @@ def test_backfill_rebuilds_a_day_when_its_late_hours_arrive(spark):
     def load_day(day):  # one day at a time, as the hourly loads would land
         tables.write_events(h.where(F.to_date("sec") == F.lit(day)), ev_path)
 
-    done = daily.backfill(spark, dt.date(2024, 1, 4), load_day, ev_path, uid_path, ssp, days=2)
-    assert done == [(dt.date(2024, 1, 2), "built"), (dt.date(2024, 1, 2), "rebuilt"),
+    done = daily.backfill(spark, dt.date(2024, 1, 4), load_day, ev_path, uid_path, ssp, days=2, repair_late=repair)
+    assert done == [(dt.date(2024, 1, 2), "built"), (dt.date(2024, 1, 2), "repaired" if repair else "rebuilt"),
                     (dt.date(2024, 1, 3), "built")]
     # after the rebuild, day 2 equals a build that saw the next day's first hours
     got = sorted(map(tuple, spark.read.parquet(uid_path).where(F.col("d") == F.lit(dt.date(2024, 1, 2)))
