@@ -70,11 +70,24 @@ GROUP_KEY = ["is_ssp", "slot_d", "slot", "expid"]
 
 def slot_rows(events: DataFrame, ssp_sites: DataFrame, days: Sequence | None = None,
               branch: bool | None = None) -> DataFrame:
-    """Valid events of the branches with the group they belong to (``GROUP_KEY``) and their role."""
-    rows = branch_rows(events, ssp_sites)
+    """Valid events of the branches with the group they belong to (``GROUP_KEY``) and their role.
+
+    ``ssp_sites`` may be a dated list: each processed day then goes by the list valid on it, so an event after
+    midnight can be of one branch for the day before and of the other for its own.
+    """
+    if membership.is_dated(ssp_sites):
+        own = F.to_date("sec")
+        late = F.array(own, F.date_sub(own, 1))
+        days_read = F.when(F.hour("sec") < slots.LOOKAHEAD_HOURS, late).otherwise(F.array(own))
+        marked = membership.mark_ssp_asof(valid_events(events).withColumn("_day", F.explode(days_read)), ssp_sites, "_day")
+        rows = marked.withColumn("role", role(F.col("is_ssp"), F.col("tn"))).where(F.col("role").isNotNull())
+    else:
+        rows = branch_rows(events, ssp_sites)
     if branch is not None:
         rows = rows.where(F.col("is_ssp") == F.lit(branch))
     rows = slots.assign_slots(rows)
+    if "_day" in rows.columns:
+        rows = rows.where(F.col("_day") == F.col("slot_d")).drop("_day")
     return rows if days is None else rows.where(F.col("slot_d").isin(list(days)))
 
 

@@ -50,6 +50,21 @@ def mark_ssp(events: DataFrame, ssp_sites: DataFrame) -> DataFrame:
             .withColumn("is_ssp", F.coalesce(F.col("is_ssp"), F.lit(False))))
 
 
+def is_dated(ssp_sites: DataFrame) -> bool:
+    """Whether the list says from when to when a site is on it (``sources.ssp_history.validity``)."""
+    return {"valid_from", "valid_to"} <= set(ssp_sites.columns)
+
+
+def mark_ssp_asof(events: DataFrame, dated: DataFrame, day_col: str) -> DataFrame:
+    """``mark_ssp`` by the list that was valid on each row's day."""
+    spans = dated.select(F.col("sid").cast("bigint").alias("_sid"), F.col("valid_from").alias("_from"),
+                         F.col("valid_to").alias("_to"))
+    spans = F.broadcast(spans) if fits_broadcast(dated) else spans
+    day = F.col(day_col)
+    valid = (F.col("sid") == F.col("_sid")) & (day >= F.col("_from")) & (F.col("_to").isNull() | (day < F.col("_to")))
+    return events.join(spans, valid, "left").withColumn("is_ssp", F.col("_sid").isNotNull()).drop("_sid", "_from", "_to")
+
+
 def only_ssp(events: DataFrame, ssp_sites: DataFrame) -> DataFrame:
     """``sid IN (SELECT sid FROM ssp_sites)`` as a left semi join."""
     return events.join(ssp_keys(ssp_sites).select("sid"), "sid", "left_semi")

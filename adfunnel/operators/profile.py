@@ -30,6 +30,15 @@ def volume_by_site_zone(events: DataFrame, ssp_sites: DataFrame) -> DataFrame:
     return rows.groupBy("d", "sid", "sz").agg(F.count(F.lit(1)).alias("n")).orderBy("d", "sid", "sz")
 
 
+def volume_by_site_asof(events: DataFrame, dated: DataFrame) -> DataFrame:
+    """Rows per (d, sid) with the branch the site was in on that day, by a dated SSP list.
+
+    Rows are counted first, so the list meets a row per day and site.
+    """
+    counted = with_day(profiled_events(events)).groupBy("d", "sid").agg(F.count(F.lit(1)).alias("n"))
+    return membership.mark_ssp_asof(counted, dated, "d").select("d", "sid", "is_ssp", "n").orderBy("d", "sid")
+
+
 def hours_per_day(events: DataFrame) -> DataFrame:
     """Distinct hours per day (exact; at most 24 values, deduplicated map-side)."""
     e = with_day(events)

@@ -113,6 +113,11 @@ def hours_of(is_ssp: bool, slot: int) -> list[tuple[int, int]]:
     return [divmod(h, 24) for h in range(row[0] // 3600, max(row[1:]) // 3600 + 1)]
 
 
+#: Hours of the next day in which followers may lie.
+LOOKAHEAD_HOURS = 1 + max(h for is_ssp in (False, True) for s in range(len(slot_table(is_ssp)))
+                          for ahead, h in hours_of(is_ssp, s) if ahead)
+
+
 _CODE_BASE = 8  # slot code = days back * 8 + slot
 
 

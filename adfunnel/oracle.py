@@ -337,6 +337,38 @@ SELECT CAST(sec AS DATE) AS d, sid, sz, count(*) AS n FROM h
 WHERE sn = 0 AND expid <> 0 AND sid IN (SELECT sid FROM ssp)
 GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""")
 
+# the dated SSP list: the newest version on or before a day names its sites
+_VERSIONS = " UNION ALL ".join(
+    f"SELECT CAST(n_nationkey AS BIGINT) AS sid, n_name AS name, DATE '{d}' AS d FROM nation "
+    f"WHERE n_regionkey IN ({', '.join(map(str, regions))})" for d, regions in fx.SSP_VERSIONS)
+_ON_LIST = ("EXISTS (SELECT 1 FROM versions x WHERE x.sid = {sid} AND x.d = (SELECT max(y.d) FROM versions y WHERE y.d <= {d}))")
+
+SQL["volume_by_site_asof"] = with_h(f"""
+SELECT d, sid, {_ON_LIST.format(sid='g.sid', d='g.d')} AS is_ssp, n FROM (
+  SELECT CAST(sec AS DATE) AS d, sid, count(*) AS n FROM h WHERE sn = 0 AND expid <> 0 GROUP BY 1, 2
+) g""", f"versions AS ({_VERSIONS})")
+
+_ASOF_CTES = FUNNEL_CTES.replace("(h.sid IN (SELECT sid FROM ssp)) AS is_ssp", "0 AS unmarked").replace(
+    "SELECT w.d, w.slot, v.*,", "SELECT w.d, w.slot, w.is_ssp, v.*,").replace(
+    "CASE WHEN v.is_ssp THEN 3", "CASE WHEN w.is_ssp THEN 3").replace(
+    "ON v.is_ssp = w.is_ssp AND v.tn = w.tn AND v.sec BETWEEN w.lo_ts AND w.hi_ts",
+    "ON v.tn = w.tn AND v.sec BETWEEN w.lo_ts AND w.hi_ts\n"
+    "  JOIN listed l ON l.d = w.d AND l.sid = v.sid AND l.on_list = w.is_ssp").replace(
+    "sw(is_ssp,", f"versions AS ({_VERSIONS}),\nlisted AS (SELECT days.d, s.sid, {_ON_LIST.format(sid='s.sid', d='days.d')} AS on_list "
+    "FROM days, (SELECT DISTINCT sid FROM v) s),\nsw(is_ssp,")
+SQL["funnel_asof"] = with_h(f"SELECT {FUNNEL_COLS} FROM f", _ASOF_CTES)
+
+SQL["ssp_validity"] = f"""
+WITH versions AS ({_VERSIONS}),
+loads AS (SELECT d, lead(d) OVER (ORDER BY d) AS nxt FROM (SELECT DISTINCT d FROM versions)),
+p AS (SELECT v.*, loads.nxt, lag(loads.nxt) OVER (PARTITION BY sid ORDER BY v.d) AS prev FROM versions v JOIN loads USING (d)),
+i AS (SELECT *, sum(CASE WHEN prev = d THEN 0 ELSE 1 END) OVER (PARTITION BY sid ORDER BY d) AS island FROM p)
+SELECT sid, name, min(d) AS valid_from, arg_max(coalesce(nxt, DATE '9999-01-01'), d) AS valid_to, true AS forget
+FROM i GROUP BY sid, name, island
+UNION ALL SELECT sid, name, min(d), DATE '9999-01-01', false FROM versions GROUP BY sid, name
+"""
+SQL["ssp_validity"] = f"SELECT * REPLACE (nullif(valid_to, DATE '9999-01-01') AS valid_to) FROM ({SQL['ssp_validity']})"
+
 SQL["site_subset"] = with_h("SELECT sid, count(*) AS n FROM h WHERE sid IN (3, 7, 12) GROUP BY sid")
 
 SQL["site_zone_subset"] = with_h("""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import date_literal
 from ..operators import funnel as fn
+from ..operators import slots
 from ..sources import tables
 from . import lifecycle, repair
 
@@ -25,7 +26,7 @@ class IncompleteDay(RuntimeError):
     pass
 
 
-LOOKAHEAD_HOURS = 2  # followers of the last slots arrive until 01:59:59 of D+1
+LOOKAHEAD_HOURS = slots.LOOKAHEAD_HOURS  # followers of the last slots arrive until 01:59:59 of D+1
 
 
 def day_scope(events: DataFrame, day: dt.date) -> DataFrame:

@@ -19,6 +19,7 @@ from .operators import membership, profile, slots
 from .plans import daily, ingest, lifecycle, repair
 from .sources import fixtures as fx, ledger
 from .sources import ssp as ssp_src
+from .sources import ssp_history
 from .sources import tables, tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,6 +254,28 @@ def volume_by_site_zone_ssp(spark, sf_dir):
     return profile.volume_by_site_zone(h, ssp)
 
 
+@register("volume_by_site_asof")
+def volume_by_site_asof(spark, sf_dir):
+    """Rows per day and site, with the branch of the site by the SSP list that was valid on the day."""
+    dated = ssp_history.validity(fx.ssp_versions_view(spark, sf_dir), forget=True)
+    return profile.volume_by_site_asof(fx.history_ref_view(spark, sf_dir), dated)
+
+
+@register("funnel_asof")
+def funnel_asof(spark, sf_dir):
+    """The funnel of all days, each by the SSP list that was valid on it."""
+    dated = ssp_history.validity(fx.ssp_versions_view(spark, sf_dir), forget=True)
+    return fn.funnel(fx.history_ref_view(spark, sf_dir), dated, tiebreak=["event_id"])
+
+
+@register("ssp_validity")
+def ssp_validity(spark, sf_dir):
+    """From when to when each site was on the SSP list, if sites can leave it and if they cannot."""
+    versions = fx.ssp_versions_view(spark, sf_dir)
+    both = [ssp_history.validity(versions, forget).withColumn("forget", F.lit(forget)) for forget in (False, True)]
+    return both[0].unionByName(both[1])
+
+
 SUBSET_SITES = (3, 7, 12)
 SUBSET_PAIRS = ((3, (1, 2)), (7, None), (12, (0, 5)))
 

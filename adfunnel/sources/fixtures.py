@@ -130,3 +130,16 @@ def _ssp_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (nation.where(F.col("n_regionkey").isin(*SSP_REGIONS))
             .select(F.col("n_nationkey").cast("bigint").alias("sid"),
                     F.col("n_name").alias("name")))
+
+
+# Fixed values of the dated list: which regions' nations each version names.
+SSP_VERSIONS = (("2024-01-03", (0,)), ("2024-01-10", (0, 1)), ("2024-01-20", (1, 2)))
+
+
+def ssp_versions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions ``(sid, name, d)`` of the SSP list: nations of other regions at each date."""
+    nation = read_table(spark, sf_dir, "nation")
+    spans = F.array(*[F.struct(F.lit(d).cast("date").alias("d"), F.array(*map(F.lit, regions)).alias("regions"))
+                      for d, regions in SSP_VERSIONS])
+    rows = nation.withColumn("v", F.explode(spans)).where(F.array_contains("v.regions", F.col("n_regionkey")))
+    return rows.select(F.col("n_nationkey").cast("bigint").alias("sid"), F.col("n_name").alias("name"), "v.d")

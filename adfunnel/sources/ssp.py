@@ -54,17 +54,19 @@ def merge_sites(current: DataFrame | None, new: DataFrame) -> DataFrame:
 
 def load_sites(spark: SparkSession, text_path: str, table_path: str,
                load_date: dt.date | None = None) -> tuple[int, int]:
-    """Load a site list file into the SSP table: merge, then replace the table.
+    """Load a site list file into the SSP table: merge, write the new list beside the old, then switch.
 
-    The merged frame reads the table it replaces, so its lineage is cut first
-    with ``checkpoint()`` (written to the shared ``spark.checkpoint.dir``).
-    Returns (sites in the table, rejected lines).
+    The old copy stays until the new one is whole (``tables.switch_folder``); a switch that was cut short is settled by
+    the next load.  Returns (sites in the table, rejected lines).
     """
-    from ..session import scratch_dir
-    from .tables import read_if_exists
+    from . import tables
 
-    scratch_dir(spark)  # make sure a checkpoint folder is set
+    tables.settle_folder(spark, table_path)
     new, rejects = read_ssp_text(spark, text_path, load_date)
-    merged = merge_sites(read_if_exists(spark, table_path), new).checkpoint()
-    merged.write.mode("overwrite").parquet(table_path)
-    return merged.count(), rejects.count()
+    beside = table_path.rstrip("/") + "__new"
+    merged = merge_sites(tables.read_if_exists(spark, table_path), new)
+    merged.write.mode("overwrite").parquet(beside)
+    sites = spark.read.parquet(beside).count()
+    tables.switch_folder(spark, beside, table_path)
+    spark.catalog.refreshByPath(table_path)
+    return sites, rejects.count()

@@ -101,6 +101,37 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.delete(p, True))
 
 
+def _fs_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def switch_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Let the finished folder ``new`` take the place of ``path``; at every moment one whole copy is there.
+
+    The old copy is set aside as ``<path>__old`` and removed last, so ``settle_folder`` can finish or undo a switch that was
+    cut short.
+    """
+    fs, old = _fs_path(spark, path.rstrip("/") + "__old")
+    target, source = _fs_path(spark, path)[1], _fs_path(spark, new)[1]
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move {new} to {path}")
+    fs.delete(old, True)
+
+
+def settle_folder(spark: SparkSession, path: str) -> None:
+    """After a switch that was cut short: the old copy goes if the new one is in place, else it comes back."""
+    fs, old = _fs_path(spark, path.rstrip("/") + "__old")
+    if fs.exists(old):
+        target = _fs_path(spark, path)[1]
+        if fs.exists(target):
+            fs.delete(old, True)
+        elif not fs.rename(old, target):
+            raise OSError(f"cannot bring {path} back")
+
+
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at ``path``, or None when nothing was written there yet."""
     return spark.read.parquet(path) if path_exists(spark, path) else None
