@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
-from . import membership, slots
+from . import membership, slot_join, slots
 
 ANCHOR_PAYLOAD = ["uid", "sid", "sz", "geo", "bt", "ref", "bref", "ipint"]
 FOLLOWER_PAYLOAD = ["ipint"]
@@ -69,12 +69,18 @@ GROUP_KEY = ["is_ssp", "slot_d", "slot", "expid"]
 
 
 def slot_rows(events: DataFrame, ssp_sites: DataFrame, days: Sequence | None = None,
-              branch: bool | None = None) -> DataFrame:
+              branch: bool | None = None, slot_table: DataFrame | None = None) -> DataFrame:
     """Valid events of the branches with the group they belong to (``GROUP_KEY``) and their role.
 
     ``ssp_sites`` may be a dated list: each processed day then goes by the list valid on it, so an event after
     midnight can be of one branch for the day before and of the other for its own.
+    ``slot_table``: slots as data (``slot_join``) instead of the standard ones; not with a dated list.
     """
+    if slot_table is not None:
+        rows = branch_rows(events, ssp_sites)
+        rows = rows if branch is None else rows.where(F.col("is_ssp") == F.lit(branch))
+        rows = slot_join.assign_slots(rows, slot_table)
+        return rows if days is None else rows.where(F.col("slot_d").isin(list(days)))
     if membership.is_dated(ssp_sites):
         own = F.to_date("sec")
         late = F.array(own, F.date_sub(own, 1))
@@ -94,6 +100,8 @@ def slot_rows(events: DataFrame, ssp_sites: DataFrame, days: Sequence | None = N
 def stitch(rows: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Funnel rows from ``slot_rows``: one per group that holds an anchor."""
     tb = list(tiebreak)
+    # only the anchor's strings are read: the others are blanked before the sort of the partial aggregation
+    rows = rows.withColumns({c: F.when(F.col("role") == slots.ANCHOR, F.col(c)) for c in ("ref", "bref")})
     g = rows.groupBy(*GROUP_KEY).agg(
         _earliest(slots.ANCHOR, ["sec", *tb, *ANCHOR_PAYLOAD]).alias("a"),
         _earliest(slots.EXPOSURE, ["sec", *tb, *FOLLOWER_PAYLOAD]).alias("e"),
@@ -103,7 +111,8 @@ def stitch(rows: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
 
 
 def funnel(events: DataFrame, ssp_sites: DataFrame, tiebreak: Sequence[str] = (),
-           days: Sequence | None = None, branch: bool | None = None) -> DataFrame:
+           days: Sequence | None = None, branch: bool | None = None,
+           slot_table: DataFrame | None = None) -> DataFrame:
     """Funnel rows (``schema.FUNNEL_COLUMNS``) for the events given.
 
     ``events`` holds the 22 event columns (plus the ``tiebreak`` columns).
@@ -111,7 +120,7 @@ def funnel(events: DataFrame, ssp_sites: DataFrame, tiebreak: Sequence[str] = ()
     also prune the scan to those days and the next one (late followers).
     ``branch``: only SSP sites (True), only the others (False), or both.
     """
-    return stitch(slot_rows(events, ssp_sites, days, branch), tiebreak)
+    return stitch(slot_rows(events, ssp_sites, days, branch, slot_table), tiebreak)
 
 
 def _seconds_between(a: Column, b: Column) -> Column:

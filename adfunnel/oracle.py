@@ -218,6 +218,18 @@ SQL["slot_assignment"] = with_h("""
 SELECT event_id, CASE WHEN is_ssp THEN 'ssp' ELSE 'nonssp' END AS branch, d, CAST(slot AS INTEGER) AS slot
 FROM m""", FUNNEL_CTES)
 
+SQL["slot_assignment_table"] = SQL["slot_assignment"]
+
+SQL["slot_assignment_many"] = with_h("""
+SELECT b.d, CASE WHEN v.is_ssp THEN 'ssp' ELSE 'nonssp' END AS branch, CAST(k AS INTEGER) AS slot,
+  count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids
+FROM (
+  SELECT *, CASE WHEN tn = 1 THEN 2 WHEN tn = 0 AND is_ssp THEN 1 ELSE 0 END AS rl FROM v WHERE tn IN (0, 1) OR is_ssp
+) v JOIN (SELECT d, k FROM days, range(500) r(k)) b
+  ON v.sec BETWEEN CAST(b.d AS TIMESTAMP) + to_seconds(k * 173)
+           AND CAST(b.d AS TIMESTAMP) + to_seconds(k * 173 + 600 + (k * 37) % 7200 + rl * 60)
+GROUP BY 1, 2, 3""", FUNNEL_CTES)
+
 SQL["union_branches"] = with_h("""
 SELECT event_id, CASE WHEN is_ssp THEN 'ssp' ELSE 'nonssp' END AS branch, tn,
   CASE WHEN tn = 1 THEN '' ELSE ref END AS ref,
@@ -337,6 +349,9 @@ SELECT CAST(sec AS DATE) AS d, sid, sz, count(*) AS n FROM h
 WHERE sn = 0 AND expid <> 0 AND sid IN (SELECT sid FROM ssp)
 GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""")
 
+SQL["uniq_users"] = with_h("""
+SELECT sid, count(*) AS n, count(DISTINCT uid) AS users, true AS uniq_within_5_percent FROM h GROUP BY sid""")
+
 # the dated SSP list: the newest version on or before a day names its sites
 _VERSIONS = " UNION ALL ".join(
     f"SELECT CAST(n_nationkey AS BIGINT) AS sid, n_name AS name, DATE '{d}' AS d FROM nation "
@@ -490,6 +505,13 @@ FROM (
   FROM h
 ) x GROUP BY src_hour""")
 
+SQL["reconcile_diff"] = with_h("""
+, a AS (SELECT event_id, geo, CAST(sec AS DATE) AS d FROM h),
+s AS (SELECT event_id, CASE WHEN day(d) <= 20 AND event_id % 17 = 0 THEN geo + 1 ELSE geo END AS geo, d FROM a,
+        range(CASE WHEN day(d) > 20 THEN 1 WHEN event_id % 11 = 0 THEN 0 WHEN event_id % 13 = 0 THEN 3 ELSE 1 END) r)
+SELECT *, 'missing' AS side, count(*) AS n FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM s) GROUP BY ALL
+UNION ALL SELECT *, 'added' AS side, count(*) AS n FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM a) GROUP BY ALL""")
+
 SQL["load_in_parts"] = with_h("""
 SELECT '/in/' || strftime(src_hour, '%Y-%m-%d/%H') || '_p' || part || name AS path, src_hour, lines,
   CASE WHEN name = '_again.txt' THEN 'duplicate' WHEN day(src_hour) % 3 <> 0 THEN 'new'

@@ -268,6 +268,25 @@ def reconcile(before: DataFrame, staged: DataFrame, keys: Sequence[str] = ("d",
         "ok": F.col("action") != "refuse"})
 
 
+def row_difference(before: DataFrame, staged: DataFrame, keys: Sequence[str] = ("d", "h")) -> DataFrame:
+    """The rows by which staged partitions differ from those present, as multisets (``EXCEPT ALL`` both ways).
+
+    Every column of ``staged``, the ``side`` (``missing``: would be lost; ``added``) and ``n``, how many of the row.  Partitions
+    with equal contents are left out by count and checksum first, so only those in dispute are shuffled; repeated rows are
+    counted map-side, so a mass of equal rows is one row per task.
+    """
+    keys, cols = list(keys), staged.columns
+    had = contents(before, keys).withColumnsRenamed({"n": "_n", "checksum": "_c"})
+    same = (F.col("n") == F.col("_n")) & (F.col("checksum") == F.col("_c"))
+    # one row per staged partition
+    odd = contents(staged, keys).join(had, keys, "left").where(~F.coalesce(same, F.lit(False))).select(*keys)
+    sides = (before.select(*cols, F.lit(-1).alias("_sign"))
+             .unionByName(staged.select(*cols, F.lit(1).alias("_sign"))).join(odd, keys, "left_semi"))
+    counted = sides.groupBy(*cols).agg(F.sum("_sign").alias("_d")).where("_d <> 0")
+    return counted.select(*cols, F.when(F.col("_d") > 0, F.lit("added")).otherwise(F.lit("missing")).alias("side"),
+                          F.abs("_d").alias("n"))
+
+
 def publish(spark: SparkSession, staged: DataFrame, main_path: str,
             keys: Sequence[str] = ("d", "h"), cluster_partitions: int | None = None,
             replace: bool = False) -> list[dict]:
@@ -291,7 +310,9 @@ def publish(spark: SparkSession, staged: DataFrame, main_path: str,
         plan = {tuple(r[k] for k in keys): r.asDict() for r in reconcile(main, staged, keys, replace).collect()}
     refused = [k for k, r in plan.items() if r["action"] == "refuse"]
     if refused:
-        raise LifecycleError(f"present with other rows, staged rows would be lost: {sorted(refused)}")
+        differ = row_difference(main, staged, keys).groupBy("side").agg(F.sum("n").alias("n")).collect()
+        raise LifecycleError(f"present with other rows, staged rows would be lost: {sorted(refused)}; "
+                             f"rows that differ: { {r['side']: r['n'] for r in differ} }")
     todo = [k for k, r in plan.items() if r["action"] in ("write", "replace")]
     after = {k: r["before"] for k, r in plan.items()}
     if todo:

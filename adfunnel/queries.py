@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from . import schema
 from .functions import clean, derive, urls
 from .operators import funnel as fn
-from .operators import membership, profile, slots
+from .operators import membership, profile, sketches, slot_join, slots
 from .plans import daily, ingest, lifecycle, repair
 from .sources import fixtures as fx, ledger
 from .sources import ssp as ssp_src
@@ -77,6 +77,33 @@ def slot_assignment(spark, sf_dir):
     return rows.select("event_id", branch_name().alias("branch"), F.col("slot_d").alias("d"), "slot")
 
 
+@register("slot_assignment_table")
+def slot_assignment_table(spark, sf_dir):
+    """``slot_assignment`` with the slots as a table."""
+    h, ssp = events_and_ssp(spark, sf_dir)
+    rows = slot_join.assign_slots(fn.branch_rows(h, ssp), slot_join.standard_slots(spark))
+    return rows.select("event_id", branch_name().alias("branch"), F.col("slot_d").alias("d"), "slot")
+
+
+def many_slots(spark) -> DataFrame:
+    """500 overlapping slots of ten minutes to over two hours for both branches and every role."""
+    lo = F.col("slot") * 173
+    return (spark.range(500).select(F.col("id").cast("int").alias("slot"))
+            .withColumn("is_ssp", F.explode(F.array(F.lit(False), F.lit(True))))
+            .withColumn("role", F.explode(F.array(*map(F.lit, (slots.ANCHOR, slots.EXPOSURE, slots.CLICK)))))
+            .select("is_ssp", "role", "slot", lo.cast("bigint").alias("lo"),
+                    (lo + 600 + (F.col("slot") * 37) % 7200 + F.col("role") * 60).cast("bigint").alias("hi")))
+
+
+@register("slot_assignment_many")
+def slot_assignment_many(spark, sf_dir):
+    """Events per day, branch and slot of a table of 500 slots."""
+    h, ssp = events_and_ssp(spark, sf_dir)
+    rows = slot_join.assign_slots(fn.branch_rows(h, ssp), many_slots(spark))
+    return rows.groupBy(F.col("slot_d").alias("d"), branch_name().alias("branch"), "slot").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
 @register("union_branches")
 def union_branches(spark, sf_dir):
     """Inputs of both branches in one scan; click rows carry no ref / bref."""
@@ -254,6 +281,16 @@ def volume_by_site_zone_ssp(spark, sf_dir):
     return profile.volume_by_site_zone(h, ssp)
 
 
+@register("uniq_users")
+def uniq_users(spark, sf_dir):
+    """Users per site over all days: from merged hourly sketches, beside the exact count; whether they agree within 5%."""
+    h = fx.history_ref_view(spark, sf_dir)
+    about = sketches.uniq(sketches.hourly(h), ["sid"])
+    exact = h.groupBy("sid").agg(F.count_distinct("uid").alias("users"))
+    near = F.abs(F.col("uniq") - F.col("users")) <= F.greatest(F.lit(2.0), 0.05 * F.col("users"))
+    return about.join(exact, "sid").select("sid", "n", "users", near.alias("uniq_within_5_percent"))
+
+
 @register("volume_by_site_asof")
 def volume_by_site_asof(spark, sf_dir):
     """Rows per day and site, with the branch of the site by the SSP list that was valid on the day."""
@@ -457,6 +494,17 @@ def load_in_parts(spark, sf_dir):
     return ledger.judged(ledger.described(lines), known).select("path", "src_hour", "lines", "state")
 
 
+@register("reconcile_diff")
+def reconcile_diff(spark, sf_dir):
+    """Which rows a staged copy of the events lacks, has too many of or has changed."""
+    h = fx.history_ref_view(spark, sf_dir).select("event_id", "uid", "sec", "geo", "sid", F.to_date("sec").alias("d"))
+    e, first = F.col("event_id"), F.dayofmonth("sec") <= 20
+    times = F.when(first & (e % 11 == 0), 0).when(first & (e % 13 == 0), 3).otherwise(1)
+    staged = (h.withColumn("geo", F.when(first & (e % 17 == 0), F.col("geo") + 1).otherwise(F.col("geo")))
+              .withColumn("_i", F.explode(F.array_repeat(F.lit(1), times))).drop("_i"))
+    return lifecycle.row_difference(h, staged, ["d"]).select("event_id", "geo", "d", "side", "n")
+
+
 @register("tsv_round_trip")
 def tsv_round_trip(spark, sf_dir):
     """The events with blanks at the ends of values, carriage returns and ids of 2^63 and more, rendered as
