@@ -97,12 +97,13 @@ def slot_rows(events: DataFrame, ssp_sites: DataFrame, days: Sequence | None = N
     return rows if days is None else rows.where(F.col("slot_d").isin(list(days)))
 
 
-def stitch(rows: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Funnel rows from ``slot_rows``: one per group that holds an anchor."""
+def stitch(rows: DataFrame, tiebreak: Sequence[str] = (), also: Sequence[str] = ()) -> DataFrame:
+    """Funnel rows from ``slot_rows``: one per group that holds an anchor.  ``also``: columns that follow from the group,
+    as further keys (a stream's watermark column)."""
     tb = list(tiebreak)
     # only the anchor's strings are read: the others are blanked before the sort of the partial aggregation
     rows = rows.withColumns({c: F.when(F.col("role") == slots.ANCHOR, F.col(c)) for c in ("ref", "bref")})
-    g = rows.groupBy(*GROUP_KEY).agg(
+    g = rows.groupBy(*also, *GROUP_KEY).agg(
         _earliest(slots.ANCHOR, ["sec", *tb, *ANCHOR_PAYLOAD]).alias("a"),
         _earliest(slots.EXPOSURE, ["sec", *tb, *FOLLOWER_PAYLOAD]).alias("e"),
         _earliest(slots.CLICK, ["sec", *tb, *FOLLOWER_PAYLOAD]).alias("c"),

@@ -349,6 +349,9 @@ SELECT CAST(sec AS DATE) AS d, sid, sz, count(*) AS n FROM h
 WHERE sn = 0 AND expid <> 0 AND sid IN (SELECT sid FROM ssp)
 GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""")
 
+SQL["exposure_trace"] = with_h("""
+SELECT expid, sec, event_id, tn, sn, uid, sid, ref FROM h WHERE expid IN (7, 50, 123, 200)""")
+
 SQL["uniq_users"] = with_h("""
 SELECT sid, count(*) AS n, count(DISTINCT uid) AS users, true AS uniq_within_5_percent FROM h GROUP BY sid""")
 

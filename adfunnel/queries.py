@@ -281,6 +281,15 @@ def volume_by_site_zone_ssp(spark, sf_dir):
     return profile.volume_by_site_zone(h, ssp)
 
 
+TRACED = (7, 50, 123, 200)
+
+
+@register("exposure_trace")
+def exposure_trace(spark, sf_dir):
+    """All events of four exposures, whatever their type and status."""
+    return tables.trace(fx.history_ref_view(spark, sf_dir), TRACED).select("expid", "sec", "event_id", "tn", "sn", "uid", "sid", "ref")
+
+
 @register("uniq_users")
 def uniq_users(spark, sf_dir):
     """Users per site over all days: from merged hourly sketches, beside the exact count; whether they agree within 5%."""

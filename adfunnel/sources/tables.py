@@ -20,6 +20,12 @@ from .. import schema
 from ..functions import derive
 
 EVENT_SORT = ["sid", "dom", "sz", "uid"]
+#: Columns looked up by value though files are not sorted by them: Parquet keeps a Bloom filter per row group.
+LOOKUP = ["expid", "uid"]
+#: Most bytes of one such filter; it shrinks to the distinct values found.
+BLOOM_BYTES = 1 << 20
+#: User ids modulo this are stored in the bucketed layout; samples of any of its divisors read whole buckets.
+SAMPLE_MODULUS = 240
 SALT_SEED = 17
 FUNNEL_SORT = ["uid"]
 
@@ -181,9 +187,13 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
         salt = F.rand(SALT_SEED) if scan else F.xxhash64(*df.columns)
         df = (df.withColumn("_salt", salt)
               .repartitionByRange(n, *keys, "_salt").drop("_salt"))
-    (df.sortWithinPartitions(*partition_cols, *sort_cols)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
+    writer = (df.sortWithinPartitions(*partition_cols, *sort_cols)
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic"))
+    for c in set(LOOKUP) & set(df.columns):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true") \
+        .option("parquet.bloom.filter.max.bytes", str(BLOOM_BYTES))
+    writer.partitionBy(*partition_cols).parquet(path)
 
 
 def write_events(events: DataFrame, path: str, cluster_partitions: int | None = None) -> None:
@@ -198,6 +208,49 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def trace(events: DataFrame, expids: Iterable[int]) -> DataFrame:
+    """All events of a few exposures, in time order.  The ids reach the Parquet reader, which skips by Bloom filter the row
+    groups that hold none of them."""
+    wanted = sorted({int(i) for i in expids})
+    return events.where(F.col("expid").isin(wanted)).orderBy("expid", "sec")
+
+
+def sample_bucket(uid: F.Column) -> F.Column:
+    """The unsigned user id modulo ``SAMPLE_MODULUS``."""
+    wrapped = F.when(uid < 0, F.lit(2 ** 64 % SAMPLE_MODULUS)).otherwise(F.lit(0))
+    return F.pmod(F.pmod(uid, F.lit(SAMPLE_MODULUS)) + wrapped, F.lit(SAMPLE_MODULUS)).cast("int")
+
+
+def create_sampled_table(spark: SparkSession, name: str, location: str, buckets: int = 60) -> None:
+    """A catalog table of events, partitioned by ``(d, h)`` and bucketed by ``ub``, the user's sample bucket."""
+    columns = _ddl_columns(schema.EVENT_FIELDS) + ", dom string, refhash string, ub int, d date, h int"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (d, h) "
+              f"CLUSTERED BY (ub) SORTED BY (ub, uid) INTO {buckets} BUCKETS LOCATION '{location}'")
+
+
+def write_sampled(events: DataFrame, name: str) -> None:
+    """Write hours of events to a table of ``create_sampled_table``; the partitions named are replaced."""
+    spark = events.sparkSession
+    rows = event_table_frame(events).withColumn("ub", sample_bucket(F.col("uid")))
+    order = [f.name for f in spark.table(name).schema.fields]
+    # one task per bucket and hour: a bucket of an hour is one file
+    (rows.select(*order).repartition("d", "h", "ub").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True))
+
+
+def read_sample(spark: SparkSession, name: str, buckets: int, bucket: int) -> DataFrame:
+    """The events of users with ``uid % buckets = bucket`` (unsigned), as ``derive.user_sample`` picks them.
+
+    ``buckets`` divides ``SAMPLE_MODULUS``: the sample is some values of the bucketed column, so only their buckets are read.
+    """
+    if not 0 <= bucket < buckets:
+        raise ValueError("bucket must lie in [0, buckets)")
+    rows = spark.table(name)
+    if SAMPLE_MODULUS % buckets:
+        raise ValueError(f"buckets must divide {SAMPLE_MODULUS}")
+    return rows.where(F.col("ub").isin(list(range(bucket, SAMPLE_MODULUS, buckets))))
+
+
 def union_shards(frames: Sequence[DataFrame]) -> DataFrame:
     """One logical table over shard tables (by column name)."""
     out = frames[0]
