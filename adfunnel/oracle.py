@@ -515,6 +515,19 @@ s AS (SELECT event_id, CASE WHEN day(d) <= 20 AND event_id % 17 = 0 THEN geo + 1
 SELECT *, 'missing' AS side, count(*) AS n FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM s) GROUP BY ALL
 UNION ALL SELECT *, 'added' AS side, count(*) AS n FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM a) GROUP BY ALL""")
 
+SQL["publish_day"] = with_h("""
+SELECT run, h, CASE WHEN run = 1 THEN 0 ELSE n END AS before, n AS staged, n AS after,
+  CASE WHEN run = 1 THEN 'write' ELSE 'replay' END AS action, n AS held, ids
+FROM (SELECT CAST(hour(sec) AS INTEGER) AS h, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids
+      FROM h WHERE CAST(sec AS DATE) = DATE '2024-01-05' GROUP BY 1), (SELECT unnest([1, 2]) AS run)""")
+
+# a day is built when it is complete, and repaired once the first hours of the next have come
+SQL["backfill_days"] = with_h("""
+SELECT run, b.d, CASE WHEN run = 2 THEN '' WHEN b.d < DATE '2024-01-06' THEN 'built,repaired' ELSE 'built' END AS done, rows
+FROM (SELECT unnest([1, 2]) AS run),
+  (SELECT d, count(*) AS rows FROM f WHERE d BETWEEN DATE '2024-01-05' AND DATE '2024-01-06' GROUP BY d) b""",
+  FUNNEL_CTES)
+
 SQL["load_in_parts"] = with_h("""
 SELECT '/in/' || strftime(src_hour, '%Y-%m-%d/%H') || '_p' || part || name AS path, src_hour, lines,
   CASE WHEN name = '_again.txt' THEN 'duplicate' WHEN day(src_hour) % 3 <> 0 THEN 'new'

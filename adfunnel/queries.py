@@ -17,6 +17,7 @@ from .functions import clean, derive, urls
 from .operators import funnel as fn
 from .operators import membership, profile, sketches, slot_join, slots
 from .plans import daily, ingest, lifecycle, repair
+from .session import new_scratch_path
 from .sources import fixtures as fx, ledger
 from .sources import ssp as ssp_src
 from .sources import ssp_history
@@ -548,6 +549,50 @@ def funnel_day(spark, sf_dir):
     return daily.funnel_for_day(h, ssp, FUNNEL_DAY, tiebreak=["event_id"])
 
 
+@register("publish_day")
+def publish_day(spark, sf_dir):
+    """A day's events staged, published by hour, published again (a replay), and read back: per hour what each publish
+    did and what the table holds."""
+    day = fx.history_ref_view(spark, sf_dir).where(F.to_date("sec") == F.lit(FUNNEL_DAY))
+    rows = tables.event_table_frame(day, keep=["event_id"])
+    stage, main = (new_scratch_path(spark, x) for x in ("publish-stage", "publish-main"))
+    rows.write.parquet(stage)
+    staged = spark.read.schema(rows.schema).parquet(stage)
+    # 24 rows each
+    done = [(i, r["h"], r["before"], r["staged"], r["after"], r["action"]) for i in (1, 2)
+            for r in lifecycle.publish(spark, staged, main)]
+    tables.delete_path(spark, stage)
+    report = spark.createDataFrame(done, "run int, h int, before bigint, staged bigint, after bigint, action string")
+    held = spark.read.parquet(main).groupBy("h").agg(F.count(F.lit(1)).alias("held"), F.sum("event_id").alias("ids"))
+    return report.join(held, "h", "left")
+
+
+@register("backfill_days")
+def backfill_days(spark, sf_dir):
+    """Two runs of the backfill over two days whose events land day by day: what each run built, and the rows of the funnel
+    table by day after it.  The second run finds all days up to date."""
+    h, ssp = events_and_ssp(spark, sf_dir)
+    events, out = (new_scratch_path(spark, x) for x in ("backfill-events", "backfill-funnel"))
+    loaded = set()
+
+    def load_day(day):
+        if day not in loaded:  # as the loads do: an hour that is present is skipped
+            loaded.add(day)
+            tables.write_events(h.where(F.to_date("sec") == F.lit(day)), events)
+
+    done = []
+    for run in (1, 2):
+        built = daily.backfill(spark, FUNNEL_DAY + dt.timedelta(days=2), load_day, events, out, ssp, days=2, repair_late=run == 1)
+        days = {d: [] for d in tables.listed_days(spark, out)}
+        for d, what in built:
+            days.setdefault(d, []).append(what)
+        done += [(run, d, ",".join(days[d])) for d in days]
+    report = spark.createDataFrame(done, "run int, d date, done string")
+    funnel = spark.read.schema(schema.FUNNEL_SCHEMA).parquet(out) if tables.has_data(spark, out) \
+        else spark.createDataFrame([], schema.FUNNEL_SCHEMA)
+    return report.join(funnel.groupBy("d").agg(F.count(F.lit(1)).alias("rows")), "d", "left")
+
+
 def late_event():
     """Rows of ``events`` that the first build of ``funnel_repair`` has not seen: two hours of each day
     (one of them is read by two days' builds) and every ninth event beside."""

@@ -58,6 +58,18 @@ def data_files(spark: SparkSession, path: str) -> dict[str, int]:
     return out
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a data file lies below a folder; the listing stops at the first."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def _key_folders(spark: SparkSession, path: str, key: str) -> dict[str, str]:
     """Values and paths of the ``key=value`` folders directly below ``path``."""
     jvm = spark.sparkContext._jvm
@@ -76,13 +88,13 @@ def _key_folders(spark: SparkSession, path: str, key: str) -> dict[str, str]:
 def listed_days(spark: SparkSession, path: str) -> list[dt.date]:
     """Days with data of a table partitioned by ``d``, from its folders: no data file is opened."""
     return sorted(dt.date.fromisoformat(v) for v, p in _key_folders(spark, path, "d").items()
-                  if data_files(spark, p))
+                  if has_data(spark, p))
 
 
 def listed_hours(spark: SparkSession, path: str, day: dt.date) -> list[int]:
     """Hours with data of one day of a table partitioned by ``(d, h)``, from its folders."""
     return sorted(int(v) for v, p in _key_folders(spark, partition_path(path, ["d"], [day]), "h").items()
-                  if data_files(spark, p))
+                  if has_data(spark, p))
 
 
 def shard_label(ug_from: int, ug_to: int) -> str:
@@ -154,7 +166,7 @@ def read_partitions(spark: SparkSession, path: str, keys: Sequence[str],
     the partition columns).  Lists those folders alone, not the whole table:
     the cost follows the partitions touched, not the table size.  None if none
     of them holds data."""
-    paths = [p for p in (partition_path(path, keys, v) for v in values) if data_files(spark, p)]
+    paths = [p for p in (partition_path(path, keys, v) for v in values) if has_data(spark, p)]
     if not paths:
         return None
     return spark.read.option("basePath", path).parquet(*paths)

@@ -44,11 +44,14 @@ def _two_to_64() -> Column:
 
 
 def parse_unsigned(text: Column) -> Column:
-    """Digits of a UInt64 -> bigint in two's complement; NULL when out of range or not a number."""
+    """Digits of a UInt64 -> bigint in two's complement; NULL when out of range or not a number.
+
+    Up to 18 digits, as nearly all ids, take a plain cast; only longer ones go through decimals."""
+    digits = (text != "") & (F.translate(text, "0123456789", "") == "")
     n = text.try_cast("decimal(20,0)")
-    ok = text.rlike(r"^[0-9]+$") & (n < _two_to_64())
     wrapped = F.when(n > F.lit(Decimal(2 ** 63 - 1)), n - _two_to_64()).otherwise(n)
-    return F.when(ok, wrapped.try_cast("bigint"))
+    return (F.when(digits & (F.length(text) <= 18), text.try_cast("bigint"))
+            .when(digits & (n < _two_to_64()), wrapped.try_cast("bigint")))
 
 
 def unsigned_text(value: Column) -> Column:
@@ -77,8 +80,12 @@ def write_tsv(df: DataFrame, path: str, mode: str = "error") -> None:
 
 def split_lines(lines: DataFrame, value_col: str = "value", keep=()) -> DataFrame:
     """One text line per row -> the 22 fields as text, plus ``_corrupt_record``
-    holding the line when it does not have exactly 22 fields (+ ``keep`` columns)."""
-    parts = F.split(F.col(value_col), "\t", -1)
+    holding the line when it does not have exactly 22 fields (+ ``keep`` columns).
+
+    The line is split once, in a projection of its own that the optimizer leaves alone (its
+    column is read many times)."""
+    lines = lines.withColumn("_parts", F.split(F.col(value_col), "\t", -1))
+    parts = F.col("_parts")
     n = len(schema.EVENT_COLUMNS)
 
     def field(i: int):
