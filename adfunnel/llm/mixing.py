@@ -22,7 +22,7 @@ source of its own; repeated rows are separate rows; an empty table gives no rows
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -65,9 +65,12 @@ def tilt(targets: DataFrame, steps: int = 60) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, max_copies: int = 3, cycle: int = 3, seed: int = 9, id_col: str = "doc_id",
-                text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``doc_id, source, text_hash, size, source_size, target, rate, copies`` per row of ``docs``."""
+                text_col: str = "text", source_col: str = "source", keep: dict[str, Column] | None = None) -> DataFrame:
+    """``doc_id, source, text_hash, size, source_size, target, rate, copies`` per row of ``docs``, and the columns
+    ``keep`` (narrow ones: they are sorted with the rows)."""
+    keep = keep or {}
     base = written(docs.select(
+        *[v.alias(f"k{i}") for i, v in enumerate(keep.values())],
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.xxhash64(text_col).alias("text_hash"),
         F.size(words(F.col(text_col))).cast("long").alias("size")), "mix-base")
     totals = base.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -83,4 +86,4 @@ def mix_sources(docs: DataFrame, max_copies: int = 3, cycle: int = 3, seed: int
     copies = F.least(whole + more, F.lit(max_copies)).cast("long")
     return (placed.join(rates, F.col("source").eqNullSafe(F.col("of")), "left")
             .select(F.col("id").alias(id_col), F.col("source").alias(source_col), "text_hash", "size", "source_size",
-                    "target", "rate", copies.alias("copies")))
+                    "target", "rate", copies.alias("copies"), *[F.col(f"k{i}").alias(k) for i, k in enumerate(keep)]))
