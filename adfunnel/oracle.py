@@ -523,7 +523,8 @@ FROM (SELECT CAST(hour(sec) AS INTEGER) AS h, count(*) AS n, CAST(sum(event_id)
 
 # a day is built when it is complete, and repaired once the first hours of the next have come
 SQL["backfill_days"] = with_h("""
-SELECT run, b.d, CASE WHEN run = 2 THEN '' WHEN b.d < DATE '2024-01-06' THEN 'built,repaired' ELSE 'built' END AS done, rows
+SELECT run, b.d, CASE WHEN run = 2 THEN '' WHEN b.d < DATE '2024-01-06' THEN 'built,repaired' ELSE 'built' END AS done, rows,
+  (SELECT count(*) FROM h WHERE CAST(sec AS DATE) = b.d) AS events
 FROM (SELECT unnest([1, 2]) AS run),
   (SELECT d, count(*) AS rows FROM f WHERE d BETWEEN DATE '2024-01-05' AND DATE '2024-01-06' GROUP BY d) b""",
   FUNNEL_CTES)

@@ -569,8 +569,8 @@ def publish_day(spark, sf_dir):
 
 @register("backfill_days")
 def backfill_days(spark, sf_dir):
-    """Two runs of the backfill over two days whose events land day by day: what each run built, and the rows of the funnel
-    table by day after it.  The second run finds all days up to date."""
+    """Two runs of the backfill over two days whose events land day by day: what each run built, the events of the day and the rows of the
+    funnel table by day after it.  The second run finds all days up to date."""
     h, ssp = events_and_ssp(spark, sf_dir)
     events, out = (new_scratch_path(spark, x) for x in ("backfill-events", "backfill-funnel"))
     loaded = set()
@@ -590,7 +590,9 @@ def backfill_days(spark, sf_dir):
     report = spark.createDataFrame(done, "run int, d date, done string")
     funnel = spark.read.schema(schema.FUNNEL_SCHEMA).parquet(out) if tables.has_data(spark, out) \
         else spark.createDataFrame([], schema.FUNNEL_SCHEMA)
-    return report.join(funnel.groupBy("d").agg(F.count(F.lit(1)).alias("rows")), "d", "left")
+    events_of = profile.with_day(h).groupBy("d").agg(F.count(F.lit(1)).alias("events"))
+    return (report.join(funnel.groupBy("d").agg(F.count(F.lit(1)).alias("rows")), "d", "left")
+            .join(events_of, "d", "left"))
 
 
 def late_event():
