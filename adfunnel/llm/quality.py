@@ -2,11 +2,12 @@
 
 Rules look at counts of a document and vote for it (1), against it (-1) or abstain (0).  No rule is trusted
 beforehand: expectation-maximisation over all documents estimates, for each rule, how it votes on good
-and on bad documents, and the posterior probability of being good replaces an all-must-pass filter.
+documents and on each kind of junk, and the posterior probability of being good replaces an all-must-pass filter:
+a lone vote against that looks like an error of its rule is outvoted.
 
 A vote pattern says all that the model sees of a document, so the documents are counted by pattern once and the
 iterations run on that table: at most ``3 ** len(RULES)`` rows (2,187) however many documents there are.
-Each iteration is one aggregation returning one row of sums, from which the next posterior expression is made.
+Each iteration is one aggregation returning a row of sums per class, from which the next posterior is made.
 
 Counts: words are runs of ``[^\\x20\\x09-\\x0D]``.  ``n_dup_lines`` are lines with a word that equal an
 earlier one; ``n_repeat_words`` are words in 5-word windows found twice or more in the text.  Windows are
@@ -116,51 +117,69 @@ def _repeats(t: DataFrame, few: int = 64) -> DataFrame:
             .drop("g", "h2", "h4", "h", "some", "sorted", "again", "at", "s", "p"))
 
 
-def _posterior(model: dict, rules: list[str]) -> Column:
-    """Probability of good given the votes: a sigmoid of summed log odds; an abstention says nothing."""
-    odds = F.lit(math.log(model["good"] / (1 - model["good"])))
-    for r in rules:
-        against, for_ = (math.log(model[r, v, 1] / model[r, v, 0]) for v in (-1, 1))
-        odds = odds + F.when(F.col(r) == -1, against).when(F.col(r) == 1, for_).otherwise(0.0)
-    return 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), odds)))
+Model = dict[int, tuple[float, dict[str, tuple[float, float]]]]
 
 
-def fit(votes: DataFrame, rules: list[str], rounds: int = 15, max_false: float = 0.005) -> dict:
-    """EM on the pattern table: the share of good documents and, per rule, how often it votes against and for
-    on good and on bad documents.
+def _start(rules: list[str], noise: float) -> Model:
+    """Class 0 is good; class ``k`` is the kind of junk that rule ``k - 1`` is made to find.  A class has a share
+    of the documents and, per rule, how often it votes against and for."""
+    kinds = {c + 1: (0.2 / len(rules), {r: (0.8, 0.1) if r == own else (0.2, 0.4) for r in rules})
+             for c, own in enumerate(rules)}
+    return {0: (0.8, {r: (noise, 0.8) for r in rules}), **kinds}
 
-    ``max_false`` says what makes the two classes good and bad: a rule votes against at most that share of the
-    good documents.  Without such a bound EM takes junk that trips one rule only for a kind of good
-    text, as it agrees with good text in the other rules.  The start is a vote against that is
-    mostly right and a vote for that is a little more likely on good documents.
+
+def _posteriors(votes: DataFrame, model: Model, name: str) -> DataFrame:
+    """``votes`` with the array ``name``: the probability of each class given the votes.  An abstention says nothing."""
+    number = lambda x: f"{x!r}D"
+    like = [" + ".join([number(math.log(share)), *[
+        f"CASE `{r}` WHEN -1 THEN {number(math.log(against))} WHEN 1 THEN {number(math.log(for_))} ELSE 0D END"
+        for r, (against, for_) in rates.items()]]) for share, rates in (model[c] for c in sorted(model))]
+    likely = F.transform("__log", lambda x: F.exp(x - F.col("__most")))
+    return (votes.withColumn("__log", F.array(*[F.expr(x) for x in like]))
+            .withColumn("__most", F.array_max("__log")).withColumn("__log", likely)
+            .withColumn("__most", F.aggregate("__log", F.lit(0.0), lambda acc, x: acc + x))
+            .withColumn(name, F.transform("__log", lambda x: x / F.col("__most"))).drop("__log", "__most"))
+
+
+def fit(votes: DataFrame, rules: list[str], rounds: int = 30, noise: float = 0.005) -> Model:
+    """EM on the pattern table: one class of good documents and one kind of junk per rule.
+
+    All rates are estimated from the documents.  What makes class 0 the good one is its prior: as many imagined
+    documents as there are real ones, on which a rule votes against at the rate ``noise``.  So a vote against that
+    is rarer than a rule's errors, and that no other rule supports, is taken for an error of the rule; one
+    that a kind of junk explains (votes of other rules agree, or more documents have it than errors explain) counts
+    against the document.  Junk of one kind need not look like that of another, which two classes would ask for.
+    Without that prior (a hundredth of it) EM takes junk that trips one rule only for a kind of good text.
     """
     patterns = written(votes.groupBy(*rules).agg(F.count(F.lit(1)).alias("n")), "quality-patterns")
-    model: dict = {"good": 0.8}
-    start = {(-1, 1): max_false, (1, 1): 0.8, (-1, 0): 0.5, (1, 0): 0.5}
-    model |= {(r, v, c): x for r in rules for (v, c), x in start.items()}
-    keys = [(r, v) for r in rules for v in (-1, 1)]
+    # at most 3 ** len(rules) rows, however many documents there are
+    patterns = patterns.coalesce(1)
+    first = model = _start(rules, noise)
     for _ in range(rounds):
-        row = patterns.withColumn("p", _posterior(model, rules)).agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("p")).alias("good"),
-            *[F.sum(F.when(F.col(r) == v, F.col("n") * F.col("p")).otherwise(0.0)).alias(f"g{i}")
-              for i, (r, v) in enumerate(keys)],
-            *[F.sum(F.when(F.col(r) == v, F.col("n") * (1 - F.col("p"))).otherwise(0.0)).alias(f"b{i}")
-              for i, (r, v) in enumerate(keys)]).first()
-        if not row["n"]:
+        per_class = _posteriors(patterns, model, "__p").select("n", *rules, F.posexplode("__p").alias("__class", "__p")) \
+            .withColumn("__np", F.col("n") * F.col("__p"))
+        rows = {r["__class"]: r for r in per_class.groupBy("__class").agg(
+            F.sum("n").alias("n"), F.sum("__np").alias("all"),
+            *[F.sum(F.when(F.col(r) == v, F.col("__np")).otherwise(0.0)).alias(f"{side}{i}")
+              for i, r in enumerate(rules) for side, v in (("against", -1), ("for", 1))]).collect()}
+        if not rows:
             return model
-        good, bad = row["good"], row["n"] - row["good"]
-        model = {"good": (good + 1) / (row["n"] + 2)}
-        for i, (r, v) in enumerate(keys):
-            # one imagined document at the start's rate keeps rules that never vote out of the way
-            model[r, v, 1] = (row[f"g{i}"] + start[v, 1]) / (good + 1)
-            model[r, v, 0] = (row[f"b{i}"] + start[v, 0]) / (bad + 1)
-            if v == -1:
-                model[r, v, 1] = min(model[r, v, 1], max_false)
+        total, new = rows[0]["n"], {}
+        for c, row in rows.items():
+            rates = {}
+            for i, r in enumerate(rules):
+                against, for_ = first[c][1][r]
+                # one imagined document at the start's rate keeps the rates of rules that never vote off 0
+                prior = total + 1 if c == 0 else 1
+                rates[r] = ((row[f"against{i}"] + prior * against) / (row["all"] + prior),
+                            (row[f"for{i}"] + for_) / (row["all"] + 1))
+            new[c] = ((row["all"] + 1) / (total + len(model)), rates)
+        model = dict(sorted(new.items()))
     return model
 
 
-def score_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5, rounds: int = 15,
-                  max_false: float = 0.005, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5, rounds: int = 30,
+                  noise: float = 0.005, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs`` its id, the counts, a vote per rule (``v_<rule>``), ``p_good``, ``base_failed`` and ``kept``.
 
     ``base_failed``: fewer than 10 words, or over 20% of the words in repeated windows.
@@ -168,8 +187,9 @@ def score_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: f
     names = [f"v_{r.name}" for r in rules]
     votes = written(counts(docs, id_col, text_col).withColumns({f"v_{r.name}": r.vote() for r in rules}),
                     "quality-votes")
-    model = fit(votes, names, rounds, max_false)
+    model = fit(votes, names, rounds, noise)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (votes.withColumn("p_good", _posterior(model, names)).withColumn("base_failed", failed)
+    return (_posteriors(votes, model, "p_good").withColumn("p_good", F.col("p_good")[0])
+            .withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold))
             .withColumnRenamed("id", id_col))
