@@ -16,8 +16,8 @@ The benchmark is read in blocks of about ``block_words`` words (by a hash of the
 holds is bounded however large it grows; every block makes two passes over the corpus without a shuffle of
 texts, only the n-gram counts are aggregated.
 
-Defined cases: null and empty texts and items without words match nothing; an item of fewer than ``n``
-words is one seed; a score from ``threshold`` up is the best there is, a lower one that of the places aligned, 0 if none; of equal scores the smaller item id wins (null last); repeated rows are decided alike.
+Defined cases: null and empty texts and items without words match nothing; items of a few words are held to
+the same threshold (at 0.5 one word of an item of two is enough); a score from ``threshold`` up is the best there is, a lower one that of the places aligned, 0 if none; of equal scores the smaller item id wins (null last); repeated rows are decided alike.
 """
 
 from __future__ import annotations
@@ -104,12 +104,10 @@ class Seeds:
 
 def _gram(length: int, n: int, threshold: float) -> tuple[int, int, int]:
     """``(q, least, edits)`` of an item: its seeds' words, how many q-grams must stay, and the most edits."""
-    if length < n:
-        return length, 1, length
     score = max(1, math.ceil(threshold * length - 1e-9))
     edits = max(0, length - score)
     stay = lambda q: score - (q - 1) - max(q - 2, 0) * edits
-    q = next(q for q in range(n, 0, -1) if stay(q) > 0)
+    q = next(q for q in range(min(n, length), 0, -1) if stay(q) > 0)
     return q, stay(q), edits
 
 
