@@ -1,6 +1,7 @@
 """Operator 1: sharding along a Hilbert curve over document metadata.
 
-Every dimension is quantised into ``2**bits`` cells at the quantiles of the whole table, the cells
+Every dimension is quantised into ``2**bits`` cells at the quantiles of the whole table (strings by their
+whole values), the cells
 give each row a place on a Hilbert curve, the rows are sorted along it and the order is cut into
 runs of near equal bytes.  Neighbours on the curve are close in every dimension, so a shard (and each
 file cut from it) covers a small box of the metadata space and min/max statistics prune files on any
@@ -26,13 +27,31 @@ from pyspark.sql import types as T
 from .common import ordered_totals, ship_package, written
 
 
-def _code(df: DataFrame, dim: str) -> Column:
-    """A number that orders a dimension: numbers as they are, strings by their first seven bytes."""
-    kind = df.schema[dim].dataType
-    if isinstance(kind, (T.NumericType, T.BooleanType)):
+def _is_number(df: DataFrame, dim: str) -> bool:
+    return dim == "size" or isinstance(df.schema[dim].dataType, (T.NumericType, T.BooleanType))
+
+
+def _string_edges(docs: DataFrame, dim: str, steps: int) -> list[str]:
+    """The values, whole, at the ``steps`` quantiles of a column of strings: the distinct values are counted and
+    their counts summed up in order, and only the values on which a quantile falls reach the driver."""
+    counts = (docs.select(F.col(dim).cast("string").alias("v")).filter(F.col("v").isNotNull())
+              .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
+    laid = written(ordered_totals(counts, ["v"], {"before": F.col("n")}, "hilbert-values"), "hilbert-quantiles")
+    total = laid.agg(F.sum("n")).first()[0] or 0
+    want = sorted({-(-total * i // (steps + 1)) for i in range(1, steps + 1)} - {0})
+    if not want:
+        return []
+    hit = F.exists(F.array(*[F.lit(w) for w in want]),
+                   lambda w: (w > F.col("before")) & (w <= F.col("before") + F.col("n")))
+    return [r["v"] for r in laid.filter(hit).orderBy("v").select("v").collect()]  # at most ``steps``
+
+
+def _code(docs: DataFrame, dim: str, edges: list[str] | None) -> Column:
+    """A number that orders a dimension: numbers as they are, strings by how many of ``edges`` are below them."""
+    if edges is None:
         return F.col(dim).cast("double")
-    raw = F.rpad(F.hex(F.substring(F.encode(F.col(dim).cast("string"), "utf-8"), 1, 7)), 14, "0")
-    return F.conv(raw, 16, 10).cast("double")
+    below = sum((F.when(F.col(dim).cast("string") > F.lit(e), 1).otherwise(0) for e in edges), F.lit(0))
+    return F.when(F.col(dim).isNotNull(), below.cast("double"))
 
 
 def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -92,7 +111,8 @@ def _assigned(docs: DataFrame, n_shards: int, dims: tuple[str, ...], bits: int,
     ship_package(docs.sparkSession)
     bits = min(bits, 62 // len(dims))
     base = docs.withColumn("__size", (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long"))
-    codes = [F.col("__size").cast("double") if d == "size" else _code(docs, d) for d in dims]
+    strings = {d: _string_edges(docs, d, 2 ** bits - 1) for d in dims if not _is_number(docs, d)}
+    codes = [F.col("__size").cast("double") if d == "size" else _code(docs, d, strings.get(d)) for d in dims]
     base = written(base.select(
         F.col(id_col).alias("__id"), F.col("__size"), F.crc32(F.coalesce(F.col(text_col), F.lit(""))).alias("__crc"),
         F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("__same"),
@@ -101,7 +121,9 @@ def _assigned(docs: DataFrame, n_shards: int, dims: tuple[str, ...], bits: int,
     steps = [i / 2 ** bits for i in range(1, 2 ** bits)]
     edges = base.agg(*[F.percentile_approx(f"__codes.c{i}", steps, 10000).alias(f"e{i}")
                        for i in range(len(dims))]).first()
-    place = _curve([list(e or []) for e in edges], bits)
+    # a string's code is its cell already
+    place = _curve([[float(c) for c in range(2 ** bits - 1)] if d in strings else list(e or [])
+                    for d, e in zip(dims, edges)], bits)
 
     # written, so that the join below is between two plain exchanges, whose hot groups AQE can split
     firsts = written(base.groupBy("__same").agg(F.count(F.lit(1)).alias("n"),
