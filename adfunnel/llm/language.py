@@ -5,9 +5,10 @@ vector of length 1.  First one linear model per language family (one against the
 then, within it, one-versus-one linear support vector machines, one for each pair of languages,
 vote, ties by summed margins.  All are fitted with squared hinge loss by accelerated gradient steps.
 
-Learning: a bounded sample of labelled texts, ``per_lang`` for each language (the rows of least hash), whose
-features are made on the executors.  Only the sample's features and the models pass through the driver
-(``per_lang * languages * dims`` floats).  Families are a fixed table; a language that is not in it is a
+Learning: a bounded sample of labelled texts, ``per_lang`` different ones for each language (those of least hash), whose
+features are made and written by the executors.  Every label gets its models.  A model is fitted in a task of its own, on
+``most_rows`` of those texts at most, the same number of each language; only the models
+(``dims`` floats each) pass through the driver.  Families are a fixed table; a language that is not in it is a
 family of its own.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; without any labelled text
@@ -26,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import ship_package, whole_text
+from .common import ship_package, whole_text, written
 
 #: Language codes by family.
 FAMILIES = {
@@ -136,48 +137,73 @@ def _features_of(dims: int):
             for at, end, data, firsts in hashing.byte_batches(batch.column("text"), most=256):
                 x = features(data, firsts, dims)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), dims).cast(pa.list_(pa.float32()))
-                yield pa.RecordBatch.from_arrays([batch.column("lang").slice(at, end - at), lists],
-                                                 names=["lang", "x"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("lang").slice(at, end - at), batch.column("k").slice(at, end - at), lists],
+                    names=["lang", "k", "x"])
 
     return make
 
 
-def learn(labelled: DataFrame, per_lang: int = 500, dims: int = 2048, max_langs: int = 200, id_col: str = "doc_id",
-          text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on ``per_lang`` texts with letters of each language of ``labelled`` (the ``max_langs`` most frequent)."""
-    ship_package(labelled.sparkSession)
+def _fit_group(dims: int):
+    """One model: the rows of a group in the order of language and turn, so that a rerun gives the same weights."""
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("lang", "ascending"), ("k", "ascending")])
+        x = table.column("x").combine_chunks().flatten().to_numpy().reshape(-1, dims)
+        w, b = fit_svm(x, table.column("y").to_numpy().astype(np.float32))
+        return pa.table({"model": table.column("model").slice(0, 1), "w": pa.array([w], pa.list_(pa.float32())),
+                         "b": pa.array([b], pa.float64())})
+
+    return fit
+
+
+def _sample(labelled: DataFrame, per_lang: int, text_col: str, lang_col: str) -> DataFrame:
+    """``lang, text, k``: of every language the ``per_lang`` different texts with letters of least hash, ``k`` from 1."""
     rows = (labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-                            F.xxhash64(text_col, id_col).alias("turn"))
+                            F.xxhash64(text_col).alias("turn"))
             .filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
-    # thin by hash first, so that the ordering sees a bounded number of rows
-    share = F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, (2.0 * per_lang + 100) / n)]) \
-        if sizes else F.lit(None).cast("map<string,double>")
-    thin = rows.filter(F.pmod("turn", F.lit(1 << 40)) < F.element_at(share, F.col("lang")) * float(1 << 40)) \
-        .dropDuplicates(["lang", "turn"])
+    # thin by hash first, so that the ordering sees a bounded number of rows of a language with many
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("turn").alias("n")).collect()}
+    shares = {lang: (2.0 * per_lang + 100) / n for lang, n in sizes.items() if n > 2 * per_lang + 100}
+    if shares:
+        share = F.element_at(F.create_map(*[F.lit(v) for kv in sorted(shares.items()) for v in kv]), F.col("lang"))
+        rows = rows.filter(F.pmod("turn", F.lit(1 << 40)) < F.coalesce(share, F.lit(1.0)) * float(1 << 40))
     first = W.partitionBy("lang").orderBy("turn")
-    sample = thin.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_lang).select("lang", "text")
-    got = sample.mapInArrow(_features_of(dims), "lang string, x array<float>").toArrow()
-    langs = np.array(got.column("lang").to_pylist(), object)
-    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, dims) if len(langs) else np.zeros((0, dims))
+    return (rows.dropDuplicates(["lang", "turn"]).withColumn("k", F.row_number().over(first))
+            .filter(F.col("k") <= per_lang).select("lang", "text", "k"))
+
+
+def learn(labelled: DataFrame, per_lang: int = 500, dims: int = 2048, most_rows: int = 10000,
+          text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Fit on ``per_lang`` different texts with letters of each language of ``labelled``."""
+    spark = labelled.sparkSession
+    ship_package(spark)
+    sample = written(_sample(labelled, per_lang, text_col, lang_col)
+                     .mapInArrow(_features_of(dims), "lang string, k int, x array<float>"), "language-sample")
     model = Model(dims)
-    for lang in sorted(set(langs.tolist())):
+    for lang in sorted(r["lang"] for r in sample.select("lang").distinct().collect()):
         model.langs.setdefault(family_of(lang), []).append(lang)
     model.families = sorted(model.langs)
-    fams = np.array([family_of(t) for t in langs], object)
-    parts = [fit_svm(x, np.where(fams == f, 1.0, -1.0).astype(np.float32)) if len(model.families) > 1
-             else (np.zeros(dims, np.float32), 0.0) for f in model.families]
+    tasks = []  # (model, language, label, rows of the language): a language against those of other families, or one
+    n_langs = sum(map(len, model.langs.values()))
+    if len(model.families) > 1:
+        tasks += [(i, lang, 1 if f == own else -1, max(1, most_rows // n_langs))
+                  for i, f in enumerate(model.families) for own in model.families for lang in model.langs[own]]
     for f in model.families:
         names = model.langs[f]
         for i, a in enumerate(names):
             for b in names[i + 1:]:
-                there = (langs == a) | (langs == b)
+                at = len(model.families) + len(model.pairs)
+                tasks += [(at, a, 1, most_rows // 2), (at, b, -1, most_rows // 2)]
                 model.pairs.append((f, a, b))
-                parts.append(fit_svm(x[there], np.where(langs[there] == a, 1.0, -1.0).astype(np.float32)))
-    if parts:
-        model.weights = np.stack([w for w, _ in parts], axis=1)
-        model.bias = np.array([b for _, b in parts])
+    n = len(model.families) + len(model.pairs)
+    model.weights, model.bias = np.zeros((dims, n), np.float32), np.zeros(n)
+    if tasks:
+        wanted = spark.createDataFrame(tasks, "model int, lang string, y int, most int")
+        fitted = (sample.join(wanted, "lang").filter(F.col("k") <= F.col("most")).select("model", "lang", "k", "y", "x")
+                  .groupBy("model").applyInArrow(_fit_group(dims), "model int, w array<float>, b double"))
+        for r in fitted.collect():
+            model.weights[:, r["model"]], model.bias[r["model"]] = r["w"], r["b"]
     return model
 
 
