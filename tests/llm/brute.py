@@ -137,3 +137,29 @@ def smith_waterman(a, b):
 def folded(text: str):
     """Words as decontamination reads them."""
     return re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").translate(LOWER))
+
+
+def quality_em(patterns, n_rules, rounds=30, noise=0.005):
+    """{votes: n} to {votes: probability of good}: class 0 good, class k the junk of rule k - 1."""
+    total = sum(patterns.values())
+    start = [[(noise, 0.8)] * n_rules] + [[(0.8, 0.1) if r == k else (0.2, 0.4) for r in range(n_rules)]
+                                          for k in range(n_rules)]
+    share, rates = [0.8] + [0.2 / n_rules] * n_rules, start
+
+    def posterior(votes):
+        like = [s * math.prod(m[r][0] if v < 0 else m[r][1] for r, v in enumerate(votes) if v)
+                for s, m in zip(share, rates)]
+        return [x / sum(like) for x in like]
+
+    for _ in range(rounds):
+        p = {v: posterior(v) for v in patterns}
+        held = [sum(n * p[v][c] for v, n in patterns.items()) for c in range(n_rules + 1)]
+        new = []
+        for c in range(n_rules + 1):
+            prior = total + 1 if c == 0 else 1
+            against, for_ = ([sum(n * p[v][c] for v, n in patterns.items() if v[r] == side) for r in range(n_rules)]
+                             for side in (-1, 1))
+            new.append([((against[r] + prior * start[c][r][0]) / (held[c] + prior),
+                         (for_[r] + start[c][r][1]) / (held[c] + 1)) for r in range(n_rules)])
+        share, rates = [(h + 1) / (total + n_rules + 1) for h in held], new
+    return {v: posterior(v)[0] for v in patterns}

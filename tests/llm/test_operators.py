@@ -1,5 +1,9 @@
 """The training-data operators against brute force: sf0.001 and a table of odd rows."""
 
+import itertools
+from collections import Counter
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +59,31 @@ def test_hilbert_shards(docs, rows):
         assert abs(sum(r["size"] for r in mine) - total / 4) <= most + 0.02 * total / 4
 
 
+@pytest.mark.parametrize("bits,dims", [(1, 2), (3, 2), (2, 3), (4, 1)])
+def test_hilbert_curve(bits, dims):
+    """Every cell once, each next to the one before it in one dimension."""
+    cells = np.array(list(itertools.product(range(2 ** bits), repeat=dims)))
+    index = hilbert.curve_index(cells, bits)
+    assert sorted(index) == list(range(len(cells)))
+    path = cells[np.argsort(index)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_hilbert_strings_are_told_apart_whole(spark):
+    """Sources with a long common beginning lie apart on the curve; the cells are those of the value's rank."""
+    rows = [(i, "t" * 50, f"https://site{i % 50:03d}.org" if i % 10 else None) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = hilbert.hilbert_shards(docs, 4, dims=("source",), bits=4).collect()
+    values = sorted(s for _, _, s in rows if s is not None)
+    edges = sorted({values[-(-len(values) * i // 16) - 1] for i in range(1, 16)})
+    want = {i: sum(e < s for e in edges) if s else 0 for i, _, s in rows}
+    first = min(i for i, _, _ in rows)
+    assert len(set(want.values())) == 16 and {r["curve"] for r in out} == {want[first]}  # equal texts: one place
+    docs = docs.withColumn("text", F.concat("text", F.col("doc_id").cast("string")))
+    out = hilbert.hilbert_shards(docs, 4, dims=("source",), bits=4).collect()
+    assert {r["doc_id"]: r["curve"] for r in out} == want
+
+
 def test_line_dedup_and_runs(docs, rows):
     out = line_dedup.dedup_lines(docs, min_docs=3, n_batches=5, fanout=2).collect()
     assert _sorted(tuple(r) for r in out) == _sorted(brute.line_dedup(rows, 3))
@@ -86,6 +115,32 @@ def test_quality(docs, rows):
     cols = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     assert _sorted((r["doc_id"], *[r[c] for c in cols]) for r in out) == _sorted((i, *brute.quality(t)) for i, t in rows)
     assert all(not r["kept"] for r in out if r["base_failed"])
+    names = [f"v_{r.name}" for r in quality.RULES]
+    want = brute.quality_em(Counter(tuple(r[n] for n in names) for r in out), len(names))
+    assert all(abs(want[tuple(r[n] for n in names)] - r["p_good"]) < 1e-6 for r in out)
+    assert all(r["kept"] == (not r["base_failed"] and r["p_good"] >= 0.5) for r in out)
+
+
+def test_quality_posterior_weighs_votes(spark):
+    """A rare vote against that no other rule supports is an error of its rule; one that others support, or that
+    is common, is not: the posterior is no all-must-pass filter."""
+    patterns = {(1, 1, 1): 900, (1, 1, -1): 2, (1, 0, 1): 40, (-1, 1, 1): 60, (-1, 1, -1): 40, (1, -1, -1): 30,
+                (0, 0, 0): 3}
+    rules = ["a", "b", "c"]
+    votes = spark.createDataFrame([v for v, n in patterns.items() for _ in range(n)], "a int, b int, c int")
+    model = quality.fit(votes, rules)
+    got = {(r["a"], r["b"], r["c"]): r["p"][0] for r in quality._posteriors(votes.distinct(), model, "p").collect()}
+    want = brute.quality_em(patterns, 3)
+    assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-9 for v in got)
+    assert {v for v in got if got[v] >= 0.5} == {(1, 1, 1), (1, 1, -1), (1, 0, 1), (0, 0, 0)}
+
+
+def test_quality_counts_of_many_repeated_windows(spark):
+    """Texts on both sides of the 64 repeated windows from which their places are found by sorting."""
+    rows = [(n, " ".join([f"w{i}" for i in range(n)] * 2 + [f"x{i}" for i in range(7)] + [f"w{i}" for i in range(n // 2)]))
+            for n in (4, 5, 63, 66, 67, 68, 69, 70, 200, 900)]
+    out = quality.counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["id"]: r["n_repeat_words"] for r in out} == {i: brute.quality(t)[4] for i, t in rows}
 
 
 def test_near_duplicates_in_crowded_buckets(spark):
@@ -139,6 +194,17 @@ def test_language_odd(docs):
     assert und == {100001, 100002, 100003, 100011} and all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_language_learns_every_label(spark):
+    """More labels than any fixed number of models would hold, the rare ones with two texts each; ids play no part."""
+    codes = [f"{a}{b}" for a in "kqwxzjv" for b in "abcdefghijklmnopqrstuvwxyz"] + [f"q{a}q" for a in "abcdefghijklmnopqrstuvwxyz"]
+    rows = [(f"{c}{c}o {c}la {c}{c}{c} {c}mi" * 4 + " end" * i, c, 1000 * i) for c in codes for i in range(2)]
+    train = spark.createDataFrame(rows, "text string, lang string, doc_id long")
+    model = language.learn(train, dims=256)
+    assert sum(map(len, model.langs.values())) == len(codes) > 200
+    out = language.identify(train, model, {"lang": F.col("lang")}).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in out) >= 0.9 * len(out)
+
+
 def test_mixing(docs, rows):
     out = mixing.mix_sources(docs).collect()
     sizes = {}
@@ -200,6 +266,24 @@ def test_contamination_of_edited_copies_alone(spark, copies):
     assert got == want and len(want) > 0.8 * len(texts)
 
 
+def test_contamination_of_short_items(spark):
+    """Items of one to five words, verbatim, edited and absent, in texts of other words."""
+    items = {0: "solo", 1: "twin words", 2: "alpha beta gamma", 3: "one two three four", 4: "p q r s t", 5: ""}
+    texts = {0: "alpha beta zzz more", 1: "alpha zzz gamma", 2: "x solo y", 3: "one two nine four", 4: "p q r", 5: "p t s",
+             6: "nothing here", 7: "words twin", 8: "beta gamma", 9: "q r x s t", 10: "", 11: "two", 12: "three four"}
+    out = decontaminate.contamination(
+        spark.createDataFrame(list(texts.items()), "doc_id long, text string"),
+        spark.createDataFrame(list(items.items()), "item_id long, text string"), {"doc_id": F.col("doc_id")}).collect()
+    got = {r["doc_id"]: (r["item_id"], round(r["score"], 9)) for r in out if r["contaminated"]}
+    want = {}
+    for d, t in texts.items():
+        score, item = max((brute.smith_waterman(x.split(), t.split()) / len(x.split()), -i)
+                          for i, x in items.items() if x)
+        if score >= 0.5:
+            want[d] = (-item, round(score, 9))
+    assert got == want and got[0] == (2, round(2 / 3, 9))
+
+
 def test_licences(docs):
     path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.col("doc_id").cast("string"))
     out = {r["doc_id"]: r for r in licenses.scan_licences(docs, path).collect()}
