@@ -140,25 +140,32 @@ def licence_units(docs: DataFrame, templates, texts, threshold: float = 0.7, id_
             .filter(some(F.col("line"), short))
             .select("key", "line_no", F.posexplode(with_sentences(F.col("line"))).alias("piece", "unit")))
     unit = ["key", "line_no", "piece"]
-    # repeated rows make a unit's vector longer, its cosines stay
-    units = whole.unionByName(header).unionByName(line).filter(some(F.col("unit"), short | full))
+    units = (whole.unionByName(header).unionByName(line).filter(some(F.col("unit"), short | full))
+             .select("key", "line_no", "piece", F.size(words(F.col("unit"))).alias("n_words"),
+                     F.sort_array(tokens(F.col("unit"))).alias("ts")))
+    # the runs of equal tokens, counted inside the row, so that one row per unit and task is shuffled
+    units = units.withColumn("at", F.array_compact(F.transform(
+        "ts", lambda x, i: F.when((i == 0) | (x != F.get("ts", i - 1)), i))))
+    ends = F.concat(F.slice("at", F.lit(2), F.size("at")), F.array(F.size("ts")))
+    units = units.withColumn("runs", F.zip_with("at", ends, lambda i, end: F.struct(
+        F.get("ts", i).alias("token"), (end - i).alias("tf")))).drop("ts", "at")
     unit = [*unit, "n_words"]
-    units = units.select("key", "line_no", "piece", F.size(words(F.col("unit"))).alias("n_words"),
-                         tokens(F.col("unit")).alias("ts"))
-    terms = (units.withColumn("token", F.explode("ts")).groupBy(*unit, "token")
-             .agg(F.count(F.lit(1)).alias("tf")))
-    table = spark.createDataFrame([(t, float(w)) for t, w in idf.items()], "token string, idf double")
-    entries = spark.createDataFrame([(t, i, float(x)) for i, v in enumerate(vectors) for t, x in v.items()],
-                                    "token string, template int, weight double")
-    # the two tables are made of the templates alone, a few thousand rows
-    terms = terms.join(F.broadcast(table), "token", "left").withColumn(
-        "x", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
-    norms = terms.groupBy(*unit).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = (terms.join(F.broadcast(entries), "token").groupBy(*unit, "template")
-            .agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
-            .groupBy(*unit).agg(F.max(F.struct("dot", (-F.col("template")).alias("first"))).alias("best")))
+    # explode() would be given a filter that makes the array again, explode_outer() is not
+    terms = units.select(*unit, F.size("runs").alias("kinds"), F.explode_outer("runs").alias("r")) \
+        .select(*unit, "kinds", "r.token", "r.tf")
+    # a row per token of the templates, a few thousand, with its weight in each template
+    ids = range(len(vectors))
+    table = spark.createDataFrame([(t, float(w), *[v.get(t) for v in vectors]) for t, w in idf.items()],
+                                  "token string, idf double, " + ", ".join(f"w{i} double" for i in ids))
+    x = F.col("tf") * F.coalesce("idf", F.lit(unseen))
+    sums = (terms.join(F.broadcast(table), "token", "left").groupBy(*unit)
+            .agg((F.count(F.lit(1)) / F.max("kinds")).alias("rows"), F.sum(x * x).alias("square"),
+                 *[F.sum(x * F.col(f"w{i}")).alias(f"dot{i}") for i in ids]))
+    # repeated rows add up in both sums, the dot product and the squared norm
+    dots = sums.select(*unit, F.sqrt(F.col("square") * F.col("rows")).alias("norm"), F.array_max(F.array(*[
+        F.struct(F.coalesce(f"dot{i}", F.lit(0.0)).alias("dot"), F.lit(-i).alias("first")) for i in ids])).alias("best"))
     names = F.array(*[F.lit(n) for n, _ in every])
-    return (dots.join(norms, unit).withColumn("score", F.least(F.lit(1.0), F.col("best.dot") / F.col("norm")))
+    return (dots.withColumn("score", F.least(F.lit(1.0), F.col("best.dot") / F.col("norm")))
             .filter(F.col("score") >= threshold - 1e-9)
             .select(*unit, names[-F.col("best.first")].alias("license"), "score"))
 
