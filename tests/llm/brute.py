@@ -163,3 +163,61 @@ def quality_em(patterns, n_rules, rounds=30, noise=0.005):
                          (for_[r] + start[c][r][1]) / (held[c] + 1)) for r in range(n_rules)])
         share, rates = [(h + 1) / (total + n_rules + 1) for h in held], new
     return {v: posterior(v)[0] for v in patterns}
+
+
+def licence_hits(rows, every, header, stop, threshold=0.7, file_share=0.5):
+    """(id, path, text) rows to {id: (own licence, score, is a licence file, licence, found in)}: all units of all
+    texts against all templates."""
+    split = lambda t: re.findall("[a-z0-9]+", t.lower())
+    df, n = Counter(), len(rows)
+    for _, _, t in rows:
+        df.update(set(split(t or "")))
+    vocabulary = {t for _, text in every for t in split(text)}
+    idf = lambda t: math.log((1 + n) / (1 + (df[t] if t in vocabulary else 0))) + 1
+    vector = lambda text: {t: c * idf(t) for t, c in Counter(split(text)).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    vectors = [(name, v, norm(v)) for name, v in ((name, vector(text)) for name, text in every)]
+
+    def best(text):
+        u = vector(text)
+        if not u:
+            return 0.0, None
+        scores = [sum(x * v.get(t, 0.0) for t, x in u.items()) / norm(u) / vn for _, v, vn in vectors]
+        at = max(range(len(scores)), key=lambda i: (round(scores[i], 12), -i))
+        return scores[at], vectors[at][0]
+
+    def pieces(text):
+        parts = re.split(stop, text)
+        return [text, *parts] if len(parts) > 1 else [text]
+
+    files = {}
+    for i, path, text in rows:
+        text, found, words = text or "", [], 0
+        m = re.search(header, text)
+        groups = [(-2, [text]), (-1, pieces(m.group(0) if m else "")), *enumerate(map(pieces, text.split("\n")))]
+        for line, units in groups:
+            hits = [(k, *best(u), len(WORD.findall(u))) for k, u in enumerate(units)]
+            hits = [h for h in hits if h[1] >= threshold - 1e-9]
+            found += [(round(score, 9), -line, -k, name) for k, score, name, _ in hits]
+            if line >= 0 and hits:
+                words += max(sum(w for k, _, _, w in hits if k), max([0] + [w for k, _, _, w in hits if not k]))
+        top = max(found, default=(None, None, None, None))
+        total = len(WORD.findall(text))
+        speaks = any(f[1] == 2 for f in found) or (bool(found) and words > 0 and words >= file_share * total)
+        files[i] = (path, top[3], top[0], speaks)
+    spoken = {}
+    for i, (path, own, score, speaks) in files.items():
+        if speaks:
+            folder = path.rpartition("/")[0]
+            spoken[folder] = max(spoken.get(folder, (-1, 0, "")), (score, -i, own))
+    out = {}
+    for i, (path, own, score, speaks) in files.items():
+        up, found = path.rpartition("/")[0], "file" if own else None
+        while not own and found is None:
+            if up in spoken:
+                own, found = spoken[up][2], up
+            elif not up:
+                break
+            up = up.rpartition("/")[0]
+        out[i] = (files[i][1], score, speaks, own, found)
+    return out

@@ -292,6 +292,26 @@ def test_licences(docs):
     assert out[100004]["license"] is None
 
 
+def test_licences_against_all_units(spark):
+    """All units against all templates: ties between templates and files, repeated rows, nulls, nested directories."""
+    rows = [(r["doc_id"], f"{r['source']}/{r['lang']}/{r['doc_id']}", r["text"])
+            for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    full = dict(licenses.full_texts())
+    mit, gpl = "Released under the MIT License.", licenses.TEMPLATES[5][1]
+    rows += [(1000, "t/LICENSE", mit), (1001, "t/COPYING", mit), (1002, "t/a/b/c.py", "plain words of code here"),
+             (1003, "t/a/LICENSE", gpl), (1004, "t/a/x.py", None), (1005, "t/y.py", ""),
+             (1006, "top.txt", full["MIT"]), (1007, "u/v.py", f"# Some file. {mit}\n\nvalue = 1\nother = 2\nmore = 3"),
+             (1008, "u/w.py", "License Version MIT GPL General Public"), (1009, "u/z.py", " ".join([mit] * 40))]
+    docs = spark.createDataFrame([*rows, rows[-2], rows[-3], rows[-3]], "doc_id long, path string, text string")
+    out = licenses.scan_licences(docs, F.col("path")).collect()
+    assert len(out) == len(rows) + 3
+    got = {r["doc_id"]: (r["own_license"], r["score"] and round(r["score"], 6), r["is_license_file"], r["license"],
+                         r["found_in"]) for r in out}
+    want = brute.licence_hits([*rows, rows[-2], rows[-3], rows[-3]],
+                              (*licenses.TEMPLATES, *licenses.full_texts()), licenses.HEADER, licenses.STOP)
+    assert got == {i: (w[0], w[1] and round(w[1], 6), *w[2:]) for i, w in want.items()}
+
+
 def test_licence_headers_and_full_texts(spark):
     """A complete licence text speaks for its directory; wrapped and shared-line notices are found."""
     full = dict(licenses.full_texts())
