@@ -75,10 +75,24 @@ def _split(text: str) -> list[str]:
     return re.findall("[a-z0-9]+", text.lower())
 
 
+def _either(choices: set[str]) -> str:
+    """A regular expression for one of some words of letters and digits, common beginnings first: a text is
+    compared with each beginning once, not with each word."""
+    rests: dict[str, set[str]] = {}
+    for w in choices - {""}:
+        rests.setdefault(w[0], set()).add(w[1:])
+    if not rests:
+        return ""
+    branches = "|".join(c + _either(rest) for c, rest in sorted(rests.items()))
+    return f"(?:{branches}){'?' if '' in choices else ''}"
+
+
 def _weights(docs: DataFrame, templates, text_col: str) -> tuple[dict[str, float], float]:
     """IDF of the templates' tokens over all documents, and that of a token never seen."""
     vocabulary = sorted({t for _, text in templates for t in _split(text)})
-    held = F.array_intersect(tokens(whole_text(text_col)), F.split(F.lit(" ".join(vocabulary)), " "))
+    # empty pieces of the split are no tokens of the templates
+    held = F.array_intersect(F.split(F.lower(whole_text(text_col)), "[^a-z0-9]+"),
+                             F.split(F.lit(" ".join(vocabulary)), " "))
     # explode() would be given a filter that makes the array again, explode_outer() is not
     df = {r["token"]: r["n"] for r in docs.select(F.explode_outer(held).alias("token"))
           .filter(F.col("token").isNotNull()).groupBy("token")
@@ -124,7 +138,8 @@ def licence_units(docs: DataFrame, templates, texts, threshold: float = 0.7, id_
     full = {t for v in vectors[len(templates):] for t in _must_hold(v, threshold, common)}
 
     def some(text: Column, needed: set[str]) -> Column:
-        return F.lower(text).rlike(f"(?<![a-z0-9])(?:{'|'.join(sorted(needed))})(?![a-z0-9])") if needed else F.lit(False)
+        heads = "".join(sorted({w[0] for w in needed}))
+        return F.lower(text).rlike(f"(?<![a-z0-9])(?=[{heads}]){_either(needed)}(?![a-z0-9])") if needed else F.lit(False)
 
     def with_sentences(text: Column) -> Column:
         parts = F.split(text, STOP, -1)
