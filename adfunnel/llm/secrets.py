@@ -1,10 +1,10 @@
 """Operator 5: secret scan through a trigram inverted index.  Native DataFrame code.
 
-Each rule is a regular expression.  From its parts a Boolean trigram query is derived: an OR over its
-alternatives of an AND over the trigrams that every match of that alternative must hold (lower-cased, so a
-query holds for either case).  The inverted index keeps, for the trigrams that the queries name, the
-postings (document keys); the queries are answered by intersecting postings, and only the candidates are
-verified by the regular expression.  A rule without mandatory trigrams (hexadecimal runs) scans every text.
+Each rule is a regular expression.  From its syntax a Boolean trigram query is derived (``trigrams.derive``): an OR of
+ANDs of trigrams that the text of every match must hold (lower-cased, so a query holds for either case).  The
+inverted index keeps, for the trigrams that the queries name, the postings (document keys); the queries are
+answered by intersecting postings, and only the candidates are verified by the regular expression.  A rule without
+mandatory trigrams (hexadecimal runs) scans every text.
 
 Spans come from cutting the text at the rule's matches: the pieces between matches and the matches add up
 to the code-point offsets.  Matches are leftmost and non-overlapping per rule, found before the
@@ -16,6 +16,7 @@ postings; spans of different rules may overlap.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,45 +26,41 @@ from pyspark.sql import functions as F
 from adfunnel.session import new_scratch_path
 
 from .common import row_key, whole_text
+from .trigrams import derive
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``literals``: the alternatives, each the list of fixed strings that a match of it must contain.
-    ``group`` of the match must have ``least`` code points or more."""
+    """``group`` of a match must have ``least`` code points or more."""
     kind: str
     pattern: str
-    literals: tuple[tuple[str, ...], ...]
     group: int = 0
     least: int = 1
 
     def query(self) -> list[list[str]]:
-        """OR of ANDs of trigrams; empty if an alternative has no trigram, so that all is scanned.
+        """OR of ANDs of trigrams; empty if a match need not hold any, so that all is scanned."""
+        return derive(self.pattern)
 
-        Of a literal every third trigram and the last one, which cover it; overlapping ones add little.
-        """
-        cover = lambda s: {s[i:i + 3] for i in [*range(0, len(s) - 2, 3), len(s) - 3] if i >= 0}
-        clauses = [sorted(set().union(*[cover(s.lower()) for s in alt])) for alt in self.literals]
-        return clauses if all(clauses) else []
+    def search(self) -> str:
+        """The pattern that finds the spans.  The matches of one repeated class are its maximal runs, so there the
+        length test goes into the pattern and the runs that fail it are never made."""
+        run = re.fullmatch(r"\(?(\[[^]\[\\]+\])\+\)?", self.pattern)
+        return f"({run[1]}{{{self.least},}})" if run and self.group <= 1 else self.pattern
 
 
 #: The rules of the scan; the first three are the base set.
 RULES = (
-    Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-         (("password",), ("passwd",), ("secret",), ("token",), ("api_key",), ("apikey",)), 2, 6),
-    Rule("access", r"(AKIA[A-Z0-9]+)", (("AKIA",),), 0, 20),
-    Rule("hex", r"([0-9a-f]+)", ((),), 0, 24),
-    Rule("github", r"(gh[pousr]_[A-Za-z0-9]{36,})", (("ghp_",), ("gho_",), ("ghu_",), ("ghs_",), ("ghr_",))),
-    Rule("slack", r"(xox[baprs]-[A-Za-z0-9-]{10,})", (("xoxb-",), ("xoxa-",), ("xoxp-",), ("xoxr-",), ("xoxs-",))),
-    Rule("google", r"(AIza[0-9A-Za-z_-]{35})", (("AIza",),)),
-    Rule("stripe", r"((?:sk|rk)_live_[0-9A-Za-z]{16,})", (("sk_live_",), ("rk_live_",))),
-    Rule("private_key", r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)", (("BEGIN ", "PRIVATE KEY"),)),
+    Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    Rule("access", r"(AKIA[A-Z0-9]+)", 0, 20),
+    Rule("hex", r"([0-9a-f]+)", 0, 24),
+    Rule("github", r"(gh[pousr]_[A-Za-z0-9]{36,})"),
+    Rule("slack", r"(xox[baprs]-[A-Za-z0-9-]{10,})"),
+    Rule("google", r"(AIza[0-9A-Za-z_-]{35})"),
+    Rule("stripe", r"((?:sk|rk)_live_[0-9A-Za-z]{16,})"),
+    Rule("private_key", r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)"),
 )
 BASE = ("assign", "access", "hex")
 
-#: A cheaper form of a scanning rule that matches wherever a match passing the length test is, and nowhere else.
-_SCAN = {"hex": r"([0-9a-f]{24,})"}
-
 
 def write_index(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
                 text_col: str = "text") -> None:
@@ -76,8 +73,9 @@ def write_index(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, id_
     # the lambda's variable holds the lower-cased text, which is made once for all trigrams
     found = F.flatten(F.transform(F.array(F.lower(whole_text(text_col))), held))
     # explode() would be given a filter that makes the array again, explode_outer() is not
+    # rebalanced, so that a task writes few folders and a trigram in most texts is split over several tasks
     (docs.select(row_key(id_col, text_col).alias("key"), F.explode_outer(found).alias("trigram"))
-     .filter(F.col("trigram").isNotNull()).write.partitionBy("trigram").parquet(path))
+     .filter(F.col("trigram").isNotNull()).hint("rebalance", "trigram").write.partitionBy("trigram").parquet(path))
 
 
 def candidates(spark, path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -97,7 +95,7 @@ def candidates(spark, path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """Spans of one rule: array of (start, order, kind, end)."""
-    pattern = _SCAN.get(rule.kind, rule.pattern)
+    pattern = rule.search()
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.transform(F.split(text, pattern, -1), F.char_length)
     tested = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group)), F.char_length)
@@ -129,7 +127,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     none = F.expr("cast(array() as array<struct<start:int,ord:int,kind:string,end:int>>)")
     verified = []
     for i, r in enumerate(rules):
-        ask = F.array_contains("kinds", r.kind) if r.query() else text.rlike(_SCAN.get(r.kind, r.pattern))
+        ask = F.array_contains("kinds", r.kind) if r.query() else text.rlike(r.search())
         verified.append(F.when(ask, _spans(text, r, i)).otherwise(none))
     return (docs.select(F.col(id_col).alias("__id"), whole_text(text_col).alias("__text"),
                         row_key(id_col, text_col).alias("__key"))
