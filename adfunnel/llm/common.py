@@ -16,6 +16,8 @@ from adfunnel.session import new_scratch_path
 #: The white space of words and lines: space and U+0009 to U+000D (fixed values).
 WS = " \t\n\x0b\x0c\r"
 WS_CLASS = r"[\x20\x09-\x0D]"
+#: Rows of a file of a table whose number of rows is known.
+ROWS_A_FILE = 50_000
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -33,10 +35,16 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(shutil.make_archive(str(folder / "adfunnel"), "zip", folder / "src"))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: a lineage cut that survives lost
-    executors, and a table that later steps may read several times."""
+    executors, and a table that later steps may read several times.
+
+    ``most``: no more rows than that are known to come.  They go into files of ``ROWS_A_FILE``, one per core at least,
+    instead of one per shuffle partition; on a local disk each file makes its executor start two processes (``chmod``).
+    Only for the result of an aggregation, whose rows are dealt evenly."""
     spark = df.sparkSession
+    if most is not None:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, -(-most // ROWS_A_FILE)))
     path = new_scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

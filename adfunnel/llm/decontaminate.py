@@ -178,7 +178,7 @@ def _counter(seeds):
         s = seeds.value
         total = np.zeros(len(s.values), np.int64)
         for batch in batches:
-            for _, _, words, of in hashing.word_batches(batch.column("text"), fold=True):
+            for _, _, words, of in hashing.word_batches(batch.column("text"), 1 << 18, fold=True):
                 which, where = s.hits(words, of)
                 if len(which):
                     pairs = np.unique(of[where] * len(s.values) + which)

@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,8 +58,19 @@ def _fold_table() -> np.ndarray:
 _FOLD = _fold_table()
 
 
-def features(data: np.ndarray, firsts: np.ndarray, dims: int) -> np.ndarray:
-    """A row per text: square roots of the frequencies of its hashed bigrams and trigrams."""
+def features(data: np.ndarray, firsts: np.ndarray, dims: int, chunk: int = 1 << 17) -> np.ndarray:
+    """A row per text: square roots of the frequencies of its hashed bigrams and trigrams; the texts of about
+    ``chunk`` bytes at a time, as the arrays take some 60 times that."""
+    stops = np.append(firsts[1:], len(data))
+    out, at = np.zeros((len(firsts), dims), np.float32), 0
+    while at < len(firsts):
+        end = max(at + 1, int(np.searchsorted(stops, firsts[at] + chunk, side="right")))
+        out[at:end] = _features(data[firsts[at]:stops[end - 1]], firsts[at:end] - firsts[at], dims)
+        at = end
+    return out
+
+
+def _features(data: np.ndarray, firsts: np.ndarray, dims: int) -> np.ndarray:
     n = len(firsts)
     b = _FOLD[data]
     of = np.repeat(np.arange(n), np.diff(np.append(firsts, len(b))))
@@ -207,11 +219,11 @@ def learn(labelled: DataFrame, per_lang: int = 500, dims: int = 2048, most_rows:
     return model
 
 
-def _predictor(model: Model, undetermined: str):
+def _predictor(model: Model, undetermined: str, with_text: bool):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = [], []
-            for at, end, data, firsts in hashing.byte_batches(batch.column("text"), most=256):
+            for at, end, data, firsts in hashing.byte_batches(pc.fill_null(batch.column("text"), ""), most=256):
                 if not model.families:
                     got, score = [undetermined] * (end - at), np.zeros(end - at)
                 else:
@@ -221,20 +233,24 @@ def _predictor(model: Model, undetermined: str):
             has = batch.column("has").to_numpy(zero_copy_only=False)
             score = np.where(has, np.concatenate(scores) if scores else np.zeros(0), 0.0)
             langs = [x if h else undetermined for x, h in zip(langs, has)]
-            columns = [batch.column(i) for i in range(2, batch.num_columns)]
+            columns = batch.schema.names[1 if with_text else 2:]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(score, pa.float64()), *columns],
-                names=["lang_pred", "score", *batch.schema.names[2:]])
+                [pa.array(langs, pa.string()), pa.array(score, pa.float64()), *map(batch.column, columns)],
+                names=["lang_pred", "score", *columns])
 
     return predict
 
 
 def identify(docs: DataFrame, model: Model, keep: dict[str, Column], undetermined: str = "und",
-             text_col: str = "text") -> DataFrame:
-    """``lang_pred, score`` and the columns ``keep`` for every row; one pass, no shuffle."""
+             text_col: str = "text", text_as: str | None = None) -> DataFrame:
+    """``lang_pred, score`` and the columns ``keep`` for every row; one pass, no shuffle.  ``text_as``: the name under which
+    the text comes back too, so that it need not go to the workers a second time in ``keep``."""
     ship_package(docs.sparkSession)
-    fed = docs.select(whole_text(text_col).alias("text"), whole_text(text_col).rlike(r"\p{L}").alias("has"),
+    fed = docs.select(whole_text(text_col).rlike(r"\p{L}").alias("has"), F.col(text_col).alias("text"),
                       *[v.alias(f"k{i}") for i, v in enumerate(keep.values())])
-    kinds = ", ".join(f"k{i} {fed.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep)))
-    out = fed.mapInArrow(_predictor(model, undetermined), "lang_pred string, score double" + (kinds and ", " + kinds))
-    return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keep)], "lang_pred", "score")
+    kinds = [f"k{i} {fed.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep))]
+    if text_as:
+        kinds.insert(0, "text string")
+    out = fed.mapInArrow(_predictor(model, undetermined, bool(text_as)), ", ".join(["lang_pred string, score double", *kinds]))
+    return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keep)],
+                      *([F.col("text").alias(text_as)] if text_as else []), "lang_pred", "score")

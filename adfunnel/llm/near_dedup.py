@@ -46,6 +46,8 @@ from .components import components
 _NO_ID = 2 ** 63 - 1
 #: 64-bit words of the parity bitmaps of ``left_out``.
 _WORDS = 8
+#: Bytes of text that a worker hashes at a time; its arrays take some 50 times that.
+_CHUNK = 1 << 18
 
 
 def prob_minhash(h: np.ndarray, of: np.ndarray, weight: np.ndarray, n: int, m: int) -> np.ndarray:
@@ -84,7 +86,7 @@ def _signer(m: int, bands: int, k: int):
             # the bands of the counts, then those of the sets where they are others
             values = np.zeros((batch.num_rows, 2 * bands), np.int64)
             has = np.zeros((batch.num_rows, 2), bool)
-            for at, end, words, of in hashing.word_batches(batch.column("text")):
+            for at, end, words, of in hashing.word_batches(batch.column("text"), _CHUNK):
                 if not len(words):
                     continue
                 present, local = np.unique(of, return_inverse=True)
@@ -107,7 +109,7 @@ def _window_sets(k: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, sizes = [], np.zeros(batch.num_rows, np.int64)
-            for at, end, words, of in hashing.word_batches(batch.column("text")):
+            for at, end, words, of in hashing.word_batches(batch.column("text"), _CHUNK):
                 h, t, _ = hashing.counted(*hashing.shingles(words, of, k)) if len(words) else (words, of, None)
                 parts.append(h.view(np.int64))
                 sizes += np.bincount(t, minlength=batch.num_rows)
@@ -197,7 +199,9 @@ def candidate_pairs(signatures: DataFrame, bands: int, back: int = 2) -> tuple[D
         both = both.unionByName(o)
     pairs = (both.filter("x != y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
              .agg(F.count(F.lit(1)).alias("n")))
-    return pairs, crowded
+    n = {r["edge"]: r["n"] for r in found.groupBy(F.abs("edge").alias("edge")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    inner, border, large = (n.get(edge, 0) for edge in (0, 1, 2))
+    return (written(pairs, "near-candidates", inner + back * border), written(crowded, "near-crowded", large + border))
 
 
 def left_out(crowded: DataFrame, roots: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -264,9 +268,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, m: int
     # exact copies: the row with the least id speaks for them
     texts = written(signed.filter(F.size("bands") > 0).groupBy("copy")
                     .agg(F.min("ord").alias("ord"), F.first("bands").alias("bands"))
-                    .withColumn("node", F.xxhash64("copy")), "near-texts")
+                    .withColumn("node", F.xxhash64("copy")), "near-texts", signed.count())
     pairs, crowded = candidate_pairs(texts, bands)
-    pairs, crowded = written(pairs, "near-candidates"), written(crowded, "near-crowded")
 
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     speakers = texts.join(asked, "node", "left_semi").select("node", "copy", "ord")
@@ -280,7 +283,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, m: int
     ends = pairs.select(F.col("a").alias("node"), "a", "b", "n").unionByName(
         pairs.select(F.col("b").alias("node"), "a", "b", "n"))
     best = (ends.groupBy("node").agg(F.max(F.struct("n", "a", "b")).alias("p")).select("p.a", "p.b").distinct())
-    best = written(best, "near-best")
+    best = written(best, "near-best", texts.count())
     links = written(verified(best, sets, threshold), "near-links")
     roots = components(links)
     rest = (pairs.join(best, ["a", "b"], "left_anti")

@@ -24,10 +24,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what has no language; the languages are learnt from the labelled rows.
 
     The operator gives every text with a letter a language, so what this stage rejects is texts without one."""
-    names = {f"c{i}": F.col(_quoted(c)) for i, c in enumerate(docs.columns)}
-    found = language.identify(docs, language.learn(docs), names)
-    return (found.filter(F.col("lang_pred") != "und")
-            .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]))
+    rest = [c for c in docs.columns if c != "text"]
+    found = language.identify(docs, language.learn(docs), {f"c{i}": F.col(_quoted(c)) for i, c in enumerate(rest)},
+                              text_as="text")
+    at = {c: f"c{i}" for i, c in enumerate(rest)} | {"text": "text"}
+    return found.filter(F.col("lang_pred") != "und").select(*[F.col(at[c]).alias(c) for c in docs.columns])
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

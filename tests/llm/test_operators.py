@@ -1,15 +1,20 @@
 """The training-data operators against brute force: sf0.001 and a table of odd rows."""
 
 import itertools
+import tracemalloc
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from adfunnel.llm import (decontaminate, hilbert, language, licenses, line_dedup, mixing, near_dedup, quality, secrets,
                           token_counts)
 from adfunnel.llm import queries as Q
+from adfunnel.llm.components import components
+from adfunnel.session import local_path, scratch_dir
 
 from . import brute
 
@@ -181,6 +186,60 @@ def test_near_duplicates(docs, rows):
     assert sum(r["kept"] for r in out) == len(classes) + blank
 
 
+def test_small_tables_are_few_files(spark):
+    """A table of a few rows goes into a file per core at most, however many shuffle partitions there are."""
+    folder = Path(local_path(scratch_dir(spark)))
+    links = spark.createDataFrame([(i, i + 1) for i in range(2000) if i % 50], "a long, b long")
+    held = {"spark.sql.shuffle.partitions": "96", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in held}
+    before = set(folder.glob("links-*"))
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = {r["node"]: r["root"] for r in components(links).collect()}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert found == {i: (i - 1) // 50 * 50 + 1 for i in range(1, 2001)}
+    rounds = sorted(set(folder.glob("links-*")) - before, key=lambda p: p.stat().st_mtime)[2:]  # the first ones' sizes are not known
+    assert rounds and all(len(list(p.glob("part-*"))) <= spark.sparkContext.defaultParallelism for p in rounds)
+
+
+def _peak(make):
+    tracemalloc.start()
+    try:
+        out = make()
+        return tracemalloc.get_traced_memory()[1] / 1e6, out
+    finally:
+        tracemalloc.stop()
+
+
+def test_workers_take_texts_in_small_runs():
+    """The arrays made of a batch's bytes are many times its size: a worker makes them of a part of it at a time."""
+    texts = [LONG[i:i + 4000 + i] for i in range(0, 20000, 80)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    firsts = np.concatenate([[0], np.cumsum([len(t) for t in texts])[:-1]])
+    assert len(data) > 2 << 20
+    peak, got = _peak(lambda: language.features(data, firsts, 64))
+    assert peak < 20
+    assert np.array_equal(got, np.vstack([language.features(np.frombuffer(t.encode(), np.uint8), np.zeros(1, int), 64) for t in texts]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(["c"] * len(texts)), pa.array(texts)],
+                                       names=["ord", "copy", "text"])
+    sign = near_dedup._signer(80, 20, 5)
+    peak, got = _peak(lambda: next(sign(iter([batch]))))
+    assert peak < 40
+    alone = [next(sign(iter([batch.slice(i, 1)]))).column("bands")[0].as_py() for i in range(0, len(texts), 50)]
+    assert got.column("bands").take(pa.array(range(0, len(texts), 50))).to_pylist() == alone
+
+
+@pytest.mark.parametrize("text", ["plain words", "", None])
+def test_language_gives_the_text_back(spark, text):
+    docs = spark.createDataFrame([(1, text), (2, "andere woorden")], "doc_id long, text string")
+    out = language.identify(docs, language.Model(64), {"id": F.col("doc_id")}, text_as="body")
+    assert out.columns == ["id", "body", "lang_pred", "score"]
+    assert {(r["id"], r["body"]) for r in out.collect()} == {(1, text), (2, "andere woorden")}
+
+
 def test_language_held_out(spark):
     out = Q.op8_language_id(spark, "/root/testdata/sf0.01")
     langs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")

@@ -42,6 +42,12 @@ def test_language_stage_drops_texts_without_a_letter(spark, docs):
     assert got.columns == docs.columns and _rows(got) == want
 
 
+def test_language_stage_sends_the_text_to_the_workers_once(spark, docs):
+    plan = P.language_id(spark, docs, SF)._jdf.queryExecution().optimizedPlan().toString()
+    fed = re.search(r"MapInArrow predict\((.*?)\)", plan)[1]
+    assert len(re.findall(r"#\d+", fed)) == len(docs.columns) + 1  # all columns, and whether the text has a letter
+
+
 def test_near_dedup_stage_keeps_one_row_of_each_group(spark, docs):
     got, given = _rows(P.near_dedup_stage(spark, docs, SF)), _rows(docs)
     assert not got - given  # rows as they were, none twice
