@@ -44,12 +44,17 @@ def written(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     Only for the result of an aggregation, whose rows are dealt evenly."""
     spark = df.sparkSession
     if most is not None:
-        df = df.coalesce(max(spark.sparkContext.defaultParallelism, -(-most // ROWS_A_FILE)))
+        df = joined_up(df, most)
     path = new_scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def joined_up(df: DataFrame, most: int) -> DataFrame:
+    """``df``, of ``most`` small rows at most, in partitions of ``ROWS_A_FILE``, but one per core at least; no shuffle."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-most // ROWS_A_FILE)))
+
+
 def whole_text(col: str = "text") -> Column:
     """The text, null read as empty."""
     return F.coalesce(F.col(col), F.lit(""))

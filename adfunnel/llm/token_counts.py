@@ -32,7 +32,13 @@ from pyspark.sql import functions as F
 
 from adfunnel.session import new_scratch_path
 
-from .common import WS, ship_package, whole_text, written
+from .common import WS, joined_up, ship_package, whole_text, written
+
+
+#: Rows of a file of digests or counts, about 100 bytes each.  The tasks that hash or encode texts write no files: such
+#: tables would have one for each of them, and on a local disk each makes its executor start two processes (``chmod``),
+#: which count as large as the executor until they begin.
+_ROWS = 250_000
 
 
 def tokenizer_version(path: str, split_words: bool = True) -> str:
@@ -155,18 +161,23 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     if split_words:
         content = F.replace(F.btrim(content, F.lit(WS)), F.lit("\r\n"), F.lit("\n"))
     digest = F.sha2(content, 256)
-    order = F.coalesce(F.col(id_col), F.lit(-2 ** 63))
-    base = written(docs.select(F.col(id_col).alias("id"), order.alias("ord"), digest.alias("digest"),
-                               F.octet_length(whole_text(text_col)).cast("long").alias("n_bytes")), "token-digests")
+    order = lambda c: F.coalesce(F.col(c), F.lit(-2 ** 63))
+    n, files = docs.count(), lambda rows: max(1, -(-rows // _ROWS))
+    base = written(docs.select(F.col(id_col).alias("id"), digest.alias("digest"),
+                               F.octet_length(whole_text(text_col)).cast("long").alias("n_bytes"))
+                   .repartition(files(n)), "token-digests")
 
     # one document speaks for each missing digest
-    missing = (base.groupBy("digest").agg(F.min("ord").alias("ord"))
-               .join(stored_counts(spark, cache_path, version), "digest", "left_anti"))
-    texts = docs.select(order.alias("ord"), digest.alias("digest"), content.alias("content"))
+    missing = written(base.groupBy("digest").agg(F.min(order("id")).alias("ord"))
+                      .join(stored_counts(spark, cache_path, version), "digest", "left_anti").coalesce(files(n)),
+                      "token-missing")
+    texts = docs.select(order(id_col).alias("ord"), digest.alias("digest"), content.alias("content"))
     fresh = (texts.join(missing, ["digest", "ord"], "left_semi").select("digest", "content")
              .mapInArrow(partial(_count, path=tokenizer_path, version=version, split_words=split_words, memo=memo),
                          "digest string, n_tokens long"))
+    fresh = fresh.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")).coalesce(files(missing.count()))
     (fresh.select("digest", F.lit(version).alias("tokenizer"), "n_tokens")
      .write.mode("append").parquet(cache_path))
     counts = stored_counts(spark, cache_path, version)
-    return base.join(counts, "digest", "left").select(F.col("id").alias(id_col), "n_bytes", "digest", "n_tokens")
+    found = base.join(counts, "digest", "left").select(F.col("id").alias(id_col), "n_bytes", "digest", "n_tokens")
+    return joined_up(found, n)

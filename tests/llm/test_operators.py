@@ -115,6 +115,37 @@ def test_token_counts(docs, rows, tmp_path):
     assert _sorted(map(tuple, again)) == _sorted(map(tuple, out))
 
 
+def test_token_counts_write_few_files(spark, tmp_path):
+    """However many tasks hash and encode, the small tables and each append to the cache go into few files.
+    A later run appends only what is new, and no digest is stored twice."""
+    import public_tokenizers
+
+    path, cache = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "cache")
+    files = lambda folder: len(list(Path(folder).glob("part-*.parquet")))
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    most = max(spark.sparkContext.defaultParallelism, 2)
+    seen = set(Path(scratch_dir(spark).removeprefix("file:")).iterdir())
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        for run, last in enumerate((300, 310), 1):
+            rows = [(i, f"text number {i % 150 if i < 300 else i}") for i in range(last)]
+            rows += rows[:20]
+            docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+            out = token_counts.count_tokens(docs, path, cache)
+            assert out.rdd.getNumPartitions() <= most
+            assert _sorted((r["doc_id"], r["n_bytes"]) for r in out.collect()) == _sorted((i, len(t)) for i, t in rows)
+            assert files(cache) == run
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    new = [d for d in Path(scratch_dir(spark).removeprefix("file:")).iterdir() if d not in seen]
+    for name in ("token-digests", "token-missing"):
+        assert [files(d) for d in new if d.name.startswith(name)] == [1, 1]
+    assert spark.read.parquet(cache).count() == 160
+
+
 def test_quality(docs, rows):
     out = quality.score_quality(docs).collect()
     cols = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
